@@ -152,6 +152,32 @@ def strategy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(k.alias("strategy_id"), doc.alias("doc"))
 
 
+def request_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full request queue: dom_rec_queue with the columns a request
+    carries (line, target, audience, bids) taken from its strategy's inputs;
+    a -1 target or audience in the inputs is NULL here (the queue's way)."""
+    from bidmill.joins import broadcast_if_small
+    q = dom_rec_queue(spark, sf_dir)
+    i = strategy_inputs(spark, sf_dir).select(
+        "strategy_id", "line_id",
+        F.when(F.col("target_ecpm") != -1, F.col("target_ecpm")).alias("target_cpm"),
+        F.when(F.col("unique_count") != -1, F.col("unique_count")).alias("uniques"),
+        "min_bid", "max_bid")
+    j = q.join(broadcast_if_small(i), "strategy_id", "left")
+    return j.select(
+        "dom_rec_id",
+        F.concat(F.lit("bid list "), F.col("bid_list_id").cast("string")).alias("bid_list_name"),
+        "bid_list_id",
+        F.concat(F.lit("strategy "), F.col("strategy_id").cast("string")).alias("strategy_name"),
+        "line_id", "target_cpm", "uniques", "min_bid", "max_bid", "strategy_id", "status",
+        F.lit(None).cast("string").alias("process_name"),
+        F.col("date_new").cast("timestamp").alias("date_new"),
+        F.lit(None).cast("timestamp").alias("date_in_process"),
+        F.lit(None).cast("timestamp").alias("date_processed"),
+        F.lit(None).cast("timestamp").alias("date_error"),
+        F.lit(None).cast("bigint").alias("dom_rec_result_id"))
+
+
 # ---------------------------------------------------------------------------
 # The same tables as SQL text, for the DuckDB oracle (views over the raw tables)
 
@@ -217,6 +243,16 @@ select c_custkey as strategy_id,
        case when c_custkey % 3 = 0 then '{"id":' || c_custkey || ',"rtb_bidding":{"x":"k"}}'
             else '{"id":' || c_custkey || ',"rtb_bidding":{"bid_baseline":1.0,"x":"k"}}' end as doc
 from customer""",
+    "request_queue": """
+select q.dom_rec_id, 'bid list ' || q.bid_list_id as bid_list_name, q.bid_list_id,
+       'strategy ' || q.strategy_id as strategy_name, i.line_id,
+       case when i.target_ecpm <> -1 then i.target_ecpm end as target_cpm,
+       case when i.unique_count <> -1 then i.unique_count end as uniques,
+       i.min_bid, i.max_bid, q.strategy_id, q.status, cast(null as varchar) as process_name,
+       q.date_new, cast(null as timestamp) as date_in_process,
+       cast(null as timestamp) as date_processed, cast(null as timestamp) as date_error,
+       cast(null as bigint) as dom_rec_result_id
+from dom_rec_queue q left join strategy_inputs i on q.strategy_id = i.strategy_id""",
 }
 
 
