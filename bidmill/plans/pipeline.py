@@ -1,0 +1,61 @@
+"""The dequeue job as one plan over a batch of requests.
+
+requests -> inputs (Q4) -> candidates (J2/W1/U1/A1) -> scored (J1) -> priced
+(M1 or another pricing function) -> log rows / price entries / payloads.
+Everything is keyed by (dom_rec_id, strategy_id), so requests for the same
+strategy with different caps or targets stay apart; with one request it is
+the reference's single-request run.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from bidmill.functions.timefn import up_to_date, up_to_hundredth
+from bidmill.joins import broadcast_if_small
+from bidmill.operators import candidates as C
+from bidmill.operators import pricing as P
+from bidmill.operators import requests as R
+from bidmill.sources import fixtures as X
+
+KEYS = ("dom_rec_id", "strategy_id")
+
+
+def request_details(spark: SparkSession, sf_dir: str, requests: DataFrame) -> DataFrame:
+    """Requests with the columns of the queue row (line, target, audience,
+    bids) from their strategy's inputs; the queue's NULL conventions."""
+    i = X.strategy_inputs(spark, sf_dir).select(
+        "strategy_id", "line_id",
+        F.when(F.col("target_ecpm") != -1, F.col("target_ecpm")).alias("target_cpm"),
+        F.when(F.col("unique_count") != -1, F.col("unique_count")).alias("uniques"),
+        "min_bid", "max_bid")
+    return requests.join(broadcast_if_small(i), "strategy_id", "left")
+
+
+def price_requests(spark: SparkSession, sf_dir: str, requests: DataFrame,
+                   pricing: str = "target_ecpm_seed_dampen") -> DataFrame:
+    """Priced candidates per request: dom_rec_id, strategy_id, site_domain_id,
+    probability_score, algo_id, target_ecpm, min_bid, max_bid, multiplier, baseline."""
+    inputs = R.request_inputs(request_details(spark, sf_dir, requests))
+    cands = C.candidates(inputs, X.linez(spark, sf_dir), X.line_recommender_cumsum(spark, sf_dir),
+                         X.site_domains(spark, sf_dir), keys=KEYS)
+    scored = P.scored_inputs(cands, inputs, keys=KEYS)
+    return P.PRICING[pricing](scored, keys=KEYS)
+
+
+def log_rows(priced: DataFrame, requests: DataFrame) -> DataFrame:
+    """K8 rows: the score-file columns plus multiplier and baseline; dt and
+    timestamp from the time the request is processed (its arrival here)."""
+    when = requests.select("dom_rec_id", "date_new")
+    j = priced.join(when, "dom_rec_id")
+    return j.select(
+        "strategy_id",
+        F.array(F.struct(F.lit(1).cast("bigint").alias("dimension_type_id"),
+                         F.col("site_domain_id").cast("string").alias("dimension_value")))
+        .alias("dimension_structs"),
+        "probability_score", "min_bid", "max_bid", "target_ecpm",
+        up_to_hundredth(F.col("date_new")).cast("bigint").alias("timestamp"),
+        "multiplier", "baseline", "dom_rec_id",
+        F.col("algo_id").cast("int").alias("algo_id"),
+        up_to_date(F.col("date_new")).cast("int").alias("dt"))

@@ -178,6 +178,24 @@ def request_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("bigint").alias("dom_rec_result_id"))
 
 
+def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests arriving as events (the stream input of T1): one request per
+    event, for the strategy of the event's user."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return e.select(F.col("event_id").alias("dom_rec_id"),
+                    F.col("user_id").alias("strategy_id"),
+                    (F.col("user_id") * 10).alias("bid_list_id"),
+                    F.lit("new").alias("status"),
+                    F.col("ts").cast("timestamp").alias("date_new"))
+
+
+def strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strategy master: line and bidding engine of every strategy."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        k.alias("strategy_id"), (k % 100).alias("line_id"), (k % 3).alias("bidding_engine_id"))
+
+
 # ---------------------------------------------------------------------------
 # The same tables as SQL text, for the DuckDB oracle (views over the raw tables)
 
@@ -253,6 +271,12 @@ select q.dom_rec_id, 'bid list ' || q.bid_list_id as bid_list_name, q.bid_list_i
        cast(null as timestamp) as date_processed, cast(null as timestamp) as date_error,
        cast(null as bigint) as dom_rec_result_id
 from dom_rec_queue q left join strategy_inputs i on q.strategy_id = i.strategy_id""",
+    "event_requests": """
+select event_id as dom_rec_id, user_id as strategy_id, user_id * 10 as bid_list_id,
+       'new' as status, ts as date_new from events""",
+    "strategies": """
+select c_custkey as strategy_id, c_custkey % 100 as line_id, c_custkey % 3 as bidding_engine_id
+from customer""",
 }
 
 
@@ -262,12 +286,15 @@ def with_views(body: str, *views: str) -> str:
     ``views`` items are fixture names or ``(name, sql)`` pairs, in dependency
     order.
     """
-    parts = []
+    parts, seen = [], set()
     for v in views:
         if isinstance(v, tuple):
             name, sql = v
         else:
             name, sql = v, FIXTURE_SQL[v]
+        if name in seen:
+            continue
+        seen.add(name)
         parts.append(f"{name} as ({sql.strip()})")
     if not parts:
         return body
