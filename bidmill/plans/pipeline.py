@@ -22,10 +22,25 @@ from bidmill.sources import fixtures as X
 KEYS = ("dom_rec_id", "strategy_id")
 
 
-def request_details(spark: SparkSession, sf_dir: str, requests: DataFrame) -> DataFrame:
+def static_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The dimension-side inputs of a pricing run (lazy plans)."""
+    return {"strategy_inputs": X.strategy_inputs(spark, sf_dir), "linez": X.linez(spark, sf_dir),
+            "predictions": X.line_recommender_cumsum(spark, sf_dir),
+            "site_domains": X.site_domains(spark, sf_dir)}
+
+
+def materialize(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write the static inputs once under the shared checkpoint folder and read
+    them back, so a long-running job (a stream) does not recompute them per
+    batch and a lost executor re-reads files instead of the lineage."""
+    from bidmill.sources.sinks import write_table
+    return {k: spark.read.parquet(write_table(v, spark, f"static_{k}")) for k, v in tables.items()}
+
+
+def request_details(requests: DataFrame, strategy_inputs: DataFrame) -> DataFrame:
     """Requests with the columns of the queue row (line, target, audience,
     bids) from their strategy's inputs; the queue's NULL conventions."""
-    i = X.strategy_inputs(spark, sf_dir).select(
+    i = strategy_inputs.select(
         "strategy_id", "line_id",
         F.when(F.col("target_ecpm") != -1, F.col("target_ecpm")).alias("target_cpm"),
         F.when(F.col("unique_count") != -1, F.col("unique_count")).alias("uniques"),
@@ -34,16 +49,32 @@ def request_details(spark: SparkSession, sf_dir: str, requests: DataFrame) -> Da
 
 
 def price_requests(spark: SparkSession, sf_dir: str, requests: DataFrame,
-                   pricing: str = "target_ecpm_seed_dampen") -> DataFrame:
+                   pricing: str = "target_ecpm_seed_dampen",
+                   tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Priced candidates per request: dom_rec_id, strategy_id, site_domain_id,
     probability_score, algo_id, target_ecpm, min_bid, max_bid, multiplier, baseline."""
-    inputs = R.request_inputs(request_details(spark, sf_dir, requests))
-    cands = C.candidates(inputs, X.linez(spark, sf_dir), X.line_recommender_cumsum(spark, sf_dir),
-                         X.site_domains(spark, sf_dir), keys=KEYS)
+    t = tables or static_tables(spark, sf_dir)
+    inputs = R.request_inputs(request_details(requests, t["strategy_inputs"]))
+    cands = C.candidates(inputs, t["linez"], t["predictions"], t["site_domains"], keys=KEYS)
     scored = P.scored_inputs(cands, inputs, keys=KEYS)
     return P.PRICING[pricing](scored, keys=KEYS)
 
 
+def request_payloads(priced: DataFrame, requests: DataFrame,
+                     dimension: str = "site_domain_id2") -> DataFrame:
+    """Site-domain payloads per request: dom_rec_id, strategy_id, part, url, body."""
+    from bidmill.operators import payloads as PL
+    # price-file merge without the text round trip: per request, strategy and
+    # value the last entry (the larger multiplier in file order) wins
+    merged = (priced.select(*KEYS, F.col("site_domain_id").cast("string").alias("value"),
+                            "multiplier")
+                    .groupBy(*KEYS, "value").agg(F.max("multiplier").alias("multiplier"))
+                    .withColumn("dimension", F.lit(dimension)))
+    bid_lists = requests.select(*KEYS, "bid_list_id")
+    pl = PL.payloads(merged, bid_lists, keys=KEYS)
+    return pl.select(*KEYS, "part", "url", "body")
+
+
 def log_rows(priced: DataFrame, requests: DataFrame) -> DataFrame:
     """K8 rows: the score-file columns plus multiplier and baseline; dt and
     timestamp from the time the request is processed (its arrival here)."""
