@@ -21,6 +21,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value that must equal the reference's: the price floor of the active
 # pricing function (also its baseline).
@@ -101,6 +102,26 @@ PRICING: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+def price_dampen_grouped(scored: DataFrame, keys=("strategy_id",), floor: float = PRICE_FLOOR) -> DataFrame:
+    """M1 as the reference computes it: per group, a least-squares line through
+    50 points (NumPy, ``applyInPandas``). The slow path, kept as a test oracle
+    for ``price_dampen``; one group is one pandas frame, so use it on test
+    data only."""
+    out_schema = T.StructType(scored.schema.fields + [
+        T.StructField("multiplier", T.DoubleType()), T.StructField("baseline", T.DoubleType())])
+
+    def fit(pdf):
+        import numpy as np
+        s = pdf["probability_score"].astype("float64")
+        xs = np.linspace(s.min(), s.max())
+        ys = np.linspace(floor, float(pdf["target_ecpm"].min()))
+        a = np.vstack([xs, np.ones_like(xs)]).T
+        (m, b), *_ = np.linalg.lstsq(a, ys, rcond=None)
+        return pdf.assign(multiplier=(m * s + b) / floor, baseline=floor)
+
+    return scored.groupBy(*keys).applyInPandas(fit, out_schema)
+
+
 def dedup_prices(priced: DataFrame, key_col: str = "key") -> DataFrame:
     """One row per (key, strategy_id, multiplier); first in (score, id) order wins."""
     return (priced.groupBy(key_col, "strategy_id", "multiplier")

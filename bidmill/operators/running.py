@@ -59,7 +59,9 @@ def running_sum(df: DataFrame, key: str, order: list[Column], value: str, out: s
                 .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [
         T.StructField("_lcum", T.DoubleType()), T.StructField("_pos", T.LongType())])
-    local = ranged.mapInPandas(_local_sums(key, value), schema)
+    # one Python pass, written to the checkpoint folder: the three uses below
+    # read the same rows, so partition ids agree, and the lineage is cut
+    local = ranged.mapInPandas(_local_sums(key, value), schema).checkpoint(eager=True)
 
     # one row per partition: first key, last key, local total of the last key
     edges = local.groupBy("_pid").agg(

@@ -178,3 +178,18 @@ def q_dimension_struct(spark, sf_dir):
                     "dimension_value_structs.dimension_value.last",
                     "dimension_value_structs.dimension_value.unit",
                     r6("probability_score").alias("probability_score"), "algo_id")
+
+
+@query("dimension_array", cand_sql("""
+select strategy_id, site_domain_id,
+       '[{"dimension_type_id":1,"dimension_value":"' || site_domain_id || '"}]' as dimension_structs
+from candidates"""))
+def q_dimension_array(spark, sf_dir):
+    """ARRAY(NAMED_STRUCT(type, x.dimension_value.first)) from the nested
+    prediction struct, as the JSON text the score file carries."""
+    c = candidates_df(spark, sf_dir)
+    nested = c.select("strategy_id", "site_domain_id",
+                      C.dimension_struct_from(F.col("site_domain_id")).alias("x"))
+    arr = F.array(F.struct(F.col("x.dimension_type_id").alias("dimension_type_id"),
+                           F.col("x.dimension_value.first").alias("dimension_value")))
+    return nested.select("strategy_id", "site_domain_id", F.to_json(arr).alias("dimension_structs"))
