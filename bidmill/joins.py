@@ -17,8 +17,15 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 1_000_000
 
 
+# answers per (application, plan): the same dimension table is checked once
+_CHECKED: dict[tuple, bool] = {}
+
+
 def within_rows(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:

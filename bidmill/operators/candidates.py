@@ -8,12 +8,12 @@ or when cumulative_users fits under the cap, or when there is no cap (-1).
 Then whole-row distinct.
 
 Plan shape (why not a window): the first domain of a strategy is the minimum
-of the first domains of its lines, so it is computed by a partially
-aggregated ``groupBy(line_id)`` on the prediction side (skew-safe, tiny
-shuffle) and attached to the strategy inputs, which are dimension-sized. The
-big prediction stream then meets the inputs in a single join on ``line_id``
-and is filtered in place; no shuffle or sort of the candidate rows by
-strategy, and a hot strategy is never gathered into one task.
+of the first domains of its lines, so it comes from a partially aggregated
+``groupBy(line_id)`` on the prediction side (skew-safe, tiny shuffle). The
+cap test is done once per distinct (line, cap) pair, and strategies join that
+prefix on (line_id, cap), so the join produces output rows only instead of
+every (strategy, domain) pair of a line. No shuffle or sort of the candidate
+rows by strategy, and a hot strategy is never gathered into one task.
 """
 
 from __future__ import annotations
@@ -38,9 +38,10 @@ def predicted_domains(preds: DataFrame, lines: DataFrame, sites: DataFrame,
 
 
 def first_domain_per_line(resolved: DataFrame) -> DataFrame:
-    """line_id -> smallest (cumulative_users, site_domain_id) of the line."""
+    """line_id -> smallest (cumulative_users, site_domain_id) of the line, with its score."""
     return resolved.groupBy("line_id").agg(
-        F.min(F.struct("cumulative_users", "site_domain_id")).alias("first"))
+        F.min(F.struct("cumulative_users", "site_domain_id",
+                       F.col("percentage_recommendations").alias("score"))).alias("first"))
 
 
 def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: DataFrame,
@@ -50,26 +51,38 @@ def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: Dat
 
     ``keys`` identifies one priced unit; a batch of requests passes
     ("dom_rec_id", "strategy_id") so two requests for one strategy stay apart.
+
+    The cap test runs once per distinct (line, cap) pair, not once per
+    strategy: ``prefix`` holds, for every line and cap in use, the domains
+    under that cap, and strategies join it on (line_id, cap). The work is the
+    output plus (distinct caps x domains), where joining every strategy to
+    every domain of its line and filtering afterwards would be
+    (strategies x domains). The first domain is added per unit.
     """
     resolved = predicted_domains(preds, lines, sites, max_dim_rows)
     line_first = first_domain_per_line(resolved)
-    inp = inputs.select(*keys, "line_id", "unique_count",
+    inp = inputs.select(*keys, "line_id", F.col("unique_count").alias("cap"),
                         F.col("algorithm_id").alias("algo_id"))
-    # first domain of each priced unit = min over its lines (dimension-sized)
-    unit_first = (inp.select(*keys, "line_id").join(line_first, "line_id")
-                     .groupBy(*keys).agg(F.min("first").alias("first")))
-    inp_ext = inp.join(unit_first, list(keys), "inner")
-    # inp_ext has at most as many rows as the inputs: count the inputs only
-    if within_rows(inputs, max_dim_rows):
-        inp_ext = F.broadcast(inp_ext)
-    keep = ((F.col("cumulative_users") == F.col("first.cumulative_users"))
-            & (F.col("site_domain_id") == F.col("first.site_domain_id"))) \
-        | (F.col("cumulative_users") <= F.col("unique_count")) \
-        | (F.col("unique_count") == -1)
-    rows = resolved.join(inp_ext, "line_id").where(keep)
-    return rows.select(*keys, "site_domain_id",
-                       F.col("percentage_recommendations").alias("probability_score"),
-                       "algo_id").distinct()
+    small = within_rows(inputs, max_dim_rows)  # bounds inp, pairs and the per-unit tables
+
+    def dim(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    # branch 1: rows under the cap (or no cap, -1); a NULL cap keeps none
+    pairs = inp.select("line_id", "cap").where(F.col("cap").isNotNull()).distinct()
+    prefix = resolved.join(dim(pairs), "line_id").where(
+        (F.col("cap") == -1) | (F.col("cumulative_users") <= F.col("cap")))
+    capped = prefix.join(dim(inp), ["line_id", "cap"]).select(
+        *keys, "site_domain_id", F.col("percentage_recommendations").alias("probability_score"),
+        "algo_id")
+    # branch 2: the unit's first domain = the smallest first of its lines
+    with_first = inp.join(line_first, "line_id")
+    unit_first = with_first.groupBy(*keys).agg(F.min("first").alias("unit_first"))
+    firsts = (with_first.join(dim(unit_first), list(keys))
+                        .where(F.col("first") == F.col("unit_first"))
+                        .select(*keys, F.col("first.site_domain_id").alias("site_domain_id"),
+                                F.col("first.score").alias("probability_score"), "algo_id"))
+    return capped.unionByName(firsts).distinct()
 
 
 def candidates_window(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
@@ -101,13 +114,16 @@ def first_domain(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
 
 def capped_rows(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
                 sites: DataFrame) -> DataFrame:
-    """The capped branch alone (cumulative_users <= cap or no cap)."""
+    """The capped branch alone (cumulative_users <= cap or no cap), by
+    the same per-(line, cap) prefix as ``candidates``."""
     resolved = predicted_domains(preds, lines, sites)
-    inp = inputs.select("strategy_id", "line_id", "unique_count")
-    return (resolved.join(inp, "line_id")
-                    .where((F.col("cumulative_users") <= F.col("unique_count"))
-                           | (F.col("unique_count") == -1))
-                    .select("strategy_id", "site_domain_id", "cumulative_users"))
+    inp = inputs.select("strategy_id", "line_id", F.col("unique_count").alias("cap"))
+    small = within_rows(inputs, 1_000_000)
+    pairs = inp.select("line_id", "cap").where(F.col("cap").isNotNull()).distinct()
+    prefix = resolved.join(F.broadcast(pairs) if small else pairs, "line_id").where(
+        (F.col("cap") == -1) | (F.col("cumulative_users") <= F.col("cap")))
+    return prefix.join(F.broadcast(inp) if small else inp, ["line_id", "cap"]).select(
+        "strategy_id", "site_domain_id", "cumulative_users")
 
 
 def candidate_join(inputs: DataFrame, lines: DataFrame, preds: DataFrame,

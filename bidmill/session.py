@@ -53,18 +53,19 @@ def apply_session_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """Return the shared folder named by ``spark.checkpoint.dir`` (creating a
+    local one only when the session names none) and make sure DataFrame
+    ``checkpoint()`` writes below it."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="bidmill-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return configured
+    if not root:
+        current = sc.getCheckpointDir()
+        root = current.rsplit("/", 1)[0] if current else tempfile.mkdtemp(prefix="bidmill-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 
 from bidmill.operators.running import running_sum
 from bidmill.session import ensure_checkpoint_dir
-from bidmill.sources.tables import table
+from bidmill.sources.tables import table, version
 
 
 def _stamp(sf_dir: str, names: tuple[str, ...]) -> str:
@@ -28,19 +28,45 @@ def _stamp(sf_dir: str, names: tuple[str, ...]) -> str:
     return hashlib.sha1(("|".join([os.path.abspath(sf_dir)] + parts)).encode()).hexdigest()[:16]
 
 
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """A fixture is a lazy plan over the input files: build it once per
+    session and input version (plans are immutable, so sharing is safe)."""
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, fn.__name__, os.path.abspath(sf_dir),
+               version(sf_dir))
+        df = _MEMO.get(key)
+        if df is None:
+            df = _MEMO.setdefault(key, fn(spark, sf_dir))
+        return df
+    return run
+
+
+_STORED: dict[str, T.StructType] = {}
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str, inputs: tuple[str, ...], build) -> DataFrame:
     """A derived table written once under the shared checkpoint folder and
     read back by every later query (keyed on the input files' size and time),
     as the reference keeps it as a table. Lineage stops at the stored files."""
     base = os.path.join(ensure_checkpoint_dir(spark), "bidmill-fixtures",
                         f"{name}-{_stamp(sf_dir, inputs)}")
-    try:  # a finished write leaves _SUCCESS; the reader checks it on any file system
-        spark.read.text(base + "/_SUCCESS")
-    except AnalysisException:
-        build(spark, sf_dir).write.mode("overwrite").parquet(base)
-    return spark.read.parquet(base)
+    schema = _STORED.get(base)
+    if schema is None:
+        try:  # a finished write leaves _SUCCESS; the reader checks it on any file system
+            spark.read.text(base + "/_SUCCESS")
+        except AnalysisException:
+            build(spark, sf_dir).write.mode("overwrite").parquet(base)
+        schema = _STORED.setdefault(base, spark.read.parquet(base).schema)
+    return spark.read.schema(schema).parquet(base)
 
 
+@_memo
 def line_recommender_cumsum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """line_id, domain_name, percentage_recommendations, cumulative_users
     (built once per input version; see ``stored``)."""
@@ -65,11 +91,13 @@ def _build_cumsum(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "cumulative_users"))
 
 
+@_memo
 def linez(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("line_id"))
             .where(F.col("line_id") % 10 != 9))
 
 
+@_memo
 def site_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey")
     name = F.concat(F.lit("site"), F.col("p_partkey").cast("string"), F.lit(".example"))
@@ -80,6 +108,7 @@ def site_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main.unionByName(dup)
 
 
+@_memo
 def strategy_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
@@ -96,6 +125,7 @@ def strategy_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise((k % 500) / F.lit(100.0) + F.lit(0.1)).alias("target_ecpm"))
 
 
+@_memo
 def dom_rec_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("dom_rec_id"),
@@ -107,6 +137,7 @@ def dom_rec_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("date_new"))
 
 
+@_memo
 def strategies_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     return s.where(F.col("s_suppkey") % 10 != 1).select(
@@ -115,6 +146,7 @@ def strategies_current(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_acctbal") / 50).cast(T.DecimalType(10, 4)).alias("max_bid"))
 
 
+@_memo
 def strategies_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     k = F.col("s_suppkey")
@@ -126,6 +158,7 @@ def strategies_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("s_acctbal") / 50).cast(T.DecimalType(10, 4)).alias("max_bid"))
 
 
+@_memo
 def strategy_algo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "supplier")
             .select(F.col("s_suppkey").alias("strategy_id"),
@@ -133,6 +166,7 @@ def strategy_algo(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
+@_memo
 def uniques_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audience sizes; even customer ids only, so a left join has misses."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
@@ -141,12 +175,14 @@ def uniques_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("c_custkey") % 10) * 40 + 50).alias("number_of_unique_users"))
 
 
+@_memo
 def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return n.select(F.col("n_nationkey").cast("bigint").alias("id"),
                     F.concat(F.lower(F.col("n_name")), F.lit("@example.com")).alias("email"))
 
 
+@_memo
 def domain_inputs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The relational twin of the strategy inputs, before defaults and joins."""
     k = F.col("c_custkey")
@@ -164,6 +200,7 @@ def domain_inputs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 4 == 0).cast("int").alias("modeled"))
 
 
+@_memo
 def recency_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey")
     return c.where(F.col("c_custkey") % 3 == 0).select(
@@ -173,6 +210,7 @@ def recency_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_custkey") % 2).cast("int").alias("modeled"))
 
 
+@_memo
 def strategy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored strategy documents; no bid_baseline key when id % 3 = 0."""
     k = F.col("c_custkey")
@@ -183,6 +221,7 @@ def strategy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(k.alias("strategy_id"), doc.alias("doc"))
 
 
+@_memo
 def request_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full request queue: dom_rec_queue with the columns a request
     carries (line, target, audience, bids) taken from its strategy's inputs;
@@ -209,6 +248,7 @@ def request_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("bigint").alias("dom_rec_result_id"))
 
 
+@_memo
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests arriving as events (the stream input of T1): one request per
     event, for the strategy of the event's user."""
@@ -220,6 +260,7 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts").cast("timestamp").alias("date_new"))
 
 
+@_memo
 def strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strategy master: line and bidding engine of every strategy."""
     k = F.col("c_custkey")

@@ -13,9 +13,43 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
+# schema per (file, size, mtime): reading a parquet footer for the schema is a
+# Spark job of its own, so it is done once per file version, not per query
+_SCHEMAS: dict[tuple, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; callers select the columns they need so the scan
     is pruned (ReadSchema) and their filters reach the reader."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    try:
+        st = os.stat(path)
+        key = (os.path.abspath(path), st.st_size, st.st_mtime_ns)
+    except OSError:  # not a local path: let the reader infer
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        schema = _SCHEMAS.setdefault(key, spark.read.parquet(path).schema)
+    # the relation (file listing included) is built once per session and version
+    rel_key = (spark.sparkContext.applicationId, key)
+    rel = _RELATIONS.get(rel_key)
+    if rel is None:
+        rel = _RELATIONS.setdefault(rel_key, spark.read.schema(schema).parquet(path))
+    return rel
+
+
+_RELATIONS: dict[tuple, DataFrame] = {}
+
+
+def version(sf_dir: str) -> tuple:
+    """Size and time of every table file under ``sf_dir`` (cache key part)."""
+    out = []
+    for name in TABLES:
+        try:
+            st = os.stat(os.path.join(sf_dir, f"{name}.parquet"))
+            out.append((name, st.st_size, st.st_mtime_ns))
+        except OSError:
+            out.append((name, None, None))
+    return tuple(out)
