@@ -66,29 +66,35 @@ def score_bounds(scored: DataFrame, keys=("strategy_id",)) -> DataFrame:
         F.min("min_bid").alias("mn"), F.max("max_bid").alias("mx"))
 
 
-def _with_bounds(scored: DataFrame, keys) -> DataFrame:
-    return scored.join(score_bounds(scored, keys), list(keys))
+def _with_bounds(scored: DataFrame, keys, small_groups: bool = False) -> DataFrame:
+    """Attach the group constants. ``small_groups`` says the caller has
+    checked the number of groups (at most the inputs' row count) against the
+    broadcast bound; otherwise AQE picks the join from runtime sizes and
+    splits a hot group's partition."""
+    bounds = score_bounds(scored, keys)
+    return scored.join(F.broadcast(bounds) if small_groups else bounds, list(keys))
 
 
-def price_dampen(scored: DataFrame, keys=("strategy_id",), floor: float = PRICE_FLOOR) -> DataFrame:
+def price_dampen(scored: DataFrame, keys=("strategy_id",), floor: float = PRICE_FLOOR,
+                 small_groups: bool = False) -> DataFrame:
     """M1 (the active function): multiplier = line(score) / floor; baseline = floor."""
     f = F.lit(floor)
-    b = _with_bounds(scored, keys)
+    b = _with_bounds(scored, keys, small_groups)
     price = _line(F.col("lo"), F.col("hi"), f, F.col("t"))
     return b.select(*scored.columns, (price / f).alias("multiplier"), f.alias("baseline"))
 
 
-def price_mean_seed(scored: DataFrame, keys=("strategy_id",)) -> DataFrame:
+def price_mean_seed(scored: DataFrame, keys=("strategy_id",), small_groups: bool = False) -> DataFrame:
     """M2: multiplier = score / mean score; baseline = target * mean / max."""
-    b = _with_bounds(scored, keys)
+    b = _with_bounds(scored, keys, small_groups)
     return b.select(*scored.columns,
                     F.try_divide(F.col("probability_score"), F.col("av")).alias("multiplier"),
                     F.try_divide(F.col("t") * F.col("av"), F.col("hi")).alias("baseline"))
 
 
-def price_min_max(scored: DataFrame, keys=("strategy_id",)) -> DataFrame:
+def price_min_max(scored: DataFrame, keys=("strategy_id",), small_groups: bool = False) -> DataFrame:
     """M3: the price itself on the line (lo, min min_bid) -> (hi, max max_bid); no baseline."""
-    b = _with_bounds(scored, keys)
+    b = _with_bounds(scored, keys, small_groups)
     return b.select(*scored.columns,
                     _line(F.col("lo"), F.col("hi"), F.col("mn"), F.col("mx")).alias("multiplier"),
                     F.lit(None).cast("double").alias("baseline"))

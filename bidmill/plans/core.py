@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bidmill.operators import candidates as C
 from bidmill.operators import pricing as P
+from bidmill.joins import within_rows
 from bidmill.plans.registry import query
 from bidmill.sources import fixtures as X
 from bidmill.sources.fixtures import with_views
@@ -126,8 +127,13 @@ from (select c.strategy_id, c.site_domain_id, c.probability_score, i.target_ecpm
       from candidates c join strategy_inputs i on c.strategy_id = i.strategy_id) z""")
 
 
+def small_groups(spark, sf_dir) -> bool:
+    """Priced groups are strategies: at most the inputs' row count."""
+    return within_rows(X.strategy_inputs(spark, sf_dir), 1_000_000)
+
+
 def price_dampen_df(spark, sf_dir):
-    return P.price_dampen(scored_df(spark, sf_dir))
+    return P.price_dampen(scored_df(spark, sf_dir), small_groups=small_groups(spark, sf_dir))
 
 
 @query("price_dampen", PRICE_DAMPEN_SQL)
@@ -144,7 +150,7 @@ from (select c.strategy_id, c.site_domain_id, c.probability_score, i.target_ecpm
              max(probability_score) over (partition by c.strategy_id) as hi
       from candidates c join strategy_inputs i on c.strategy_id = i.strategy_id) z"""))
 def q_price_mean_seed(spark, sf_dir):
-    p = P.price_mean_seed(scored_df(spark, sf_dir))
+    p = P.price_mean_seed(scored_df(spark, sf_dir), small_groups=small_groups(spark, sf_dir))
     return p.select("strategy_id", "site_domain_id", r6("multiplier").alias("multiplier"),
                     r6("baseline").alias("baseline"))
 
@@ -160,7 +166,7 @@ from (select c.strategy_id, c.site_domain_id, c.probability_score,
              max(probability_score) over (partition by c.strategy_id) as hi
       from candidates c join strategy_inputs i on c.strategy_id = i.strategy_id) z"""))
 def q_price_min_max(spark, sf_dir):
-    p = P.price_min_max(scored_df(spark, sf_dir))
+    p = P.price_min_max(scored_df(spark, sf_dir), small_groups=small_groups(spark, sf_dir))
     return p.select("strategy_id", "site_domain_id", r6("multiplier").alias("multiplier"))
 
 

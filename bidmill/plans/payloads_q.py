@@ -72,10 +72,11 @@ def priced_dims(spark, sf_dir, dimension: str = "site_domain_id2") -> DataFrame:
 def merged_in_plan(spark, sf_dir, dimension: str) -> DataFrame:
     """In-plan merge (no text round trip): entries after P12; within one
     strategy and value the file order puts the larger multiplier last."""
-    e = PF.price_entries(priced_dims(spark, sf_dir, dimension))
-    return e.groupBy("strategy_id", "key").agg(F.max("multiplier").alias("multiplier")) \
-        .select("strategy_id", F.lit(dimension).alias("dimension"), F.col("key").alias("value"),
-                "multiplier")
+    # P12's dedup cannot change a max, so entries go straight to the merge
+    p = priced_dims(spark, sf_dir, dimension).select(
+        "strategy_id", TX.make_key("dims").alias("value"), "multiplier")
+    return p.groupBy("strategy_id", "value").agg(F.max("multiplier").alias("multiplier")) \
+        .select("strategy_id", F.lit(dimension).alias("dimension"), "value", "multiplier")
 
 
 def payloads_df(spark, sf_dir, dimension: str) -> DataFrame:
@@ -330,9 +331,17 @@ def q_payload_map(spark, sf_dir):
     return PL.payload_map(payloads_df(spark, sf_dir, "city_id"))
 
 
+def baselines_in_plan(spark, sf_dir, dimension="site_domain_id2"):
+    """A8 without the text round trip: the first line naming a strategy is its
+    smallest key, and inside that line its last entry is the largest
+    multiplier (lines list entries by strategy, then multiplier)."""
+    e = PF.price_entries(priced_dims(spark, sf_dir, dimension))
+    return e.groupBy("strategy_id").agg(F.min_by("baseline", F.struct(
+        "key", (-F.col("multiplier")).alias("neg_multiplier"))).alias("baseline"))
+
+
 def baseline_docs_df(spark, sf_dir):
-    base = PF.merged_baselines(_parsed(spark, sf_dir)).withColumn(
-        "strategy_id", F.col("strategy_id").cast("bigint"))
+    base = baselines_in_plan(spark, sf_dir)
     return PL.baseline_documents(base, X.strategy_documents(spark, sf_dir), base_url=BASE)
 
 

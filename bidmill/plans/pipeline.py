@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidmill.functions.timefn import up_to_date, up_to_hundredth
-from bidmill.joins import broadcast_if_small
+from bidmill.joins import DEFAULT_MAX_ROWS, broadcast_if_small, within_rows
 from bidmill.operators import candidates as C
 from bidmill.operators import pricing as P
 from bidmill.operators import requests as R
@@ -57,7 +57,9 @@ def price_requests(spark: SparkSession, sf_dir: str, requests: DataFrame,
     inputs = R.request_inputs(request_details(requests, t["strategy_inputs"]))
     cands = C.candidates(inputs, t["linez"], t["predictions"], t["site_domains"], keys=KEYS)
     scored = P.scored_inputs(cands, inputs, keys=KEYS)
-    return P.PRICING[pricing](scored, keys=KEYS)
+    # one priced group per request: bounded by the requests' row count
+    return P.PRICING[pricing](scored, keys=KEYS,
+                              small_groups=within_rows(requests, DEFAULT_MAX_ROWS))
 
 
 def request_payloads(priced: DataFrame, requests: DataFrame,
@@ -78,7 +80,7 @@ def request_payloads(priced: DataFrame, requests: DataFrame,
 def log_rows(priced: DataFrame, requests: DataFrame) -> DataFrame:
     """K8 rows: the score-file columns plus multiplier and baseline; dt and
     timestamp from the time the request is processed (its arrival here)."""
-    when = requests.select("dom_rec_id", "date_new")
+    when = broadcast_if_small(requests.select("dom_rec_id", "date_new"))
     j = priced.join(when, "dom_rec_id")
     return j.select(
         "strategy_id",
