@@ -37,10 +37,15 @@ def price_entries(priced: DataFrame, dims_col: str = "dims") -> DataFrame:
     return keyed.dropDuplicates(["key", "strategy_id", "multiplier"])
 
 
-def _paged(entries: DataFrame, group: list[str], member, page_size: int) -> DataFrame:
+def _paged(entries: DataFrame, group: list[str], member, page_size: int,
+           materialize: bool = True) -> DataFrame:
     """Add ``part``: 0 for groups up to page_size members, else a hash bucket
     of ``member`` among ceil(n / page_size) buckets. The counts are a
-    partially aggregated groupBy joined back (one row per group)."""
+    partially aggregated groupBy joined back (one row per group). The entries
+    are read twice, so they are checkpointed first (one computation of the
+    upstream plan; the lineage stops there)."""
+    if materialize:
+        entries = entries.checkpoint(eager=True)
     counts = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     nparts = F.ceil(F.col("_n") / F.lit(page_size)).cast("long")
     return (entries.join(counts, group)
@@ -61,7 +66,10 @@ def price_lines(entries: DataFrame, page_size: int = DEFAULT_PAGE_SIZE) -> DataF
 
 
 def export_price_file(lines: DataFrame, path: str) -> None:
-    """K7 + O2: lines in key order (a distributed range sort), text files."""
+    """K7 + O2: lines in key order (a distributed range sort), text files.
+    The range sort samples its input in a job of its own, so the lines (one
+    row per key and part) are materialized first instead of computed twice."""
+    lines = lines.checkpoint(eager=True)
     lines.orderBy("key", "part").select("line").write.mode("overwrite").text(path)
 
 

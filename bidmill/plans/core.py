@@ -42,7 +42,11 @@ def candidates_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.scored_inputs(candidates_df(spark, sf_dir), X.strategy_inputs(spark, sf_dir))
+    """J1 output, materialized: every pricing function reads it twice (group
+    bounds and the rows), as the reference's score file is written once and
+    read by the mapping step."""
+    scored = P.scored_inputs(candidates_df(spark, sf_dir), X.strategy_inputs(spark, sf_dir))
+    return scored.checkpoint(eager=True)
 
 
 def r6(c):

@@ -59,29 +59,30 @@ def dim_value_sql(dimension: str, c: str = "site_domain_id") -> str:
 
 # --- Spark side ----------------------------------------------------------------
 
-def priced_dims(spark, sf_dir, dimension: str = "site_domain_id2") -> DataFrame:
-    """Priced rows with their dimension list (one dimension column)."""
-    p = price_dampen_df(spark, sf_dir)
+def priced_dims(spark, sf_dir, dimension: str = "site_domain_id2", priced=None) -> DataFrame:
+    """Priced rows with their dimension list (one dimension column); pass
+    ``priced`` when one query needs several dimensions of the same run."""
+    p = priced if priced is not None else price_dampen_df(spark, sf_dir)
     return p.select("strategy_id", "site_domain_id", "probability_score", "target_ecpm",
-                    "multiplier", "baseline",
+                    "algo_id", "multiplier", "baseline",
                     F.array(F.struct(F.lit(1).alias("dimension_type_id"),
                                      dim_value(dimension, F.col("site_domain_id"))
                                      .alias("dimension_value"))).alias("dims"))
 
 
-def merged_in_plan(spark, sf_dir, dimension: str) -> DataFrame:
+def merged_in_plan(spark, sf_dir, dimension: str, priced=None) -> DataFrame:
     """In-plan merge (no text round trip): entries after P12; within one
     strategy and value the file order puts the larger multiplier last."""
     # P12's dedup cannot change a max, so entries go straight to the merge
-    p = priced_dims(spark, sf_dir, dimension).select(
+    p = priced_dims(spark, sf_dir, dimension, priced).select(
         "strategy_id", TX.make_key("dims").alias("value"), "multiplier")
     return p.groupBy("strategy_id", "value").agg(F.max("multiplier").alias("multiplier")) \
         .select("strategy_id", F.lit(dimension).alias("dimension"), "value", "multiplier")
 
 
-def payloads_df(spark, sf_dir, dimension: str) -> DataFrame:
+def payloads_df(spark, sf_dir, dimension: str, priced=None) -> DataFrame:
     bid_lists = X.strategy_inputs(spark, sf_dir).select("strategy_id", "bid_list_id")
-    return PL.payloads(merged_in_plan(spark, sf_dir, dimension), bid_lists, base_url=BASE)
+    return PL.payloads(merged_in_plan(spark, sf_dir, dimension, priced), bid_lists, base_url=BASE)
 
 
 # --- SQL side --------------------------------------------------------------------
@@ -293,8 +294,9 @@ for _name, _dim in (("adj_site_domain", "site_domain_id2"), ("adj_city", "city_i
 def q_payload_urls(spark, sf_dir):
     """F6 + J11 (+ unknown dimension: NULL url and a null adjustment list)."""
     out = None
+    priced = price_dampen_df(spark, sf_dir)
     for d in ("site_domain_id2", "recency", "os_id"):
-        p = payloads_df(spark, sf_dir, d).select(
+        p = payloads_df(spark, sf_dir, d, priced).select(
             "strategy_id", "dimension", "url",
             (F.col("body") != F.lit('{"price_adjustments":null}')).alias("known"))
         out = p if out is None else out.unionByName(p)
@@ -331,17 +333,17 @@ def q_payload_map(spark, sf_dir):
     return PL.payload_map(payloads_df(spark, sf_dir, "city_id"))
 
 
-def baselines_in_plan(spark, sf_dir, dimension="site_domain_id2"):
+def baselines_in_plan(spark, sf_dir, dimension="site_domain_id2", priced=None):
     """A8 without the text round trip: the first line naming a strategy is its
     smallest key, and inside that line its last entry is the largest
     multiplier (lines list entries by strategy, then multiplier)."""
-    e = PF.price_entries(priced_dims(spark, sf_dir, dimension))
+    e = PF.price_entries(priced_dims(spark, sf_dir, dimension, priced))
     return e.groupBy("strategy_id").agg(F.min_by("baseline", F.struct(
         "key", (-F.col("multiplier")).alias("neg_multiplier"))).alias("baseline"))
 
 
-def baseline_docs_df(spark, sf_dir):
-    base = baselines_in_plan(spark, sf_dir)
+def baseline_docs_df(spark, sf_dir, priced=None):
+    base = baselines_in_plan(spark, sf_dir, priced=priced)
     return PL.baseline_documents(base, X.strategy_documents(spark, sf_dir), base_url=BASE)
 
 
@@ -380,6 +382,7 @@ where q.status = 'new'""", *REQ_VIEWS, "strategy_documents"))
 def q_request_results(spark, sf_dir):
     """Result rows per claimed request (payload parts and baseline docs)."""
     req = X.request_queue(spark, sf_dir).where(F.col("status") == "new").select("dom_rec_id", "strategy_id")
-    pl = req.join(payloads_df(spark, sf_dir, "site_domain_id2"), "strategy_id")
-    docs = req.join(baseline_docs_df(spark, sf_dir), "strategy_id")
+    priced = price_dampen_df(spark, sf_dir)
+    pl = req.join(payloads_df(spark, sf_dir, "site_domain_id2", priced), "strategy_id")
+    docs = req.join(baseline_docs_df(spark, sf_dir, priced), "strategy_id")
     return PL.request_results(pl, docs)

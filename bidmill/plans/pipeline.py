@@ -56,7 +56,8 @@ def price_requests(spark: SparkSession, sf_dir: str, requests: DataFrame,
     t = tables or static_tables(spark, sf_dir)
     inputs = R.request_inputs(request_details(requests, t["strategy_inputs"]))
     cands = C.candidates(inputs, t["linez"], t["predictions"], t["site_domains"], keys=KEYS)
-    scored = P.scored_inputs(cands, inputs, keys=KEYS)
+    # read twice by the pricing function (group bounds, rows): computed once
+    scored = P.scored_inputs(cands, inputs, keys=KEYS).checkpoint(eager=True)
     # one priced group per request: bounded by the requests' row count
     return P.PRICING[pricing](scored, keys=KEYS,
                               small_groups=within_rows(requests, DEFAULT_MAX_ROWS))

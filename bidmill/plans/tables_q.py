@@ -49,8 +49,7 @@ def pay_sql(body, *extra):
 def scores_df(spark, sf_dir):
     """The score file rows: priced input with dims as JSON text, run date and stamp."""
     p = priced_dims(spark, sf_dir)
-    c = candidates_df(spark, sf_dir).select("strategy_id", "site_domain_id", "algo_id")
-    return p.join(c, ["strategy_id", "site_domain_id"]).select(
+    return p.select(
         "strategy_id", F.col("algo_id").cast("int").alias("algo_id"),
         F.to_json("dims").alias("dimension_structs"), "probability_score", "target_ecpm",
         up_to_date(DEFAULT_RUN_TS).cast("int").alias("dt"),
