@@ -198,7 +198,7 @@ def q_price_lines(spark, sf_dir):
 
 
 def _export(spark, sf_dir, dimension="site_domain_id2"):
-    base = scratch_path(spark, f"price_file_{dimension}")
+    base = scratch_path(spark, f"price_file_{dimension}", sf_dir)
     PF.export_price_file(price_lines_df(spark, sf_dir, dimension), base + "/data")
     PF.write_header(spark, PF.header_for([dimension]), base + "/header")
     return base + "/data", base + "/header"

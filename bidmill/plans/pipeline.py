@@ -29,12 +29,14 @@ def static_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "site_domains": X.site_domains(spark, sf_dir)}
 
 
-def materialize(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def materialize(spark: SparkSession, tables: dict[str, DataFrame],
+                sf_dir: str | None = None) -> dict[str, DataFrame]:
     """Write the static inputs once under the shared checkpoint folder and read
     them back, so a long-running job (a stream) does not recompute them per
     batch and a lost executor re-reads files instead of the lineage."""
     from bidmill.sources.sinks import write_table
-    return {k: spark.read.parquet(write_table(v, spark, f"static_{k}")) for k, v in tables.items()}
+    return {k: spark.read.parquet(write_table(v, spark, f"static_{k}", sf_dir=sf_dir))
+            for k, v in tables.items()}
 
 
 def request_details(requests: DataFrame, strategy_inputs: DataFrame) -> DataFrame:

@@ -106,7 +106,7 @@ select dom_rec_id, strategy_id, bid_list_id, status from request_queue
 where status in ('new', 'in_process')""", *QUEUE_VIEWS))
 def q_scan_queue(spark, sf_dir):
     """Relational scan of the queue; the filter reaches the parquet reader."""
-    path = sinks.write_table(X.request_queue(spark, sf_dir), spark, "request_queue")
+    path = sinks.write_table(X.request_queue(spark, sf_dir), spark, "request_queue", sf_dir=sf_dir)
     q = sinks.read_relational(spark, path=path)
     return q.where(F.col("status").isin("new", "in_process")).select(
         "dom_rec_id", "strategy_id", "bid_list_id", "status")
@@ -154,7 +154,7 @@ from domain_inputs_raw where modeled = 0"""
 
 def _enqueue(spark, sf_dir):
     rows = R.enqueue_rows(X.domain_inputs_raw(spark, sf_dir), DEFAULT_RUN_TS)
-    return rows, sinks.append_with_ids(rows, spark, "pb_queue", id_col="request_id")
+    return rows, sinks.append_with_ids(rows, spark, "pb_queue", id_col="request_id", sf_dir=sf_dir)
 
 
 @query("enqueue_requests", with_views(ENQUEUE_SQL, *RAW_VIEWS))

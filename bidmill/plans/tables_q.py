@@ -67,7 +67,7 @@ join candidates c on p.strategy_id = c.strategy_id and p.site_domain_id = c.site
 
 
 def _export_scores(spark, sf_dir):
-    path = scratch_path(spark, "scores")
+    path = scratch_path(spark, "scores", sf_dir)
     sinks.write_delimited(scores_df(spark, sf_dir), path)
     return path
 
@@ -103,7 +103,7 @@ def q_price_log(spark, sf_dir):
                     "target_ecpm", "multiplier", "baseline",
                     up_to_date(DEFAULT_RUN_TS).cast("int").alias("dt"),
                     up_to_hundredth(DEFAULT_RUN_TS).cast("bigint").alias("timestamp"))
-    path = scratch_path(spark, "price_log")
+    path = scratch_path(spark, "price_log", sf_dir)
     sinks.write_json_log(rows, path, mode="overwrite")
     back = spark.read.schema(rows.schema).json(path)
     return back.select("strategy_id", F.col("dimension_structs")[0]["dimension_value"]
@@ -118,15 +118,31 @@ select r.dom_rec_id, p.strategy_id, cast(p.site_domain_id as varchar) as dimensi
 from event_requests r join priced p on r.strategy_id = p.strategy_id"""
 
 
-def _published(spark, sf_dir):
+def _publish(spark, sf_dir, path):
     """K9: the batch pipeline over the event requests, appended to the log
-    partitioned by (algo_id, dt)."""
+    partitioned by (algo_id, dt) (an emptied folder first, so a rerun does
+    not append a second copy)."""
     req = X.event_requests(spark, sf_dir)
     priced = PIPE.price_requests(spark, sf_dir, req)
     rows = PIPE.log_rows(priced, req)
-    path = scratch_path(spark, "output_log")
+    sinks.truncate(rows.schema, spark, path, fmt="json", partition_by=["algo_id", "dt"])
     sinks.write_json_log(rows, path, partition_by=["algo_id", "dt"], mode="append")
-    return path, rows.schema
+    return rows.schema
+
+
+def _published(spark, sf_dir, fresh: bool = False):
+    """The published log. ``fresh`` publishes now (the K9 query); readers of
+    the log (scans, catalog and retention queries) share one published copy
+    per input version, like the stored prediction table."""
+    if fresh:
+        path = scratch_path(spark, "output_log_publish", sf_dir)
+        return path, _publish(spark, sf_dir, path)
+    path = X.stored_path(spark, sf_dir, "output_log", lambda p: _publish(spark, sf_dir, p))
+    return path, _log_schema(spark, path)
+
+
+def _log_schema(spark, path):
+    return spark.read.json(path).schema
 
 
 def _read_log(spark, path, schema):
@@ -135,7 +151,7 @@ def _read_log(spark, path, schema):
 
 @query("publish_log", pay_sql(EVENT_LOG_SQL, "event_requests"))
 def q_publish_log(spark, sf_dir):
-    path, schema = _published(spark, sf_dir)
+    path, schema = _published(spark, sf_dir, fresh=True)
     back = _read_log(spark, path, schema)
     return back.select("dom_rec_id", "strategy_id",
                        F.col("dimension_structs")[0]["dimension_value"].alias("dimension_value"),
@@ -279,7 +295,7 @@ FLAT_CANDS_SQL = """select strategy_id, cast(site_domain_id as varchar) as first
 
 def _predictions_table(spark, sf_dir):
     """A previous run left partitions -1 and 7; this run rewrites only -1."""
-    path = scratch_path(spark, "predictions")
+    path = scratch_path(spark, "predictions", sf_dir)
     cands = candidates_df(spark, sf_dir)
     previous = _pred_rows(cands.where(F.col("site_domain_id") % 2 == 0)) \
         .withColumn("algo_id", F.lit(-1)).unionByName(
@@ -435,7 +451,7 @@ def q_write_strategy_inputs(spark, sf_dir):
     from bidmill.operators import requests as R
     queue = X.request_queue(spark, sf_dir)
     inputs = R.request_inputs(queue.where(F.col("status") == "new"))
-    path = scratch_path(spark, "strategy_inputs")
+    path = scratch_path(spark, "strategy_inputs", sf_dir)
     sinks.write_table(inputs.where(F.col("strategy_id") % 2 == 0), spark, "x", path=path)
     sinks.write_table(inputs, spark, "x", path=path, mode="overwrite")
     return spark.read.parquet(path)

@@ -8,6 +8,7 @@ ourselves when the session has none (tests, a laptop).
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -37,6 +38,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", "16g")
+    # checkpoint files of DataFrames that are gone are deleted by the cleaner
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -68,7 +71,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one written table, below the shared checkpoint dir."""
+def scratch_path(spark: SparkSession, name: str, sf_dir: str | None = None,
+                 unique: bool = False) -> str:
+    """Folder for one written table below the shared checkpoint folder.
+
+    By default the path is stable for (name, input folder), so a rerun
+    rewrites the same table instead of adding a copy; writers overwrite (or
+    truncate, then append). ``unique`` gives a fresh folder (stream
+    checkpoints, whose state must start empty).
+    """
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "bidmill-tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    tag = name
+    if sf_dir is not None:
+        tag += "-" + hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:8]
+    if unique:
+        tag += "-" + uuid.uuid4().hex[:12]
+    return os.path.join(base, "bidmill-tables", tag)

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 
 from bidmill.operators.running import running_sum
 from bidmill.session import ensure_checkpoint_dir
-from bidmill.sources.tables import table, version
+from bidmill.sources.tables import TABLES, table, version
 
 
 def _stamp(sf_dir: str, names: tuple[str, ...]) -> str:
@@ -66,6 +66,24 @@ def stored(spark: SparkSession, sf_dir: str, name: str, inputs: tuple[str, ...],
     return spark.read.schema(schema).parquet(base)
 
 
+def stored_path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Like ``stored`` for a table with its own writer (format, partitions):
+    ``write(path)`` runs once per input version; a marker table written after
+    it says the table is complete (its own _SUCCESS may predate the end of a
+    multi-step write)."""
+    base = os.path.join(ensure_checkpoint_dir(spark), "bidmill-fixtures",
+                        f"{name}-{_stamp(sf_dir, TABLES)}")
+    if base not in _STORED:
+        try:
+            spark.read.text(base + "-complete/_SUCCESS")
+        except AnalysisException:
+            write(base)
+            spark.createDataFrame([(base,)], "value string").coalesce(1) \
+                .write.mode("overwrite").text(base + "-complete")
+        _STORED[base] = None
+    return base
+
+
 @_memo
 def line_recommender_cumsum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """line_id, domain_name, percentage_recommendations, cumulative_users

@@ -15,8 +15,8 @@ from bidmill.session import scratch_path
 
 def write_table(df: DataFrame, spark: SparkSession, name: str, fmt: str = "parquet",
                 mode: str = "overwrite", partition_by: list[str] | None = None,
-                path: str | None = None, **options) -> str:
-    path = path or scratch_path(spark, name)
+                path: str | None = None, sf_dir: str | None = None, **options) -> str:
+    path = path or scratch_path(spark, name, sf_dir)
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -63,7 +63,7 @@ def read_relational(spark: SparkSession, path: str | None = None, url: str | Non
 
 
 def append_with_ids(rows: DataFrame, spark: SparkSession, name: str, id_col: str,
-                    path: str | None = None) -> DataFrame:
+                    path: str | None = None, sf_dir: str | None = None) -> DataFrame:
     """Append rows to a table with an increasing surrogate id, read back.
 
     Ids are the table's current maximum plus ``monotonically_increasing_id``:
@@ -71,21 +71,32 @@ def append_with_ids(rows: DataFrame, spark: SparkSession, name: str, id_col: str
     row numbering through one partition); not gap-free. The selected row
     count is observed during the write (A11).
     """
-    if path is None:  # a new table
-        path = scratch_path(spark, name)
+    mode = "append"
+    if path is None:  # a new table (replacing an earlier run's)
+        path = scratch_path(spark, name, sf_dir)
         base = F.lit(0).cast("long")
+        mode = "overwrite"
     else:
         existing = spark.read.parquet(path)
         base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).scalar()
     obs = Observation(f"{name}_append")
     stamped = rows.select((base + F.monotonically_increasing_id() + 1).alias(id_col), "*") \
         .observe(obs, F.count(F.lit(1)).alias("rows"))
-    stamped.write.mode("append").parquet(path)
+    stamped.write.mode(mode).parquet(path)
     out = spark.read.parquet(path)
     out.observed_rows = obs.get.get("rows", 0)  # type: ignore[attr-defined]
     return out
 
 
+def truncate(df_schema: T.StructType, spark: SparkSession, path: str, fmt: str = "parquet",
+             partition_by: list[str] | None = None) -> None:
+    """Replace whatever is at ``path`` with an empty table of the schema."""
+    w = spark.createDataFrame([], df_schema).write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+
+
 def write_json_log(df: DataFrame, path: str, partition_by: list[str] | None = None,
                    mode: str = "append", digits: int = 10) -> None:
     """K8: one JSON object per row, doubles rounded to ``digits`` decimals."""
