@@ -1,0 +1,41 @@
+"""The request-keyed batch pipeline and its streaming form."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from bidmill.plans import pipeline as PIPE
+from bidmill.plans.core import price_dampen_df
+from bidmill.plans.streaming_q import q_stream_requests
+from bidmill.sources import fixtures as X
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _key(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_request_pricing_equals_strategy_pricing(spark):
+    """Requests carry their strategy's inputs here, so per-request prices are
+    the strategy's prices, one copy per request."""
+    req = X.request_queue(spark, SMALL).where(F.col("status") == "new") \
+        .select("dom_rec_id", "strategy_id", "bid_list_id", "status", "date_new")
+    per_request = PIPE.price_requests(spark, SMALL, req)
+    per_strategy = price_dampen_df(spark, SMALL)
+    expected = req.select("dom_rec_id", "strategy_id").join(per_strategy, "strategy_id")
+    cols = ["dom_rec_id", "strategy_id", "site_domain_id"]
+    a = {k[:3]: k[3] for k in _key(per_request, cols + ["multiplier"])}
+    b = {k[:3]: k[3] for k in _key(expected, cols + ["multiplier"])}
+    assert a.keys() == b.keys() and len(a) > 0
+    assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_stream_prices_each_request_once(spark):
+    out = q_stream_requests(spark, SMALL)
+    n = out.count()
+    assert n > 0
+    assert out.select("dom_rec_id", "part").distinct().count() == n   # no request twice
+    req = X.event_requests(spark, SMALL)
+    priced = PIPE.price_requests(spark, SMALL, req)
+    assert n == priced.select("dom_rec_id").distinct().count()
