@@ -37,11 +37,25 @@ def predicted_domains(preds: DataFrame, lines: DataFrame, sites: DataFrame,
              .drop("name"))
 
 
-def first_domain_per_line(resolved: DataFrame) -> DataFrame:
-    """line_id -> smallest (cumulative_users, site_domain_id) of the line, with its score."""
-    return resolved.groupBy("line_id").agg(
-        F.min(F.struct("cumulative_users", "site_domain_id",
-                       F.col("percentage_recommendations").alias("score"))).alias("first"))
+def first_domain_per_line(resolved: DataFrame, small_lines: bool = True) -> DataFrame:
+    """line_id -> smallest (cumulative_users, site_domain_id) of the line, with
+    its score, as ``first`` struct.
+
+    Two numeric hash aggregations instead of ``min(struct)`` (a struct buffer
+    forces sort-based aggregation over the whole prediction side): the
+    line's smallest cumulative_users, then among the rows at that value the
+    smallest id and its score. Both are partially aggregated; the per-line
+    minimum is joined back by broadcast when the line count is within the
+    bound (``small_lines``, checked by the caller on the lines table)."""
+    low = resolved.groupBy("line_id").agg(F.min("cumulative_users").alias("_min_cum"))
+    at_low = resolved.join(F.broadcast(low) if small_lines else low, "line_id") \
+        .where(F.col("cumulative_users") == F.col("_min_cum"))
+    best = at_low.groupBy("line_id", "_min_cum").agg(
+        F.min("site_domain_id").alias("_sdid"),
+        F.min_by("percentage_recommendations", "site_domain_id").alias("_score"))
+    return best.select("line_id", F.struct(
+        F.col("_min_cum").alias("cumulative_users"), F.col("_sdid").alias("site_domain_id"),
+        F.col("_score").alias("score")).alias("first"))
 
 
 def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: DataFrame,
@@ -60,7 +74,7 @@ def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: Dat
     (strategies x domains). The first domain is added per unit.
     """
     resolved = predicted_domains(preds, lines, sites, max_dim_rows)
-    line_first = first_domain_per_line(resolved)
+    line_first = first_domain_per_line(resolved, within_rows(lines.select("line_id"), max_dim_rows))
     inp = inputs.select(*keys, "line_id", F.col("unique_count").alias("cap"),
                         F.col("algorithm_id").alias("algo_id"))
     small = within_rows(inputs, max_dim_rows)  # bounds inp, pairs and the per-unit tables
@@ -104,7 +118,7 @@ def first_domain(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
                  sites: DataFrame) -> DataFrame:
     """W1 with row_n = 1: each strategy's first domain (ties by id)."""
     resolved = predicted_domains(preds, lines, sites)
-    line_first = first_domain_per_line(resolved)
+    line_first = first_domain_per_line(resolved, within_rows(lines.select("line_id"), 1_000_000))
     first = (inputs.select("strategy_id", "line_id").join(line_first, "line_id")
                    .groupBy("strategy_id").agg(F.min("first").alias("first")))
     return first.select("strategy_id",
