@@ -100,7 +100,7 @@ def parse_header(header_lines: DataFrame, text_col: str = "text", keep=()) -> Da
 def header_layout(spark: SparkSession, header_path: str) -> tuple[int, list[tuple[int, str]]]:
     """Array index and (index, name) of the dimension columns. The header is a
     single line (schema metadata), read on the driver like a schema."""
-    rows = parse_header(read_lines(spark, header_path)).limit(1000).collect()
+    rows = parse_header(read_lines(spark, header_path)).collect()  # one line: its columns
     arr = [r.idx for r in rows if r.is_array]
     if len(arr) != 1:
         raise ValueError("price file header needs exactly one Array column")

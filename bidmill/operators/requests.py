@@ -42,6 +42,8 @@ def claim_batch(queue: DataFrame, n: int) -> DataFrame:
     top n; the guard is then a check over those n rows only (top-n is a
     bounded, per-partition-then-merged sort).
     """
+    if not 0 < n <= DEFAULT_MAX_ROWS:
+        raise ValueError(f"claim size must be in 1..{DEFAULT_MAX_ROWS}")
     busy = (F.col("status") == "in_process").cast("int")
     top = (queue.where(F.col("status").isin("new", "in_process"))
                 .select("dom_rec_id", busy.alias("_busy"))
@@ -54,7 +56,9 @@ def claim_state(queue: DataFrame, claimed: DataFrame, token: str, run_ts) -> Dat
     """The queue after the claim: process name, in_process, date."""
     c = claimed.where(F.col("dom_rec_id").isNotNull()).select(
         "dom_rec_id", F.lit(True).alias("_claimed"))
-    c = F.broadcast(c)  # the claim is bounded by its N (one row by default)
+    # a claim is claim_next (one row) or claim_batch(n) with n within the
+    # broadcast bound, so broadcasting it is safe by construction
+    c = F.broadcast(c)
     q = queue.join(c, "dom_rec_id", "left")
     hit = F.coalesce(F.col("_claimed"), F.lit(False))
     return q.select(

@@ -71,7 +71,7 @@ def q_claimed_request(spark, sf_dir):
     queue = X.request_queue(spark, sf_dir)
     claimed = R.claim_next(queue)
     after = R.claim_state(queue, claimed, TOKEN, DEFAULT_RUN_TS)
-    mine = after.join(F.broadcast(claimed), "dom_rec_id", "left_semi")
+    mine = after.join(F.broadcast(claimed), "dom_rec_id", "left_semi")  # one row
     return R.as_text(mine)
 
 

@@ -54,3 +54,36 @@ def test_keys_keep_requests_apart(spark):
     out = C.candidates(two, lines, preds, sites, keys=("dom_rec_id", "strategy_id"))
     counts = {r.dom_rec_id: r["count"] for r in out.groupBy("dom_rec_id").count().collect()}
     assert counts == {1: 1, 2: 3}
+
+
+def test_hot_line_equals_window_form(spark):
+    """One line holds most strategies and domains (the skew case), with
+    duplicate dictionary names, NULL/-1/0 caps and a second line."""
+    strategies = [(s, 1 if s % 10 else 2, [None, -1, 0, 5, 40, 120][s % 6], -1) for s in range(1, 61)]
+    inputs = spark.createDataFrame(strategies, "strategy_id long, line_id long, unique_count long, "
+                                               "algorithm_id int")
+    lines = spark.createDataFrame([(1,), (2,), (2,)], "line_id long")          # duplicate line row
+    preds = []
+    for line, n in ((1, 200), (2, 12)):
+        cum = 0.0
+        for d in range(n):
+            users = float((d * 7) % 13 + 1)
+            cum += users
+            preds.append((line, f"d{line}-{d}.example", users / 1000.0, cum))
+    preds = spark.createDataFrame(preds, "line_id long, domain_name string, "
+                                         "percentage_recommendations double, cumulative_users double")
+    names = [(i, f"d1-{i}.example") for i in range(1, 200)] + [(5000 + i, f"d2-{i}.example")
+                                                               for i in range(12)]
+    names += [(9000 + i, f"d1-{i}.example") for i in range(0, 200, 50)]      # duplicate names
+    sites = spark.createDataFrame(names, "site_domain_id long, name string")
+    a = C.candidates(inputs, lines, preds, sites)
+    b = C.candidates_window(inputs, lines, preds, sites)
+    assert a.count() > 1000
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_claim_batch_is_bounded(spark):
+    from bidmill.operators import requests as R
+    q = spark.createDataFrame([(1, "new")], "dom_rec_id long, status string")
+    with pytest.raises(ValueError):
+        R.claim_batch(q, 10_000_000)
