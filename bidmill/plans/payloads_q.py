@@ -219,12 +219,12 @@ def q_scan_price_file(spark, sf_dir):
 
 
 @query("parse_header", pay_sql("""
-select d.dimension as file_dimension, h.idx, h.name, h.type from
-  (select distinct 'site_domain_id2' as dimension from priced
-   union all select distinct 'city_id' from priced) d,
-  (select 0 as idx, 'D' as name, 'Long' as type union all
-   select 1, 'strategy_id:bid_price_multiplier', 'Array') h
-""".replace("h.name", "case when h.name = 'D' then d.dimension else h.name end as name")))
+select d.dimension as file_dimension, h.idx,
+       case when h.idx = 0 then d.dimension else 'strategy_id:bid_price_multiplier' end as name,
+       case when h.idx = 0 then 'Long' else 'Array' end as type
+from (select distinct 'site_domain_id2' as dimension from priced
+      union all select distinct 'city_id' from priced) d,
+     (select 0 as idx union all select 1) h"""))
 def q_parse_header(spark, sf_dir):
     """S3: the headers of the price files for the dimensions that have rows,
     parsed into (index, name, type)."""

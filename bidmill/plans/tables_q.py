@@ -13,7 +13,7 @@ from bidmill.functions.timefn import DEFAULT_RUN_TS, up_to_date, up_to_hundredth
 from bidmill.operators import candidates as C
 from bidmill.operators import retention as RT
 from bidmill.plans import pipeline as PIPE
-from bidmill.plans.core import cand_sql, candidates_df, price_dampen_df
+from bidmill.plans.core import cand_sql, candidates_df
 from bidmill.plans.payloads_q import PRICED_SQL, priced_dims
 from bidmill.plans.registry import query
 from bidmill.session import scratch_path

@@ -1,6 +1,5 @@
 """The request-keyed batch pipeline and its streaming form."""
 
-import os
 
 from pyspark.sql import functions as F
 

@@ -1,6 +1,5 @@
 """Price file: header, line parse, merge rules, paging and the round trip."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from bidmill.operators import pricefile as PF
