@@ -32,7 +32,7 @@ def parse_dims(text, lenient: bool = False) -> Column:
     """JSON list of {dimension_type_id, dimension_value} -> array of
     struct with an integer value; a non-number raises (``lenient`` -> NULL)."""
     arr = F.from_json(_col(text), DIMS_TYPE)
-    cast = (lambda v: F.try_cast(v, "long")) if lenient else (lambda v: v.cast("long"))
+    cast = (lambda v: v.try_cast("long")) if lenient else (lambda v: v.cast("long"))
     return F.transform(arr, lambda d: F.struct(
         d["dimension_type_id"].alias("dimension_type_id"),
         cast(d["dimension_value"]).alias("dimension_value")))
