@@ -1,4 +1,4 @@
-"""Score -> price mapping per strategy.
+"""Score -> price mapping per strategy (J1, M1-M5, A4, A5, W2); P12 is in pricefile.price_entries.
 
 Each pricing function takes scored rows (keys, site_domain_id,
 probability_score, target_ecpm, min_bid, max_bid) and returns them with
@@ -126,12 +126,3 @@ def price_dampen_grouped(scored: DataFrame, keys=("strategy_id",), floor: float
         return pdf.assign(multiplier=(m * s + b) / floor, baseline=floor)
 
     return scored.groupBy(*keys).applyInPandas(fit, out_schema)
-
-
-def dedup_prices(priced: DataFrame, key_col: str = "key") -> DataFrame:
-    """One row per (key, strategy_id, multiplier); first in (score, id) order wins."""
-    return (priced.groupBy(key_col, "strategy_id", "multiplier")
-                  .agg(F.min_by(F.struct(*[c for c in priced.columns
-                                           if c not in (key_col, "strategy_id", "multiplier")]),
-                                F.struct("site_domain_id")).alias("r"))
-                  .select(key_col, "strategy_id", "multiplier", "r.*"))
