@@ -41,21 +41,15 @@ def first_domain_per_line(resolved: DataFrame, small_lines: bool = True) -> Data
     """line_id -> smallest (cumulative_users, site_domain_id) of the line, with
     its score, as ``first`` struct.
 
-    Two numeric hash aggregations instead of ``min(struct)`` (a struct buffer
-    forces sort-based aggregation over the whole prediction side): the
-    line's smallest cumulative_users, then among the rows at that value the
-    smallest id and its score. Both are partially aggregated; the per-line
-    minimum is joined back by broadcast when the line count is within the
-    bound (``small_lines``, checked by the caller on the lines table)."""
-    low = resolved.groupBy("line_id").agg(F.min("cumulative_users").alias("_min_cum"))
-    at_low = resolved.join(F.broadcast(low) if small_lines else low, "line_id") \
-        .where(F.col("cumulative_users") == F.col("_min_cum"))
-    best = at_low.groupBy("line_id", "_min_cum").agg(
-        F.min("site_domain_id").alias("_sdid"),
-        F.min_by("percentage_recommendations", "site_domain_id").alias("_score"))
-    return best.select("line_id", F.struct(
-        F.col("_min_cum").alias("cumulative_users"), F.col("_sdid").alias("site_domain_id"),
-        F.col("_score").alias("score")).alias("first"))
+    One pass: ``min(struct)`` partially aggregated per map task (a sort-based
+    aggregate, as the buffer is a struct), one row per line and task
+    shuffled. The alternative, a numeric hash minimum then the rows at that
+    minimum, reads the prediction side twice more; on remote storage those
+    scans cost more than the in-task sort. ``small_lines`` is unused here and
+    kept for callers."""
+    return resolved.groupBy("line_id").agg(
+        F.min(F.struct("cumulative_users", "site_domain_id",
+                       F.col("percentage_recommendations").alias("score"))).alias("first"))
 
 
 def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: DataFrame,
