@@ -20,8 +20,27 @@ from bidmill.session import ensure_checkpoint_dir
 from bidmill.sources.tables import TABLES, table, version
 
 
+def _code_version() -> str:
+    """Hash of the package's source: a stored table built by other code is
+    not reused."""
+    global _CODE
+    if _CODE is None:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        h = hashlib.sha1()
+        for dirpath, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(dirpath, f), "rb") as fh:
+                        h.update(fh.read())
+        _CODE = h.hexdigest()[:12]
+    return _CODE
+
+
+_CODE: str | None = None
+
+
 def _stamp(sf_dir: str, names: tuple[str, ...]) -> str:
-    parts = []
+    parts = [_code_version()]
     for n in names:
         st = os.stat(os.path.join(sf_dir, f"{n}.parquet"))
         parts.append(f"{n}:{st.st_size}:{st.st_mtime_ns}")
