@@ -37,7 +37,7 @@ def predicted_domains(preds: DataFrame, lines: DataFrame, sites: DataFrame,
              .drop("name"))
 
 
-def first_domain_per_line(resolved: DataFrame, small_lines: bool = True) -> DataFrame:
+def first_domain_per_line(resolved: DataFrame) -> DataFrame:
     """line_id -> smallest (cumulative_users, site_domain_id) of the line, with
     its score, as ``first`` struct.
 
@@ -45,8 +45,7 @@ def first_domain_per_line(resolved: DataFrame, small_lines: bool = True) -> Data
     aggregate, as the buffer is a struct), one row per line and task
     shuffled. The alternative, a numeric hash minimum then the rows at that
     minimum, reads the prediction side twice more; on remote storage those
-    scans cost more than the in-task sort. ``small_lines`` is unused here and
-    kept for callers."""
+    scans cost more than the in-task sort."""
     return resolved.groupBy("line_id").agg(
         F.min(F.struct("cumulative_users", "site_domain_id",
                        F.col("percentage_recommendations").alias("score"))).alias("first"))
@@ -68,7 +67,7 @@ def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: Dat
     (strategies x domains). The first domain is added per unit.
     """
     resolved = predicted_domains(preds, lines, sites, max_dim_rows)
-    line_first = first_domain_per_line(resolved, within_rows(lines.select("line_id"), max_dim_rows))
+    line_first = first_domain_per_line(resolved)
     inp = inputs.select(*keys, "line_id", F.col("unique_count").alias("cap"),
                         F.col("algorithm_id").alias("algo_id"))
     small = within_rows(inputs, max_dim_rows)  # bounds inp, pairs and the per-unit tables
@@ -112,7 +111,7 @@ def first_domain(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
                  sites: DataFrame) -> DataFrame:
     """W1 with row_n = 1: each strategy's first domain (ties by id)."""
     resolved = predicted_domains(preds, lines, sites)
-    line_first = first_domain_per_line(resolved, within_rows(lines.select("line_id"), 1_000_000))
+    line_first = first_domain_per_line(resolved)
     first = (inputs.select("strategy_id", "line_id").join(line_first, "line_id")
                    .groupBy("strategy_id").agg(F.min("first").alias("first")))
     return first.select("strategy_id",
