@@ -5,7 +5,7 @@ side (a limit job that stops early) and adds the broadcast hint only when the
 side is within the bound; otherwise the join stays a shuffle join, where AQE
 may still switch to a broadcast from runtime sizes and splits skewed keys.
 Use it on inputs that are cheap to count (base dimension tables and small
-derived tables), not on the output of a large pipeline.
+derived tables), not on the output of a large plan.
 """
 
 from __future__ import annotations

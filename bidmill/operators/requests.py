@@ -2,7 +2,7 @@
 
 The queue is a table; a "claim" is a new version of it. The reference claims
 one request per run behind an ``in_process`` guard; here the claim takes the
-N smallest ``new`` ids (N=1 is the reference) and the batch pipeline prices
+N smallest ``new`` ids (N=1 is the reference) and the batch job prices
 all claimed requests in one plan, keyed by dom_rec_id. Every step is a
 single pass or an equi-join on the queue key; the claimed set joins back as a
 broadcast only when N is within the broadcast bound.

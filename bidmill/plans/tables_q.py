@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from bidmill.functions.timefn import DEFAULT_RUN_TS, up_to_date, up_to_hundredth
 from bidmill.operators import candidates as C
 from bidmill.operators import retention as RT
-from bidmill.plans import pipeline as PIPE
+from bidmill.plans import dequeue as DQ
 from bidmill.plans.core import cand_sql, candidates_df
 from bidmill.plans.payloads_q import PRICED_SQL, priced_dims
 from bidmill.plans.registry import query
@@ -119,12 +119,12 @@ from event_requests r join priced p on r.strategy_id = p.strategy_id"""
 
 
 def _publish(spark, sf_dir, path):
-    """K9: the batch pipeline over the event requests, appended to the log
+    """K9: the dequeue job over the event requests, appended to the log
     partitioned by (algo_id, dt) (an emptied folder first, so a rerun does
     not append a second copy)."""
     req = X.event_requests(spark, sf_dir)
-    priced = PIPE.price_requests(spark, sf_dir, req)
-    rows = PIPE.log_rows(priced, req)
+    priced = DQ.price_requests(spark, sf_dir, req)
+    rows = DQ.log_rows(priced, req)
     sinks.truncate(rows.schema, spark, path, fmt="json", partition_by=["algo_id", "dt"])
     sinks.write_json_log(rows, path, partition_by=["algo_id", "dt"], mode="append")
     return rows.schema

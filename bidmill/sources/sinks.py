@@ -1,4 +1,4 @@
-"""Writers and readers for the tables the pipeline keeps.
+"""Writers and readers for the tables the job keeps.
 
 Written tables live below the shared checkpoint folder (see session.py), so a
 lost executor re-reads them instead of recomputing the lineage.
