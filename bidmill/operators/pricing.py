@@ -33,8 +33,9 @@ MISSING_TARGET = {"legacy": -1.0, "default": 1.0}
 
 
 def scored_inputs(cands: DataFrame, inputs: DataFrame, keys=("strategy_id",),
-                  missing_target: str = "legacy") -> DataFrame:
-    """Candidates with their strategy's target and bid bounds (inner join)."""
+                  missing_target: str = "legacy", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Candidates with their strategy's target and bid bounds (inner join),
+    plus any ``extra`` input columns."""
     target = F.col("target_ecpm")
     if missing_target == "default":
         target = F.when(target == MISSING_TARGET["legacy"], F.lit(1.0)).otherwise(
@@ -42,7 +43,7 @@ def scored_inputs(cands: DataFrame, inputs: DataFrame, keys=("strategy_id",),
     else:
         # a NULL target in the table itself is defaulted to 1 (COALESCE in the join)
         target = F.coalesce(target, F.lit(1.0))
-    inp = inputs.select(*keys, target.alias("target_ecpm"), "min_bid", "max_bid")
+    inp = inputs.select(*keys, target.alias("target_ecpm"), "min_bid", "max_bid", *extra)
     return cands.join(inp, list(keys))
 
 

@@ -75,12 +75,14 @@ def as_text(queue: DataFrame) -> DataFrame:
                           for c in QUEUE_TEXT_COLUMNS])
 
 
-def request_inputs(requests: DataFrame, email: str = DEFAULT_OWNER_EMAIL) -> DataFrame:
+def request_inputs(requests: DataFrame, email: str = DEFAULT_OWNER_EMAIL,
+                   extra: tuple[str, ...] = ()) -> DataFrame:
     """Q4: strategy input rows of requests (ten columns plus dom_rec_id).
 
     The text rules of the reference apply: a NULL becomes -1 (so a missing
     target is -1.0 and a missing audience is "no cap"); algorithm -1 and
-    dimension 1 are constants.
+    dimension 1 are constants. ``extra`` request columns ride along (so
+    later steps need no join back to the requests).
     """
     def num(c: str, t: str) -> Column:
         return F.coalesce(F.col(c).cast(t), F.lit(-1).cast(t))
@@ -95,7 +97,8 @@ def request_inputs(requests: DataFrame, email: str = DEFAULT_OWNER_EMAIL) -> Dat
         num("max_bid", "double").alias("max_bid"),
         F.lit(-1).alias("algorithm_id"),
         F.lit(1).alias("dimension_id"),
-        num("target_cpm", "double").alias("target_ecpm"))
+        num("target_cpm", "double").alias("target_ecpm"),
+        *extra)
 
 
 def strategy_inputs_from_raw(raw: DataFrame, uniques: DataFrame, logins: DataFrame) -> DataFrame:

@@ -56,10 +56,12 @@ def price_requests(spark: SparkSession, sf_dir: str, requests: DataFrame,
     """Priced candidates per request: dom_rec_id, strategy_id, site_domain_id,
     probability_score, algo_id, target_ecpm, min_bid, max_bid, multiplier, baseline."""
     t = tables or static_tables(spark, sf_dir)
-    inputs = R.request_inputs(request_details(requests, t["strategy_inputs"]))
+    # the request time rides along for the log (no join back to the requests)
+    extra = ("date_new",) if "date_new" in requests.columns else ()
+    inputs = R.request_inputs(request_details(requests, t["strategy_inputs"]), extra=extra)
     cands = C.candidates(inputs, t["linez"], t["predictions"], t["site_domains"], keys=KEYS)
     # read twice by the pricing function (group bounds, rows): computed once
-    scored = P.scored_inputs(cands, inputs, keys=KEYS).checkpoint(eager=True)
+    scored = P.scored_inputs(cands, inputs, keys=KEYS, extra=extra).checkpoint(eager=True)
     # one priced group per request: bounded by the requests' row count
     return P.PRICING[pricing](scored, keys=KEYS,
                               small_groups=within_rows(requests, DEFAULT_MAX_ROWS))
@@ -80,12 +82,11 @@ def request_payloads(priced: DataFrame, requests: DataFrame,
     return pl.select(*KEYS, "part", "url", "body")
 
 
-def log_rows(priced: DataFrame, requests: DataFrame) -> DataFrame:
+def log_rows(priced: DataFrame) -> DataFrame:
     """K8 rows: the score-file columns plus multiplier and baseline; dt and
-    timestamp from the time the request is processed (its arrival here)."""
-    when = broadcast_if_small(requests.select("dom_rec_id", "date_new"))
-    j = priced.join(when, "dom_rec_id")
-    return j.select(
+    timestamp from the time the request is processed (its arrival here),
+    carried on the priced rows."""
+    return priced.select(
         "strategy_id",
         F.array(F.struct(F.lit(1).cast("bigint").alias("dimension_type_id"),
                          F.col("site_domain_id").cast("string").alias("dimension_value")))

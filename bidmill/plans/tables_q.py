@@ -124,7 +124,7 @@ def _publish(spark, sf_dir, path):
     not append a second copy)."""
     req = X.event_requests(spark, sf_dir)
     priced = DQ.price_requests(spark, sf_dir, req)
-    rows = DQ.log_rows(priced, req)
+    rows = DQ.log_rows(priced)
     sinks.truncate(rows.schema, spark, path, fmt="json", partition_by=["algo_id", "dt"])
     sinks.write_json_log(rows, path, partition_by=["algo_id", "dt"], mode="append")
     return rows.schema
