@@ -62,3 +62,23 @@ def test_dynamic_overwrite_rules(spark, tmp_path):
     sinks.overwrite_partitions(spark.createDataFrame([(9, 1)], "x long, algo_id int"), path, ["algo_id"])
     got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
     assert got == [(1, -1), (9, 1)]                                # only partition 1 replaced
+
+
+def test_apply_retention_in_chunks(spark, tmp_path):
+    """Expired partitions dropped in several multi-spec statements; text
+    partition values are quoted."""
+    path = str(tmp_path / "log")
+    rows = [(i, -1, 20240100 + d, "x" if d % 2 else "y") for i, d in enumerate(range(1, 8))]
+    df = spark.createDataFrame(rows, "id long, algo_id int, dt int, src string")
+    df.write.partitionBy("algo_id", "dt").json(path)
+    name = "bidmill_test_retention"
+    RT.create_partitioned_table(spark, name, "id bigint, src string, algo_id int, dt int",
+                                ["algo_id", "dt"], path)
+    RT.repair_table(spark, name)
+    parts = RT.list_partitions(spark, name)
+    assert parts.count() == 7
+    expired = RT.expired_partitions(parts, F.lit("20240105"))
+    assert RT.apply_retention(spark, name, expired, chunk=2) == 4
+    left = sorted(r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    assert left == ["algo_id=-1/dt=20240105", "algo_id=-1/dt=20240106", "algo_id=-1/dt=20240107"]
+    assert RT._spec("a=1/b=x") == "PARTITION (a=1, b='x')"
