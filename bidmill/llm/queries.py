@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidmill.llm import minhash_dedup, passage_dedup
+from bidmill.llm import (imatch, labelled, line_dedup, minhash_dedup, mixing, passage_dedup,
+                         quality_cnn, sentencepiece_viterbi, topk_search, toxicity_nbsvm,
+                         url_templates)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,13 +25,113 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(_table(spark, sf_dir, "pages"))
+
+
+def _scored(module, spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = module.train(docs, _table(spark, sf_dir, "labels"))
+    rows = module.score(docs, model).select(F.col("row.doc_id").alias("doc_id"), "score")
+    return rows.select(
+        "doc_id", labelled.held_out(module.MODULUS, module.HELD).alias("held_out"), "score",
+        F.when(F.col("score") >= module.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+@_query
+def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(quality_cnn, spark, sf_dir)
+
+
+@_query
+def op3_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs).select(
+        F.col("row.doc_id").alias("doc_id"), F.col("cut.lines").cast("long").alias("n_lines"),
+        F.col("cut.removed").cast("long").alias("n_removed"),
+        F.col("cut.runs").cast("long").alias("n_runs"),
+        F.sha2(F.col("cut.text"), 256).alias("kept_sha256"))
+
+
+ORACLES["op4_line_dedup"] = rf"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents),
+marked AS (
+  SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS filled FROM split),
+ordered AS (
+  SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY place) AS following,
+         row_number() OVER (PARTITION BY doc_id ORDER BY place) AS idx
+  FROM marked WHERE filled),
+firsts AS (
+  SELECT *, min((doc_id, idx)) OVER (PARTITION BY line) AS first_line,
+         CASE WHEN following IS NOT NULL
+              THEN min((doc_id, idx)) OVER (PARTITION BY line, following) END AS first_pair
+  FROM ordered),
+later AS (
+  SELECT *, coalesce(following IS NOT NULL AND (doc_id, idx) > first_pair, false) AS starts,
+         length(line) >= {line_dedup.MIN_CHARS} AND (doc_id, idx) > first_line AS whole
+  FROM firsts),
+gone AS (
+  SELECT *, starts OR whole OR coalesce(lag(starts) OVER (PARTITION BY doc_id ORDER BY idx), false)
+            AS removed
+  FROM later),
+runs AS (
+  SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY idx), false)
+            AS begins
+  FROM gone),
+kept AS (
+  SELECT m.doc_id, m.place, m.line, m.filled, coalesce(r.removed, false) AS removed,
+         coalesce(r.begins, false) AS begins
+  FROM marked m LEFT JOIN runs r ON m.doc_id = r.doc_id AND m.place = r.place)
+SELECT doc_id, CAST(count(*) FILTER (filled) AS BIGINT) AS n_lines,
+       CAST(count(*) FILTER (removed) AS BIGINT) AS n_removed,
+       CAST(count(*) FILTER (begins) AS BIGINT) AS n_runs,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT removed), ''))
+         AS kept_sha256
+FROM kept GROUP BY doc_id
+"""
+
+
 @_query
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compared(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = passage_dedup.remove_repeated_passages(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed",
                       F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+@_query
+def op8_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(toxicity_nbsvm, spark, sf_dir)
+
+
+@_query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sentencepiece_viterbi.round_trip(docs, sentencepiece_viterbi.load())
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), F.col("n_tokens").cast("long").alias("n_tokens"),
+        "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("exact"))
+
+
+@_query
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))

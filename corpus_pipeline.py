@@ -1,7 +1,8 @@
 """Corpus pipeline: the stages a document collection runs through.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
-written as Parquet and read back as the next stage's docs.
+written as Parquet and read back as the next stage's docs. All but the last
+return the columns of ``docs``.
 """
 
 from __future__ import annotations
@@ -9,12 +10,62 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bidmill.llm.store import stored
+from bidmill.llm import (line_dedup, minhash_dedup, mixing, quality_cnn, sentencepiece_viterbi)
+from bidmill.llm.store import WORD, stored
 
-STAGES: list = []
 
-# a learned classifier and a tokenizer have no SQL form
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte convolution accepts (score of at least 0.7)."""
+    labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet"))
+    scored = quality_cnn.score(docs, quality_cnn.train(docs, labels))
+    return scored.where(F.col("score") >= quality_cnn.THRESHOLD).select("row.*")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of line runs go, and with them the documents that consist
+    of nothing else."""
+    cut = line_dedup.remove_repeated_lines(docs)
+    text = F.when(F.col("cut.removed") > 0, F.col("cut.text")).otherwise(F.col("row.text"))
+    left = cut.where((F.col("cut.removed") == 0) | F.col("cut.text").rlike(WORD))
+    return left.select(*[
+        text.alias(c) if c == "text" else
+        F.when(F.col("cut.removed") > 0, F.length("cut.text")).otherwise(F.col("row.n_chars"))
+        .cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"row.`{c}`")
+        for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group stays."""
+    groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"))
+    kept = groups.where("kept").select("doc_id").distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes, by document."""
+    return mixing.mixed_documents(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_tokens and the piece ids of each text."""
+    encoded = sentencepiece_viterbi.encode(docs.select("doc_id", "source", "text"),
+                                           sentencepiece_viterbi.load())
+    return encoded.select("row.doc_id", "row.source",
+                          F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality_classifier", keep_quality),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("source_mixing", mix_sources),
+    ("sentencepiece", encode_pieces),
+]
+
+# a learned classifier and a tokenizer have no SQL form; tests hold the
+# pipeline against plain versions of its stages
 ORACLE_SQL = None
 
 

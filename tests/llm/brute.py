@@ -60,3 +60,67 @@ def near_duplicates(rows, k=5, percent=75):
             x, y = sorted((find(a), find(b)))
             parent[y] = x
     return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
+
+
+def top_products(rows, k=5, every=50):
+    """rows of (vec_id, vector) -> sorted (query_id, rank, vec_id, score)"""
+    import math
+    ok = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows
+          if v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (i, q) in enumerate(ok):
+        if i % every:
+            continue
+        best = sorted((-sum(x * y for x, y in zip(q, v)), j)
+                      for b, (j, v) in enumerate(ok) if b != a)[:k]
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
+    return sorted(out)
+
+
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
+         ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def url_parts(url):
+    """url -> (host, path, rule, verdict or None)"""
+    if url is None or "://" not in url:
+        host = path = ""
+    else:
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+        host = host.encode().lower().decode()
+    fits = [(len(h + p), h + p, v) for h, p, v in RULES
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    _, rule, verdict = max(fits, default=(0, None, None))
+    return host, path, rule, verdict
+
+
+def edited(rows):
+    """rows of (doc_id, text) -> {doc_id: (n_chars, sha256 of the edited text)}"""
+    rows = sorted((i, t or "") for i, t in rows)
+    out = {}
+    for k, (i, t) in enumerate(rows):
+        n, nxt = len(t) // 4, rows[(k + 1) % len(rows)][1]
+        new = t[:len(t) - n] + nxt[:n]
+        out[i] = (len(t), hashlib.sha256(new.encode()).hexdigest())
+    return out
+
+
+def mix_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
+    """{source: words} -> {source: target}, by handing out the excess again and again"""
+    order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    target, left, free = dict.fromkeys(order, 0.0), share * sum(sizes.values()), set(order)
+    while left > 1e-9 and free:
+        total = sum(weight[s] for s in free)
+        over = 0.0
+        for s in sorted(free, key=order.index):
+            target[s] += left * weight[s] / total
+        for s in list(free):
+            if target[s] >= cap * sizes[s]:
+                over += target[s] - cap * sizes[s]
+                target[s] = float(cap * sizes[s])
+                free.discard(s)
+        left = over
+    return target
