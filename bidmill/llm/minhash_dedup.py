@@ -6,10 +6,13 @@
 2. Classes that share a band of ``rows`` minima meet in a bucket. Each bucket
    is first compared with its smallest member only (a star), and links found
    are joined into components. Only buckets that still hold several components
-   are looked at again: small ones by their pairs across components, large ones
-   by splitting them on a second band (pairs that share two bands), at last by
-   one star after another. So a group of thousands of copies costs its size,
-   not its square, and no candidate is left out.
+   are looked at again: all pairs across components where these are at most
+   ``PAIRS_PER_MEMBER`` times the members; otherwise with one more leader at a
+   time from outside the largest component, after ``ROUNDS`` leaders also split
+   on a second and third band (pairs that share these bands as well). Every pair across
+   components has a member outside the largest one, so once all of those have
+   led, no candidate is left out, and a group of thousands of copies costs its
+   size, not its square.
 3. A candidate pair's signatures are compared batch by batch; the pair is
    dropped once the posterior probability of a similarity of ``threshold`` or
    more (uniform prior) is below ``miss``. Survivors are confirmed on their
@@ -44,8 +47,8 @@ BANDS, ROWS = 32, 4
 THRESHOLD = 75          # percent
 MISS = 1e-6
 BATCH = 16
-SMALL_BUCKET = 32
-SPLIT_LEVELS = 2
+PAIRS_PER_MEMBER = 32
+ROUNDS, SPLIT_LEVELS = 3, 2
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, shingle: int):
@@ -233,60 +236,67 @@ class _Search:
         shared = stored(keyed.join(least, "key"), "buckets")
         self.add(shared.where(F.col("_id") != F.col("a")).select("a", F.col("_id").alias("b")))
         discard(least)
-        return shared.drop("a")
-
-    def mixed(self, keyed: DataFrame, name: str) -> DataFrame:
-        """Rows of buckets that still hold more than one component."""
-        now = stored(self.label(keyed), name)
-        sizes = stored(now.groupBy("key").agg(
-            F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-            .where("lo < hi").select("key", "size"), name + "-sizes")
-        return stored(now.join(sizes, "key"), name + "-mixed")
-
-    def small(self, keyed: DataFrame) -> None:
-        """Pairs across components in buckets of bounded size."""
-        one = keyed.select("key", F.col("_id").alias("a"), F.col("label").alias("la"))
-        two = keyed.select("key", F.col("_id").alias("b"), F.col("label").alias("lb"))
+        return shared.withColumn("led", F.col("_id") == F.col("a")).drop("a")
+
+    def mixed(self, shared: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of buckets that still hold several components, with the largest
+        one: those whose pairs across components are few, and the others."""
+        now = stored(self.label(shared), "bucket-labels")
+        parts = now.groupBy("key", "label").agg(F.count("*").alias("n"))
+        stats = stored(parts.groupBy("key").agg(
+            F.count("*").alias("parts"), F.sum("n").alias("members"),
+            F.sum(F.col("n") * F.col("n")).alias("squares"),
+            F.max_by("label", F.struct("n", -F.col("label"))).alias("main"))
+            .where("parts > 1").select("key", "main", (
+                F.col("members") * F.col("members") - F.col("squares")
+                <= 2 * PAIRS_PER_MEMBER * F.col("members")).alias("few")), "bucket-stats")
+        rows = now.join(stats, "key")
+        return rows.where("few").drop("few"), rows.where("not few").drop("few")
+
+    def across(self, rows: DataFrame) -> None:
+        """All pairs across components, where they are few for the members."""
+        one = rows.select("key", F.col("_id").alias("a"), F.col("label").alias("la"))
+        two = rows.select("key", F.col("_id").alias("b"), F.col("label").alias("lb"))
         self.add(one.join(two, "key").where("a < b and la != lb").select("a", "b"))
 
+    def lead(self, rows: DataFrame) -> DataFrame | None:
+        """Compare the members with one more leader of each bucket; None once
+        every member outside the largest component has led."""
+        leads = stored(rows.where("not led and label != main").groupBy("key").agg(
+            F.min(F.struct("_id", "label")).alias("lead")).select(
+                "key", F.col("lead._id").alias("c"), F.col("lead.label").alias("lc")), "bucket-turns")
+        if leads.isEmpty():
+            return None
+        pairs = rows.join(leads, "key").where("label != lc")
+        self.add(pairs.select(F.least("_id", "c").alias("a"), F.greatest("_id", "c").alias("b")))
+        return rows.join(leads, "key").withColumn(
+            "led", F.col("led") | (F.col("_id") == F.col("c"))).drop("label", "main", "c", "lc")
+
     def run(self) -> DataFrame:
         keyed = self.band_keys()
         for level in range(SPLIT_LEVELS + 1):
-            mixed = self.mixed(self.star(keyed), f"level{level}")
-            few = mixed.where(F.col("size") <= SMALL_BUCKET)
-            if not few.isEmpty():
-                self.small(few)
-            rest = mixed.where(F.col("size") > SMALL_BUCKET).drop("label", "size")
-            if rest.isEmpty():
-                return self.labels
-            if level == SPLIT_LEVELS:
-                break
-            # split large buckets by every later band
+            shared = self.star(keyed)
+            leaders = 0
+            while True:
+                few, many = self.mixed(shared)
+                if not few.isEmpty():
+                    self.across(few)
+                if many.isEmpty():
+                    return self.labels
+                leaders += 1
+                if leaders > ROUNDS and level < SPLIT_LEVELS:
+                    break
+                shared = self.lead(many)
+                if shared is None:
+                    return self.labels
+                shared = stored(shared, "buckets")
+            # split what is left by every later band
             others = self.band_keys().select("_id", F.col("band").alias("other"),
                                              F.col("key").alias("more"))
-            keyed = stored(rest.join(others, "_id").where("other > band").select(
+            keyed = stored(many.join(others, "_id").where("other > band").select(
                 "_id", F.col("other").alias("band"), F.xxhash64("key", "more").alias("key")),
                 f"split{level}")
-        return self.one_by_one(rest)
-
-    def one_by_one(self, keyed: DataFrame) -> DataFrame:
-        """Buckets that no second band splits: star after star, each round from
-        the smallest member that has not led, until one component is left."""
-        keyed = stored(keyed.select("key", "_id").withColumn("done", F.lit(NO_ID)), "rest")
-        while True:
-            now = stored(self.label(keyed), "rest-labels")
-            leads = stored(now.groupBy("key").agg(
-                F.min("label").alias("lo"), F.max("label").alias("hi"),
-                F.min(F.when(F.col("_id") > F.col("done"), F.struct("_id", "label")))
-                .alias("lead")).where("lo < hi and lead is not null").select(
-                    "key", F.col("lead._id").alias("a"), F.col("lead.label").alias("la")),
-                "rest-leads")
-            if leads.isEmpty():
-                return self.labels
-            pairs = now.join(leads, "key")
-            self.add(pairs.where(F.col("_id") > F.col("a")).where("label != la")
-                     .select("a", F.col("_id").alias("b")))
-            keyed = stored(pairs.select("key", "_id", F.col("a").alias("done")), "rest")
+        return self.labels
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
