@@ -5,14 +5,15 @@
    smallest id of a class goes on.
 2. Classes that share a band of ``rows`` minima meet in a bucket. Each bucket
    is first compared with its smallest member only (a star), and links found
-   are joined into components. Only buckets that still hold several components
-   are looked at again: all pairs across components where these are at most
-   ``PAIRS_PER_MEMBER`` times the members; otherwise with one more leader at a
-   time from outside the largest component, after ``ROUNDS`` leaders also split
-   on a second and third band (pairs that share these bands as well). Every pair across
-   components has a member outside the largest one, so once all of those have
-   led, no candidate is left out, and a group of thousands of copies costs its
-   size, not its square.
+   are joined into components, so thousands of close copies cost their number.
+   Only buckets that still hold several components are looked at again. Their
+   members are dealt to blocks, and a task compares two blocks at a time in
+   memory: pairs of one component, or that met in an earlier band, are passed
+   over, and only links leave the task, never pairs. A bucket of more than
+   ``LARGE_BUCKET`` members first gets ``ROUNDS`` more leaders from outside its
+   largest component, and is then split on a second and third band (pairs that
+   share these bands as well); what is left at last is led by one member after
+   another until all outside the largest component have led.
 3. A candidate pair's signatures are compared batch by batch; the pair is
    dropped once the posterior probability of a similarity of ``threshold`` or
    more (uniform prior) is below ``miss``. Survivors are confirmed on their
@@ -47,7 +48,7 @@ BANDS, ROWS = 32, 4
 THRESHOLD = 75          # percent
 MISS = 1e-6
 BATCH = 16
-PAIRS_PER_MEMBER = 32
+LARGE_BUCKET, BLOCK = 8192, 256
 ROUNDS, SPLIT_LEVELS = 3, 2
 
 
@@ -146,26 +147,31 @@ def _survivors(width: int, batch: int, threshold: float, miss: float):
     return run
 
 
+def _distinct_sets(column, shingle: int):
+    for _, buf, off in ts.blocks(column, 1 << 18):
+        hashes, bounds = shingle_sets(buf, off, shingle)
+        for d in range(len(off) - 1):
+            yield np.unique(hashes[bounds[d]:bounds[d + 1]])
+
+
+def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
 def _confirmed(shingle: int, percent: int):
     """Rows come sorted by (a, part, side): the text of ``a``, then its partners'."""
-    def sets(column):
-        for _, buf, off in ts.blocks(column, 1 << 18):
-            hashes, bounds = shingle_sets(buf, off, shingle)
-            for d in range(len(off) - 1):
-                yield np.unique(hashes[bounds[d]:bounds[d + 1]])
-
     def run(batches):
         lead, whose = None, None
         for rows in batches:
             found_a, found_b = [], []
             a, b, part = (rows.column(c).to_pylist() for c in ("a", "b", "part"))
-            for i, own in enumerate(sets(rows.column("_text"))):
+            for i, own in enumerate(_distinct_sets(rows.column("_text"), shingle)):
                 if b[i] is None:
                     lead, whose = own, (a[i], part[i])
                     continue
                 assert whose == (a[i], part[i]), "a partner came without its leader"
-                both = len(np.intersect1d(lead, own, assume_unique=True))
-                if 100 * both >= percent * (len(lead) + len(own) - both):
+                if _linked(lead, own, percent):
                     found_a.append(a[i])
                     found_b.append(b[i])
             yield pa.RecordBatch.from_arrays(
@@ -173,6 +179,69 @@ def _confirmed(shingle: int, percent: int):
     return run
 
 
+def _block_links(shingle: int, percent: int, miss: float, bands: int, rows_: int, first: bool):
+    """Rows come sorted by (key, i, j): the members of two blocks of a bucket
+    (of one, if i = j). Emits the links between different components."""
+    width = bands * rows_
+    need = np.array(least_matches(width, BATCH, percent / 100, miss))
+
+    def links(group: pa.Table):
+        group = group.combine_chunks()
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        ids, labels, block, sizes, band = (group.column(c).to_numpy() for c in (
+            "_id", "label", "block", "n", "band"))
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()),
+                            dtype=np.uint32).reshape(-1, width)
+        sets = list(_distinct_sets(group.column("_text").combine_chunks(), shingle))
+        root = {}
+
+        def find(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        for n, x in enumerate(left):
+            others = left[n + 1:] if i == j else right
+            others = others[(labels[others] != labels[x])
+                            & (100 * np.minimum(sizes[others], sizes[x])
+                               >= percent * np.maximum(sizes[others], sizes[x]))]
+            if not len(others):
+                continue
+            same = sig[others] == sig[x]
+            seen = same.reshape(-1, len(need), BATCH).sum(axis=2).cumsum(axis=1)
+            good = (seen >= need).all(axis=1)
+            if first:
+                meet = same.reshape(-1, bands, rows_).all(axis=2)
+                good &= meet.argmax(axis=1) == band[x]
+            for y in others[good]:
+                a, b = find(labels[x]), find(labels[y])
+                if a != b and _linked(sets[x], sets[y], percent):
+                    root[max(a, b)] = min(a, b)
+                    yield int(ids[x]), int(ids[y])
+
+    def run(batches):
+        held, whose = [], None
+
+        def done():
+            found = list(links(pa.Table.from_batches(held))) if held else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+        for batch in batches:
+            at = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
+            cuts = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if lo == hi:
+                    continue
+                if tuple(at[:, lo]) != whose:
+                    yield done()
+                    held, whose = [], tuple(at[:, lo])
+                held.append(batch.slice(lo, hi - lo))
+        yield done()
+    return run
+
+
 class _Search:
     """Links between classes, found bucket by bucket."""
 
@@ -222,7 +291,9 @@ class _Search:
             .sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
             .mapInArrow(_confirmed(self.shingle, self.percent), "a long, b long"), "links")
         discard(pairs, survivors, counts)
-        links = links.select(F.col("b").alias("u"), F.col("a").alias("v"))
+        self.connect(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
+
+    def connect(self, links: DataFrame) -> None:
         # the links found so far are in the labels, as stars
         edges = links if self.labels is None else links.unionByName(
             self.labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
@@ -240,24 +311,32 @@ class _Search:
 
     def mixed(self, shared: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows of buckets that still hold several components, with the largest
-        one: those whose pairs across components are few, and the others."""
+        one and the number of members: those of bounded size, and the others."""
         now = stored(self.label(shared), "bucket-labels")
         parts = now.groupBy("key", "label").agg(F.count("*").alias("n"))
         stats = stored(parts.groupBy("key").agg(
             F.count("*").alias("parts"), F.sum("n").alias("members"),
-            F.sum(F.col("n") * F.col("n")).alias("squares"),
             F.max_by("label", F.struct("n", -F.col("label"))).alias("main"))
-            .where("parts > 1").select("key", "main", (
-                F.col("members") * F.col("members") - F.col("squares")
-                <= 2 * PAIRS_PER_MEMBER * F.col("members")).alias("few")), "bucket-stats")
+            .where("parts > 1").select("key", "main", "members"), "bucket-stats")
         rows = now.join(stats, "key")
-        return rows.where("few").drop("few"), rows.where("not few").drop("few")
-
-    def across(self, rows: DataFrame) -> None:
-        """All pairs across components, where they are few for the members."""
-        one = rows.select("key", F.col("_id").alias("a"), F.col("label").alias("la"))
-        two = rows.select("key", F.col("_id").alias("b"), F.col("label").alias("lb"))
-        self.add(one.join(two, "key").where("a < b and la != lb").select("a", "b"))
+        return (rows.where(F.col("members") <= LARGE_BUCKET),
+                rows.where(F.col("members") > LARGE_BUCKET).drop("members"))
+
+    def across(self, rows: DataFrame, first: bool) -> None:
+        """Links across the components of buckets, two blocks at a time."""
+        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+        own = rows.select("key", "band", "_id", "label", blocks.alias("blocks"),
+                          F.pmod(F.xxhash64("_id"), blocks).cast("int").alias("block"))
+        dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("key", "band", "_id", "label", "block",
+                             F.least("block", "other").alias("i"),
+                             F.greatest("block", "other").alias("j"))
+        full = (dealt.join(self.classes, "_id").join(self.texts, "_id")
+                .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+        links = stored(full.mapInArrow(_block_links(
+            self.shingle, self.percent, self.miss, self.bands, self.rows, first),
+            "u long, v long"), "links")
+        self.connect(links)
 
     def lead(self, rows: DataFrame) -> DataFrame | None:
         """Compare the members with one more leader of each bucket; None once
@@ -280,7 +359,7 @@ class _Search:
             while True:
                 few, many = self.mixed(shared)
                 if not few.isEmpty():
-                    self.across(few)
+                    self.across(few, first=level == 0)
                 if many.isEmpty():
                     return self.labels
                 leaders += 1
