@@ -23,9 +23,9 @@ def money_number(c) -> Column:
 
 
 def number_text(c) -> Column:
-    """Decimal text of a double with up to 10 decimals and no exponent; the
-    price file's number format (exact binary value, half-even)."""
-    return F.call_function("format_number", _col(c), F.lit("0.##########"))
+    """The price file's number format: the shortest text that reads back as
+    the same double."""
+    return _col(c).cast("double").cast("string")
 
 
 def parse_dims(text, lenient: bool = False) -> Column:

@@ -8,9 +8,8 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A fixed default run time for tests and registered queries (the time of the
-# reference's pasted session).
-DEFAULT_RUN_TS = "2016-04-08 17:48:33"
+# A fixed default run time for tests and registered queries.
+DEFAULT_RUN_TS = "2024-05-17 09:41:26"
 
 
 def ts_col(run_ts) -> Column:

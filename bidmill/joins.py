@@ -1,32 +1,45 @@
 """Join helpers: broadcast only behind a size check.
 
-``broadcast_if_small`` counts at most ``max_rows + 1`` rows of a dimension
-side (a limit job that stops early) and adds the broadcast hint only when the
-side is within the bound; otherwise the join stays a shuffle join, where AQE
-may still switch to a broadcast from runtime sizes and splits skewed keys.
-Use it on inputs that are cheap to count (base dimension tables and small
-derived tables), not on the output of a large plan.
+A side counts as small when its rows times an estimate of their width fit
+``max_bytes``. The plan's own statistics answer first (base files and narrow
+projections of them need no job); where they say too much, which they do for
+joins and aggregates, a partially aggregated ``count`` decides. Nothing is
+remembered between calls: a table may have grown. Above the bound the join
+stays a shuffle join, where AQE may still broadcast from run-time sizes and
+splits skewed keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Default bound: a million rows of a few narrow columns is tens of MB.
-DEFAULT_MAX_ROWS = 1_000_000
+DEFAULT_MAX_BYTES = 64 << 20
 
+_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+                T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+                T.TimestampNTZType: 8, T.DecimalType: 16}
 
-# answers per (application, plan): the same dimension table is checked once
-_CHECKED: dict[tuple, bool] = {}
 
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes of a row; text and nested values count as 64 bytes."""
+    return 8 + sum(_FIXED_WIDTH.get(type(f.dataType), 64) for f in schema.fields)
 
-def within_rows(df: DataFrame, max_rows: int) -> bool:
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
 
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate (an upper bound for scans and filters)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size))
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if within_rows(df, max_rows) else df
+
+def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    # files are compressed, so their size must be well inside the bound
+    if planned_bytes(df) * 8 <= max_bytes:
+        return True
+    rows = df.agg(F.count(F.lit(1))).first()[0]
+    return rows * row_width(df.schema) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_bytes) else df

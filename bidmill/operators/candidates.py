@@ -21,18 +21,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidmill.joins import broadcast_if_small, within_rows
+from bidmill.joins import broadcast_if_small, is_small
 
 SITE_DOMAIN_TYPE = 1  # dimension_type_id of a site domain
 
 
-def predicted_domains(preds: DataFrame, lines: DataFrame, sites: DataFrame,
-                      max_dim_rows: int = 1_000_000) -> DataFrame:
+def predicted_domains(preds: DataFrame, lines: DataFrame, sites: DataFrame) -> DataFrame:
     """Predictions of known lines, resolved to dictionary ids (one scan)."""
     p = preds.select("line_id", "domain_name", "percentage_recommendations",
                      "cumulative_users")
-    return (p.join(broadcast_if_small(lines.select("line_id"), max_dim_rows), "line_id")
-             .join(broadcast_if_small(sites.select("site_domain_id", "name"), max_dim_rows),
+    return (p.join(broadcast_if_small(lines.select("line_id")), "line_id")
+             .join(broadcast_if_small(sites.select("site_domain_id", "name")),
                    F.col("domain_name") == F.col("name"))
              .drop("name"))
 
@@ -52,8 +51,7 @@ def first_domain_per_line(resolved: DataFrame) -> DataFrame:
 
 
 def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: DataFrame,
-               keys: tuple[str, ...] = ("strategy_id",),
-               max_dim_rows: int = 1_000_000) -> DataFrame:
+               keys: tuple[str, ...] = ("strategy_id",)) -> DataFrame:
     """A1 of U1: distinct (keys..., site_domain_id, probability_score, algo_id).
 
     ``keys`` identifies one priced unit; a batch of requests passes
@@ -66,11 +64,11 @@ def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: Dat
     every domain of its line and filtering afterwards would be
     (strategies x domains). The first domain is added per unit.
     """
-    resolved = predicted_domains(preds, lines, sites, max_dim_rows)
+    resolved = predicted_domains(preds, lines, sites)
     line_first = first_domain_per_line(resolved)
     inp = inputs.select(*keys, "line_id", F.col("unique_count").alias("cap"),
                         F.col("algorithm_id").alias("algo_id"))
-    small = within_rows(inputs, max_dim_rows)  # bounds inp, pairs and the per-unit tables
+    small = is_small(inp)  # bounds inp, pairs and the per-unit tables
 
     def dim(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
@@ -92,19 +90,18 @@ def candidates(inputs: DataFrame, lines: DataFrame, preds: DataFrame, sites: Dat
     return capped.unionByName(firsts).distinct()
 
 
-def candidates_window(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
+def candidates_ranked(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
                       sites: DataFrame) -> DataFrame:
-    """Textbook form (row_number over the strategy); kept as a test oracle."""
-    rows = (inputs.join(lines, "line_id").join(preds, "line_id")
-                  .join(sites, F.col("domain_name") == F.col("name")))
-    w = Window.partitionBy("strategy_id").orderBy("cumulative_users", "site_domain_id")
-    return (rows.withColumn("row_n", F.row_number().over(w))
-                .where((F.col("row_n") == 1) | (F.col("cumulative_users") <= F.col("unique_count"))
-                       | (F.col("unique_count") == -1))
-                .select("strategy_id", "site_domain_id",
-                        F.col("percentage_recommendations").alias("probability_score"),
-                        F.col("algorithm_id").alias("algo_id"))
-                .distinct())
+    """Reference form for tests: each strategy's domains put in order, and the
+    first one kept besides those under the cap."""
+    rows = predicted_domains(preds, lines, sites).join(inputs, "line_id")
+    place = F.rank().over(Window.partitionBy("strategy_id")
+                          .orderBy("cumulative_users", "site_domain_id"))
+    fits = (F.col("unique_count") == -1) | (F.col("cumulative_users") <= F.col("unique_count"))
+    return (rows.withColumn("place", place).where((F.col("place") == 1) | fits)
+            .select("strategy_id", "site_domain_id",
+                    F.col("percentage_recommendations").alias("probability_score"),
+                    F.col("algorithm_id").alias("algo_id")).distinct())
 
 
 def first_domain(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
@@ -125,7 +122,7 @@ def capped_rows(inputs: DataFrame, lines: DataFrame, preds: DataFrame,
     the same per-(line, cap) prefix as ``candidates``."""
     resolved = predicted_domains(preds, lines, sites)
     inp = inputs.select("strategy_id", "line_id", F.col("unique_count").alias("cap"))
-    small = within_rows(inputs, 1_000_000)
+    small = is_small(inp)
     pairs = inp.select("line_id", "cap").where(F.col("cap").isNotNull()).distinct()
     prefix = resolved.join(F.broadcast(pairs) if small else pairs, "line_id").where(
         (F.col("cap") == -1) | (F.col("cumulative_users") <= F.col("cap")))

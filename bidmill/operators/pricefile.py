@@ -6,10 +6,10 @@ Reading merges lines: for (strategy, dimension, value) the last entry wins;
 a strategy's baseline comes from the first line that names it, and inside
 that line from its last entry.
 
-Because lines merge on read, a key does not have to fit on one line: keys
-with more than ``page_size`` entries are spread over several lines (by a hash
-of the strategy id, so one strategy's entries for a key stay on one line).
-No line, and no task building it, ever holds an unbounded group.
+A key is one line, as long as its strategies need. Its entries are made where
+the entry dedup puts them, spread by (key, strategy, multiplier), and each task
+gathers its own share first; only the finished texts of a key meet in the task
+that writes its line.
 """
 
 from __future__ import annotations
@@ -18,59 +18,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidmill.functions.text import make_key, value_string
+from bidmill.session import written
 
 # Fixed value that must equal the reference's: the header of the site-domain
 # price file.
 SITE_DOMAIN_HEADER = '"site_domain_id2":Long\t"strategy_id:bid_price_multiplier":Array'
 ARRAY_COLUMN = "strategy_id:bid_price_multiplier"
 
-DEFAULT_PAGE_SIZE = 10_000
-
 
 def header_for(dimensions: list[str], dim_type: str = "Long") -> str:
     return "\t".join([f'"{d}":{dim_type}' for d in dimensions] + [f'"{ARRAY_COLUMN}":Array'])
 
 
 def price_entries(priced: DataFrame, dims_col: str = "dims") -> DataFrame:
-    """F2 + P12: key per row, one row per (key, strategy, multiplier)."""
+    """F2 + P12: key per row, one row per (key, strategy, multiplier).
+
+    The rows are dealt by all three columns before the dedup, whatever the
+    input's partitioning: a hot strategy or key never stays in one task."""
+    by = ["key", "strategy_id", "multiplier"]
     keyed = priced.select(make_key(dims_col).alias("key"), "strategy_id", "multiplier", "baseline")
-    return keyed.dropDuplicates(["key", "strategy_id", "multiplier"])
-
-
-def _paged(entries: DataFrame, group: list[str], member, page_size: int,
-           materialize: bool = True) -> DataFrame:
-    """Add ``part``: 0 for groups up to page_size members, else a hash bucket
-    of ``member`` among ceil(n / page_size) buckets. The counts are a
-    partially aggregated groupBy joined back (one row per group). The entries
-    are read twice, so they are checkpointed first (one computation of the
-    upstream plan; the lineage stops there)."""
-    if materialize:
-        entries = entries.checkpoint(eager=True)
-    counts = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    nparts = F.ceil(F.col("_n") / F.lit(page_size)).cast("long")
-    return (entries.join(counts, group)
-                   .withColumn("part", F.when(nparts <= 1, F.lit(0).cast("long"))
-                               .otherwise(F.pmod(F.xxhash64(member), nparts)))
-                   .drop("_n"))
-
-
-def price_lines(entries: DataFrame, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """A6 + F3: (key, part, line); entries inside a line by (strategy_id, multiplier)."""
-    e = _paged(entries, ["key"], F.col("strategy_id"), page_size)
-    e = e.select("key", "part", F.struct("strategy_id", "multiplier",
-                                         value_string("strategy_id", "multiplier", "baseline")
-                                         .alias("vs")).alias("e"))
-    g = e.groupBy("key", "part").agg(F.array_sort(F.collect_list("e")).alias("es"))
-    return g.select("key", "part", F.concat_ws("\t", F.col("key"), F.array_join(
+    return keyed.repartition(*by).dropDuplicates(by)
+
+
+def price_lines(entries: DataFrame) -> DataFrame:
+    """A6 + F3: (key, line); entries inside a line by (strategy_id, multiplier)."""
+    e = F.struct("strategy_id", "multiplier",
+                 value_string("strategy_id", "multiplier", "baseline").alias("vs"))
+    g = entries.groupBy("key").agg(F.array_sort(F.collect_list(e)).alias("es"))
+    return g.select("key", F.concat_ws("\t", F.col("key"), F.array_join(
         F.transform("es", lambda x: x["vs"]), ",")).alias("line"))
 
 
 def export_price_file(lines: DataFrame, path: str) -> None:
     """K7 + O2: lines in key order (a distributed range sort), text files.
-    The range sort samples its input in a job of its own, so the lines (one
-    row per key and part) are materialized first instead of computed twice."""
-    lines = lines.checkpoint(eager=True)
-    lines.orderBy("key", "part").select("line").write.mode("overwrite").text(path)
+    The range sort samples its input in a job of its own, so the lines are
+    written first instead of being built twice."""
+    written(lines, "price-lines").orderBy("key").select("line").write.mode("overwrite").text(path)
 
 
 def write_header(spark: SparkSession, header: str, path: str) -> None:
@@ -78,10 +61,13 @@ def write_header(spark: SparkSession, header: str, path: str) -> None:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their file order (file, split start, position)."""
+    """Text lines with their file order (number of the part file, file,
+    split start, position)."""
     t = spark.read.text(path)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"part-([0-9]+)", 1)
     return t.select(
-        F.struct(F.col("_metadata.file_path").alias("file"),
+        F.struct(F.nullif(number, F.lit("")).cast("long").alias("part"),
+                 F.col("_metadata.file_path").alias("file"),
                  F.col("_metadata.file_block_start").alias("block"),
                  F.monotonically_increasing_id().alias("seq")).alias("line_no"),
         F.trim(F.col("value")).alias("text")).where(F.col("text") != "")

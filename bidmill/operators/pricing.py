@@ -4,10 +4,11 @@ Each pricing function takes scored rows (keys, site_domain_id,
 probability_score, target_ecpm, min_bid, max_bid) and returns them with
 ``multiplier`` and ``baseline``. The per-group constants (score bounds,
 target, mean) come from a partially aggregated ``groupBy`` joined back on the
-group key: the aggregate has one row per strategy, so the join back is a
-broadcast when the strategy count is small and an AQE-split shuffle join
-otherwise. The candidate rows are never sorted or buffered per group, which a
-whole-partition window would do.
+group key: the aggregate has one row per strategy. It is broadcast when the
+caller has found it small, and written first otherwise, so that the join's
+exchanges are right below its sorts and AQE can split a hot strategy. The
+candidate rows are never buffered per group, which a whole-partition window
+would do.
 
 The reference fits a least-squares line through 50 evenly spaced points from
 (min score, floor) to (max score, target); those points lie on one line, so
@@ -21,7 +22,9 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from bidmill.joins import broadcast_if_small
+from bidmill.session import written
 
 # Fixed value that must equal the reference's: the price floor of the active
 # pricing function (also its baseline).
@@ -35,7 +38,8 @@ MISSING_TARGET = {"legacy": -1.0, "default": 1.0}
 def scored_inputs(cands: DataFrame, inputs: DataFrame, keys=("strategy_id",),
                   missing_target: str = "legacy", extra: tuple[str, ...] = ()) -> DataFrame:
     """Candidates with their strategy's target and bid bounds (inner join),
-    plus any ``extra`` input columns."""
+    plus any ``extra`` input columns. Inputs within the broadcast bound move
+    to the candidates, which then aren't shuffled by strategy."""
     target = F.col("target_ecpm")
     if missing_target == "default":
         target = F.when(target == MISSING_TARGET["legacy"], F.lit(1.0)).otherwise(
@@ -44,7 +48,7 @@ def scored_inputs(cands: DataFrame, inputs: DataFrame, keys=("strategy_id",),
         # a NULL target in the table itself is defaulted to 1 (COALESCE in the join)
         target = F.coalesce(target, F.lit(1.0))
     inp = inputs.select(*keys, target.alias("target_ecpm"), "min_bid", "max_bid", *extra)
-    return cands.join(inp, list(keys))
+    return cands.join(broadcast_if_small(inp), list(keys))
 
 
 def _clean_score() -> Column:
@@ -62,7 +66,8 @@ def score_bounds(scored: DataFrame, keys=("strategy_id",)) -> DataFrame:
     """A4: per-group min/max score, min target, min min_bid, max max_bid, mean score."""
     s = _clean_score()
     return scored.groupBy(*keys).agg(
-        F.min(s).alias("lo"), F.max(s).alias("hi"), F.avg(s).alias("av"),
+        # the mean takes NaN scores along, as the reference's does
+        F.min(s).alias("lo"), F.max(s).alias("hi"), F.avg("probability_score").alias("av"),
         F.min("target_ecpm").alias("t"),
         F.min("min_bid").alias("mn"), F.max("max_bid").alias("mx"))
 
@@ -70,10 +75,12 @@ def score_bounds(scored: DataFrame, keys=("strategy_id",)) -> DataFrame:
 def _with_bounds(scored: DataFrame, keys, small_groups: bool = False) -> DataFrame:
     """Attach the group constants. ``small_groups`` says the caller has
     checked the number of groups (at most the inputs' row count) against the
-    broadcast bound; otherwise AQE picks the join from runtime sizes and
-    splits a hot group's partition."""
+    broadcast bound. Otherwise the bounds are written first: joined straight
+    back, the aggregate would sit between the exchange and the sort, and AQE
+    couldn't split a hot group."""
     bounds = score_bounds(scored, keys)
-    return scored.join(F.broadcast(bounds) if small_groups else bounds, list(keys))
+    bounds = F.broadcast(bounds) if small_groups else written(bounds, "score-bounds")
+    return scored.join(bounds, list(keys))
 
 
 def price_dampen(scored: DataFrame, keys=("strategy_id",), floor: float = PRICE_FLOOR,
@@ -107,23 +114,3 @@ PRICING: dict[str, Callable[..., DataFrame]] = {
     "target_ecpm_seed": price_mean_seed,
     "min_max_bid": price_min_max,
 }
-
-
-def price_dampen_grouped(scored: DataFrame, keys=("strategy_id",), floor: float = PRICE_FLOOR) -> DataFrame:
-    """M1 as the reference computes it: per group, a least-squares line through
-    50 points (NumPy, ``applyInPandas``). The slow path, kept as a test oracle
-    for ``price_dampen``; one group is one pandas frame, so use it on test
-    data only."""
-    out_schema = T.StructType(scored.schema.fields + [
-        T.StructField("multiplier", T.DoubleType()), T.StructField("baseline", T.DoubleType())])
-
-    def fit(pdf):
-        import numpy as np
-        s = pdf["probability_score"].astype("float64")
-        xs = np.linspace(s.min(), s.max())
-        ys = np.linspace(floor, float(pdf["target_ecpm"].min()))
-        a = np.vstack([xs, np.ones_like(xs)]).T
-        (m, b), *_ = np.linalg.lstsq(a, ys, rcond=None)
-        return pdf.assign(multiplier=(m * s + b) / floor, baseline=floor)
-
-    return scored.groupBy(*keys).applyInPandas(fit, out_schema)

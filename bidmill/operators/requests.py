@@ -5,17 +5,18 @@ one request per run behind an ``in_process`` guard; here the claim takes the
 N smallest ``new`` ids (N=1 is the reference) and the batch job prices
 all claimed requests in one plan, keyed by dom_rec_id. Every step is a
 single pass or an equi-join on the queue key; the claimed set joins back as a
-broadcast only when N is within the broadcast bound.
+broadcast only when its size is within the broadcast bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidmill.functions.timefn import queue_stamp, ts_col
-from bidmill.joins import DEFAULT_MAX_ROWS
+from bidmill.joins import broadcast_if_small
 
+# Fixed values that must equal the reference's: the columns of a request record.
 QUEUE_TEXT_COLUMNS = ("dom_rec_id", "bid_list_name", "bid_list_id", "strategy_name", "line_id",
                       "target_cpm", "uniques", "min_bid", "max_bid", "strategy_id", "status",
                       "process_name", "date_new", "date_in_process", "date_processed",
@@ -35,31 +36,23 @@ def claim_next(queue: DataFrame) -> DataFrame:
                       .alias("dom_rec_id"))
 
 
-def claim_batch(queue: DataFrame, n: int) -> DataFrame:
-    """Q1 generalised: the n smallest ``new`` ids, none if any is ``in_process``.
-
-    ``in_process`` rows sort first, so a busy queue puts one of them into the
-    top n; the guard is then a check over those n rows only (top-n is a
-    bounded, per-partition-then-merged sort).
-    """
-    if not 0 < n <= DEFAULT_MAX_ROWS:
-        raise ValueError(f"claim size must be in 1..{DEFAULT_MAX_ROWS}")
-    busy = (F.col("status") == "in_process").cast("int")
-    top = (queue.where(F.col("status").isin("new", "in_process"))
-                .select("dom_rec_id", busy.alias("_busy"))
-                .orderBy(F.col("_busy").desc(), F.col("dom_rec_id")).limit(n))
-    guard = F.max("_busy").over(Window.partitionBy())
-    return top.withColumn("_any", guard).where(F.col("_any") == 0).select("dom_rec_id")
+def claim_batch(queue: DataFrame, n: int | None = None) -> DataFrame:
+    """Q1 generalised: the n smallest ``new`` ids (all without n), none if any
+    request is ``in_process``. The guard is one row from one pass over the
+    status column; the claimed ids are a distributed top-n."""
+    if n is not None and n <= 0:
+        raise ValueError("a claim takes at least one request")
+    idle = queue.agg((F.coalesce(F.max((F.col("status") == "in_process").cast("int")),
+                                 F.lit(0)) == 0).alias("idle")).scalar()
+    new = queue.where((F.col("status") == "new") & idle).select("dom_rec_id")
+    return new if n is None else new.orderBy("dom_rec_id").limit(n)
 
 
 def claim_state(queue: DataFrame, claimed: DataFrame, token: str, run_ts) -> DataFrame:
     """The queue after the claim: process name, in_process, date."""
     c = claimed.where(F.col("dom_rec_id").isNotNull()).select(
         "dom_rec_id", F.lit(True).alias("_claimed"))
-    # a claim is claim_next (one row) or claim_batch(n) with n within the
-    # broadcast bound, so broadcasting it is safe by construction
-    c = F.broadcast(c)
-    q = queue.join(c, "dom_rec_id", "left")
+    q = queue.join(broadcast_if_small(c), "dom_rec_id", "left")
     hit = F.coalesce(F.col("_claimed"), F.lit(False))
     return q.select(
         *[F.when(hit, F.lit(token)).otherwise(F.col(x)).alias(x) if x == "process_name"

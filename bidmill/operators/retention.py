@@ -11,14 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidmill.schemas import OUTPUT_LOG, ddl
-
 # Fixed values that must equal the reference's: retention units in hours
 # (a month counts as 31 days); other units are rejected.
 UNIT_HOURS = {"m": 31 * 24, "d": 24}
 
-OUTPUT_LOG_DDL = ddl(OUTPUT_LOG)
-
 
 def retention_cutoff(run_date: Column, n: int, units: str) -> Column:
     """First dt (yyyyMMdd) to keep when keeping ``n`` units back from run_date."""

@@ -3,86 +3,59 @@
 ``sum(v) over (partition by k order by o rows unbounded preceding)`` puts a
 whole group into one task. Here the rows are range-partitioned on (k, o), so a
 hot group is spread over many partitions in its own order; each partition sums
-locally (one Arrow pass, rows already sorted), and a carry table with one row
-per partition adds the totals of the earlier partitions that hold the same
-group. The carry table is bounded by the number of partitions, so it is safe
-to broadcast whatever the data size.
+locally (a window over partition and key), and a carry table with one row per
+partition adds the totals of the earlier partitions that hold the same group.
+The carry table is bounded by the number of partitions, so it is broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-
-def _local_sums(key: str, value: str):
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-
-        last_code_key = None
-        carry = 0.0
-        pos = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[key]
-            # factorize keeps NULL keys together as one group, like a window does
-            codes, uniques = pd.factorize(keys, use_na_sentinel=False)
-            codes = pd.Series(codes, index=pdf.index)
-            starts = codes.ne(codes.shift())
-            run_id = starts.cumsum()
-            vals = pdf[value].astype("float64").fillna(0.0)
-            cum = vals.groupby(run_id).cumsum()
-            first_key = keys.iloc[0]
-            same_as_carry = last_code_key is not None and (
-                (pd.isna(first_key) and pd.isna(last_code_key)) or first_key == last_code_key)
-            if same_as_carry:
-                cum = cum.where(run_id != 1, cum + carry)
-            last_code_key = keys.iloc[-1]
-            carry = float(cum.iloc[-1])
-            pdf = pdf.assign(_lcum=cum.to_numpy(dtype=np.float64),
-                             _pos=np.arange(pos, pos + len(pdf), dtype=np.int64))
-            pos += len(pdf)
-            yield pdf
-    return run
+from bidmill.session import written
 
 
 def running_sum(df: DataFrame, key: str, order: list[Column], value: str, out: str,
                 num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = running sum of ``value`` per ``key`` in ``order`` (rows frame)."""
+    """Add ``out`` = running sum of ``value`` per ``key`` in ``order`` (rows
+    frame); rows with a NULL key form one group, a NULL or NaN value adds 0."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, F.col(key), *order)
-                .sortWithinPartitions(F.col(key), *order)
-                .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_lcum", T.DoubleType()), T.StructField("_pos", T.LongType())])
-    # one Python pass, written to the checkpoint folder: the three uses below
-    # read the same rows, so partition ids agree, and the lineage is cut
-    local = ranged.mapInPandas(_local_sums(key, value), schema).checkpoint(eager=True)
-
-    # one row per partition: first key, last key, local total of the last key
-    edges = local.groupBy("_pid").agg(
-        F.min_by(F.col(key), F.col("_pos")).alias("_first_key"),
-        F.max_by(F.col(key), F.col("_pos")).alias("_last_key"),
-        F.max_by(F.col("_lcum"), F.col("_pos")).alias("_last_total"))
-    # total of a key through partition p = running sum of the partition tails,
-    # which are contiguous because keys ascend across partitions
-    tails = edges.withColumn(
-        "_through", F.sum("_last_total").over(
-            Window.partitionBy("_last_key").orderBy("_pid")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    prev = tails.select((F.col("_pid") + 1).alias("_pid"),
-                        F.col("_last_key").alias("_first_key"),
-                        F.col("_through").alias("_offset"))
-    offsets = edges.select("_pid", "_first_key").join(
-        prev, ["_pid", "_first_key"], "inner")
-    joined = local.join(
-        F.broadcast(offsets),
-        (local["_pid"] == offsets["_pid"]) & local[key].eqNullSafe(offsets["_first_key"]),
-        "left")
-    return joined.select(
-        *[local[c] for c in df.columns],
-        (local["_lcum"] + F.coalesce(offsets["_offset"], F.lit(0.0))).alias(out))
+    ranged = (df.repartitionByRange(num_partitions, F.col(key), *order) if num_partitions
+              else df.repartitionByRange(F.col(key), *order))
+    # written once: all uses below see the same partition numbers
+    placed = written(ranged.withColumn("_pid", F.spark_partition_id()), "running-sum")
+    amount = F.coalesce(F.nanvl(F.col(value).cast("double"), F.lit(0.0)), F.lit(0.0))
+    inside = (Window.partitionBy("_pid", key).orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = placed.withColumn("_lcum", F.sum(amount).over(inside))
+
+    # the part of each key that lies in each partition: a few keys per
+    # partition continue from the one before, only those need a carry
+    parts = placed.groupBy("_pid", key).agg(F.sum(amount).alias("_sum"))
+    edges = placed.groupBy("_pid").agg(F.min(F.struct(F.col(key))).alias("_first"),
+                                       F.max(F.struct(F.col(key))).alias("_last"))
+    ends = edges.select("_pid", F.col(f"_first.{key}").alias("_first_key"),
+                        F.col(f"_last.{key}").alias("_last_key"))
+    # a partition's last key and its sum there; a key that fills partitions p..q
+    # is the last key of p..q-1, and of q unless others follow it there
+    tails = ends.join(parts, (ends["_pid"] == parts["_pid"])
+                      & ends["_last_key"].eqNullSafe(parts[key])).select(
+        ends["_pid"], "_last_key", "_sum")
+    through = tails.withColumn("_through", F.sum("_sum").over(
+        Window.partitionBy("_last_key").orderBy("_pid")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # one row for each partition, in order: does its first key go on from the
+    # partition before?
+    prior = F.lag(F.struct("_last_key", "_through")).over(Window.orderBy("_pid"))
+    before = (ends.select("_pid", "_first_key").join(
+        through.select("_pid", "_last_key", "_through"), "_pid").withColumn("_prior", prior)
+        .where(F.col("_prior").isNotNull()
+               & F.col("_prior._last_key").eqNullSafe(F.col("_first_key")))
+        .select("_pid", F.col("_first_key").alias("_key"),
+                F.col("_prior._through").alias("_carry")))
+    carry = F.broadcast(before)
+    joined = local.join(carry, (local["_pid"] == carry["_pid"])
+                        & local[key].eqNullSafe(carry["_key"]), "left")
+    return joined.select(*[local[c] for c in df.columns],
+                         (local["_lcum"] + F.coalesce("_carry", F.lit(0.0))).alias(out))

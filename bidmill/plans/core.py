@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bidmill.operators import candidates as C
 from bidmill.operators import pricing as P
-from bidmill.joins import within_rows
+from bidmill.joins import is_small
 from bidmill.plans.registry import query
 from bidmill.sources import fixtures as X
 from bidmill.sources.fixtures import with_views
@@ -17,15 +17,20 @@ from bidmill.sources.fixtures import with_views
 CAND_VIEWS = ("strategy_inputs", "linez", "line_recommender_cumsum", "site_domains")
 
 CANDIDATES_SQL = """
-select distinct strategy_id, site_domain_id, probability_score, algo_id from (
-  select i.strategy_id, s.site_domain_id, p.percentage_recommendations as probability_score,
-         i.algorithm_id as algo_id, p.cumulative_users, i.unique_count,
-         row_number() over (partition by i.strategy_id
-                            order by p.cumulative_users, s.site_domain_id) as row_n
-  from strategy_inputs i join linez l on i.line_id = l.line_id
-  join line_recommender_cumsum p on l.line_id = p.line_id
-  join site_domains s on p.domain_name = s.name) c
-where row_n = 1 or cumulative_users <= unique_count or unique_count = -1"""
+with shown as (
+  select site_domain_id, line_id, cumulative_users, percentage_recommendations as score
+  from site_domains, line_recommender_cumsum
+  where name = domain_name and line_id in (select line_id from linez)),
+starts as (
+  select strategy_id, arg_min(site_domain_id, (cumulative_users, site_domain_id)) as site_domain_id,
+         arg_min(score, (cumulative_users, site_domain_id)) as score
+  from shown join strategy_inputs using (line_id) group by strategy_id)
+select strategy_id, site_domain_id, score as probability_score, algorithm_id as algo_id
+from strategy_inputs join shown using (line_id)
+where unique_count = -1 or cumulative_users <= unique_count
+union
+select strategy_id, site_domain_id, score, algorithm_id
+from starts join strategy_inputs using (strategy_id)"""
 
 
 def cand_sql(body: str, *extra) -> str:
@@ -42,11 +47,9 @@ def candidates_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 output, materialized: every pricing function reads it twice (group
-    bounds and the rows), as the reference's score file is written once and
-    read by the mapping step."""
-    scored = P.scored_inputs(candidates_df(spark, sf_dir), X.strategy_inputs(spark, sf_dir))
-    return scored.checkpoint(eager=True)
+    """J1 output. Pricing reads it twice (group bounds and the rows); both
+    branches share the exchange of the candidates' distinct."""
+    return P.scored_inputs(candidates_df(spark, sf_dir), X.strategy_inputs(spark, sf_dir))
 
 
 def r6(c):
@@ -110,14 +113,15 @@ def q_scored(spark, sf_dir):
 
 @query("score_bounds", cand_sql("""
 select c.strategy_id, round(min(probability_score), 6) as lo, round(max(probability_score), 6) as hi,
-       min(i.target_ecpm) as target_ecpm, count(*) as n
+       round(avg(probability_score), 6) as av, min(i.target_ecpm) as target_ecpm,
+       min(i.min_bid) as min_bid, max(i.max_bid) as max_bid
 from candidates c join strategy_inputs i on c.strategy_id = i.strategy_id
 group by c.strategy_id"""))
 def q_score_bounds(spark, sf_dir):
-    s = scored_df(spark, sf_dir)
-    return s.groupBy("strategy_id").agg(
-        r6(F.min("probability_score")).alias("lo"), r6(F.max("probability_score")).alias("hi"),
-        F.min("target_ecpm").alias("target_ecpm"), F.count(F.lit(1)).alias("n"))
+    b = P.score_bounds(scored_df(spark, sf_dir))
+    return b.select("strategy_id", r6("lo").alias("lo"), r6("hi").alias("hi"), r6("av").alias("av"),
+                    F.col("t").alias("target_ecpm"), F.col("mn").alias("min_bid"),
+                    F.col("mx").alias("max_bid"))
 
 
 PRICE_DAMPEN_SQL = cand_sql("""
@@ -133,7 +137,8 @@ from (select c.strategy_id, c.site_domain_id, c.probability_score, i.target_ecpm
 
 def small_groups(spark, sf_dir) -> bool:
     """Priced groups are strategies: at most the inputs' row count."""
-    return within_rows(X.strategy_inputs(spark, sf_dir), 1_000_000)
+    return is_small(X.strategy_inputs(spark, sf_dir).select("strategy_id", "min_bid", "max_bid",
+                                                            "target_ecpm"))
 
 
 def price_dampen_df(spark, sf_dir):

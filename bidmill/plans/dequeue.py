@@ -13,14 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidmill.functions.timefn import up_to_date, up_to_hundredth
-from bidmill.joins import DEFAULT_MAX_ROWS, broadcast_if_small, within_rows
+from bidmill.joins import broadcast_if_small, is_small
 from bidmill.operators import candidates as C
+from bidmill.operators import payloads as PL
 from bidmill.operators import pricing as P
 from bidmill.operators import requests as R
+from bidmill.session import written
 from bidmill.sources import fixtures as X
 
 KEYS = ("dom_rec_id", "strategy_id")
 
+# Fixed value that must equal the reference's: the algorithm partition that
+# published files go to.
+PUBLISHED_ALGO = 1
+
 
 def static_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The dimension-side inputs of a pricing run (lazy plans)."""
@@ -29,14 +35,11 @@ def static_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "site_domains": X.site_domains(spark, sf_dir)}
 
 
-def materialize(spark: SparkSession, tables: dict[str, DataFrame],
-                sf_dir: str | None = None) -> dict[str, DataFrame]:
+def materialize(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Write the static inputs once under the shared checkpoint folder and read
     them back, so a long-running job (a stream) does not recompute them per
     batch and a lost executor re-reads files instead of the lineage."""
-    from bidmill.sources.sinks import write_table
-    return {k: spark.read.parquet(write_table(v, spark, f"static_{k}", sf_dir=sf_dir))
-            for k, v in tables.items()}
+    return {k: written(v, f"static-{k}") for k, v in tables.items()}
 
 
 def request_details(requests: DataFrame, strategy_inputs: DataFrame) -> DataFrame:
@@ -52,34 +55,74 @@ def request_details(requests: DataFrame, strategy_inputs: DataFrame) -> DataFram
 
 def price_requests(spark: SparkSession, sf_dir: str, requests: DataFrame,
                    pricing: str = "target_ecpm_seed_dampen",
-                   tables: dict[str, DataFrame] | None = None) -> DataFrame:
+                   tables: dict[str, DataFrame] | None = None,
+                   missing_target: str = "legacy") -> DataFrame:
     """Priced candidates per request: dom_rec_id, strategy_id, site_domain_id,
-    probability_score, algo_id, target_ecpm, min_bid, max_bid, multiplier, baseline."""
+    probability_score, algo_id, target_ecpm, min_bid, max_bid, multiplier, baseline.
+
+    Requests that carry the queue's own columns (line, target, audience, bids)
+    are priced by those; shorter request rows take them from their strategy."""
     t = tables or static_tables(spark, sf_dir)
     # the request time rides along for the log (no join back to the requests)
     extra = ("date_new",) if "date_new" in requests.columns else ()
-    inputs = R.request_inputs(request_details(requests, t["strategy_inputs"]), extra=extra)
+    if "line_id" not in requests.columns:
+        requests = request_details(requests, t["strategy_inputs"])
+    inputs = R.request_inputs(requests, extra=extra)
     cands = C.candidates(inputs, t["linez"], t["predictions"], t["site_domains"], keys=KEYS)
-    # read twice by the pricing function (group bounds, rows): computed once
-    scored = P.scored_inputs(cands, inputs, keys=KEYS, extra=extra).checkpoint(eager=True)
+    scored = P.scored_inputs(cands, inputs, keys=KEYS, missing_target=missing_target, extra=extra)
     # one priced group per request: bounded by the requests' row count
-    return P.PRICING[pricing](scored, keys=KEYS,
-                              small_groups=within_rows(requests, DEFAULT_MAX_ROWS))
+    return P.PRICING[pricing](scored, keys=KEYS, small_groups=is_small(
+        inputs.select(*KEYS, "min_bid", "max_bid", "target_ecpm")))
 
 
 def request_payloads(priced: DataFrame, requests: DataFrame,
-                     dimension: str = "site_domain_id2") -> DataFrame:
-    """Site-domain payloads per request: dom_rec_id, strategy_id, part, url, body."""
-    from bidmill.operators import payloads as PL
+                     dimension: str = "site_domain_id2",
+                     base_url: str = PL.DEFAULT_BASE_URL) -> DataFrame:
+    """Site-domain payloads per request: dom_rec_id, strategy_id, url, body."""
     # price-file merge without the text round trip: per request, strategy and
     # value the last entry (the larger multiplier in file order) wins
     merged = (priced.select(*KEYS, F.col("site_domain_id").cast("string").alias("value"),
                             "multiplier")
+                    .repartition(*KEYS, "value")
                     .groupBy(*KEYS, "value").agg(F.max("multiplier").alias("multiplier"))
                     .withColumn("dimension", F.lit(dimension)))
     bid_lists = requests.select(*KEYS, "bid_list_id")
-    pl = PL.payloads(merged, bid_lists, keys=KEYS)
-    return pl.select(*KEYS, "part", "url", "body")
+    pl = PL.payloads(merged, bid_lists, keys=KEYS, base_url=base_url, spread=True)
+    return pl.select(*KEYS, "url", "body")
+
+
+INPUT_COLUMNS = ("strategy_id", "bid_list_id", "line_id", "uniques", "min_bid", "max_bid",
+                 "target_cpm")
+
+
+def request_result_rows(spark: SparkSession, sf_dir: str, requests: DataFrame,
+                        base_url: str = PL.DEFAULT_BASE_URL,
+                        missing_target: str = "legacy") -> DataFrame:
+    """K10 rows (dom_rec_id, list_data, baseline_bid_data) of requests that
+    carry the queue's columns.
+
+    Requests with equal inputs get equal prices, so one of them, the smallest
+    id, is priced for all; its result joins the others by that id."""
+    same = F.struct(*INPUT_COLUMNS)
+    units = requests.groupBy(*INPUT_COLUMNS).agg(F.min("dom_rec_id").alias("unit"))
+    priced = price_requests(
+        spark, sf_dir, units.select(F.col("unit").alias("dom_rec_id"), *INPUT_COLUMNS),
+        missing_target=missing_target)
+    # read by the payloads and by the baselines
+    priced = written(priced.select(*KEYS, "site_domain_id", "multiplier", "baseline"), "priced")
+    pl = request_payloads(priced, units.select(F.col("unit").alias("dom_rec_id"), "strategy_id",
+                                               "bid_list_id"), base_url=base_url)
+    # the first line that names a strategy is its smallest key; inside it the
+    # last entry, the largest multiplier, counts
+    base = priced.groupBy(*KEYS).agg(F.min_by("baseline", F.struct(
+        F.col("site_domain_id").cast("string"), -F.col("multiplier"))).alias("baseline"))
+    docs = PL.baseline_documents(base, X.strategy_documents(spark, sf_dir), base_url=base_url,
+                                 keys=KEYS)
+    rows = PL.result_rows(pl, docs).withColumnRenamed("dom_rec_id", "unit")
+    return (requests.select("dom_rec_id", same.alias("same"))
+            .join(units.select(same.alias("own"), "unit"),
+                  F.col("same").eqNullSafe(F.col("own")))
+            .join(rows, "unit").select("dom_rec_id", "list_data", "baseline_bid_data"))
 
 
 def log_rows(priced: DataFrame) -> DataFrame:
@@ -94,5 +137,5 @@ def log_rows(priced: DataFrame) -> DataFrame:
         "probability_score", "min_bid", "max_bid", "target_ecpm",
         up_to_hundredth(F.col("date_new")).cast("bigint").alias("timestamp"),
         "multiplier", "baseline", "dom_rec_id",
-        F.col("algo_id").cast("int").alias("algo_id"),
+        F.lit(PUBLISHED_ALGO).alias("algo_id"),
         up_to_date(F.col("date_new")).cast("int").alias("dt"))

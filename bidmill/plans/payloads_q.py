@@ -16,8 +16,10 @@ from bidmill.operators import payloads as PL
 from bidmill.operators import pricefile as PF
 from bidmill.plans.core import cand_sql, price_dampen_df
 from bidmill.plans.registry import query
+from bidmill.plans import dequeue as DQ
 from bidmill.session import scratch_path
 from bidmill.sources import fixtures as X
+from bidmill.sources import sinks
 
 BASE = PL.DEFAULT_BASE_URL
 
@@ -73,16 +75,18 @@ def priced_dims(spark, sf_dir, dimension: str = "site_domain_id2", priced=None)
 def merged_in_plan(spark, sf_dir, dimension: str, priced=None) -> DataFrame:
     """In-plan merge (no text round trip): entries after P12; within one
     strategy and value the file order puts the larger multiplier last."""
-    # P12's dedup cannot change a max, so entries go straight to the merge
+    # P12's dedup cannot change a max, so entries go straight to the merge;
+    # dealt by the value as well, a hot strategy's rows are many tasks' work
     p = priced_dims(spark, sf_dir, dimension, priced).select(
         "strategy_id", TX.make_key("dims").alias("value"), "multiplier")
-    return p.groupBy("strategy_id", "value").agg(F.max("multiplier").alias("multiplier")) \
+    return p.repartition("strategy_id", "value").groupBy("strategy_id", "value").agg(F.max("multiplier").alias("multiplier")) \
         .select("strategy_id", F.lit(dimension).alias("dimension"), "value", "multiplier")
 
 
 def payloads_df(spark, sf_dir, dimension: str, priced=None) -> DataFrame:
     bid_lists = X.strategy_inputs(spark, sf_dir).select("strategy_id", "bid_list_id")
-    return PL.payloads(merged_in_plan(spark, sf_dir, dimension, priced), bid_lists, base_url=BASE)
+    return PL.payloads(merged_in_plan(spark, sf_dir, dimension, priced), bid_lists, base_url=BASE,
+                       spread=True)
 
 
 # --- SQL side --------------------------------------------------------------------
@@ -104,9 +108,23 @@ def entries_sql(dimension: str) -> str:
 
 
 def num_text_sql(x: str) -> str:
+    """A file number as the comparison shows it: rounded to 10 decimals, since
+    the engines' doubles may differ in the last place."""
     return f"rtrim(rtrim(printf('%.10f', {x}), '0'), '.')"
 
 
+def shown_line(line: Column) -> Column:
+    """A price line with its numbers shown like ``num_text_sql`` does."""
+    def number(x):
+        return F.call_function("format_number", x.cast("double"), F.lit("0.##########"))
+
+    def entry(e):
+        p = F.split(e, ":")
+        return F.concat_ws(":", p[0], number(p[1]), number(p[2]))
+    parts = F.split(line, "\t")
+    return F.concat_ws("\t", parts[0], F.array_join(F.transform(F.split(parts[1], ","), entry), ","))
+
+
 def adj_sql(dimension: str, value: str = "value", m: str = "multiplier") -> str:
     mt = f"printf('%.2f', {m})"
     if dimension == "site_domain_id2":
@@ -134,12 +152,12 @@ def url_sql(dimension: str, bid: str = "i.bid_list_id") -> str:
 
 
 def payload_sql(dimension: str) -> str:
-    """(strategy_id, dimension, part, bid_list_id, url, body) for one dimension."""
+    """(strategy_id, dimension, bid_list_id, url, body) for one dimension."""
     body = ("""'{"price_adjustments":null}'""" if adj_sql(dimension) == "null" else
             f"""'{{"price_adjustments":[' || string_agg({adj_sql(dimension)}, ',' order by value)"""
             """ || ']}'""")
     return f"""
-select m.strategy_id, '{dimension}' as dimension, cast(0 as bigint) as part, i.bid_list_id,
+select m.strategy_id, '{dimension}' as dimension, i.bid_list_id,
        {url_sql(dimension)} as url, {body} as body
 from (select strategy_id, key as value, max(multiplier) as multiplier
       from ({entries_sql(dimension)}) e group by strategy_id, key) m
@@ -180,7 +198,7 @@ def q_dedup_prices(spark, sf_dir):
 
 
 PRICE_LINES_SQL = f"""
-select key, cast(0 as bigint) as part,
+select key,
        key || chr(9) || string_agg(cast(strategy_id as varchar) || ':' || {num_text_sql('multiplier')}
                                    || ':' || {num_text_sql('baseline')}, ','
                                    order by strategy_id, multiplier) as line
@@ -193,12 +211,12 @@ def price_lines_df(spark, sf_dir, dimension="site_domain_id2"):
 
 @query("price_lines", pay_sql(PRICE_LINES_SQL))
 def q_price_lines(spark, sf_dir):
-    """A6 + F3: one line per key (keys past the page size are split)."""
-    return price_lines_df(spark, sf_dir)
+    """A6 + F3: one line per key."""
+    return price_lines_df(spark, sf_dir).withColumn("line", shown_line(F.col("line")))
 
 
 def _export(spark, sf_dir, dimension="site_domain_id2"):
-    base = scratch_path(spark, f"price_file_{dimension}", sf_dir)
+    base = scratch_path(spark, f"price_file_{dimension}")
     PF.export_price_file(price_lines_df(spark, sf_dir, dimension), base + "/data")
     PF.write_header(spark, PF.header_for([dimension]), base + "/header")
     return base + "/data", base + "/header"
@@ -208,34 +226,32 @@ def _export(spark, sf_dir, dimension="site_domain_id2"):
 def q_export_price_file(spark, sf_dir):
     """K7 + O2: key-ordered text export, read back as lines."""
     data, _ = _export(spark, sf_dir)
-    return spark.read.text(data).select(F.col("value").alias("line"))
+    return spark.read.text(data).select(shown_line(F.col("value")).alias("line"))
 
 
 @query("scan_price_file", pay_sql(f"select line as text from ({PRICE_LINES_SQL}) l"))
 def q_scan_price_file(spark, sf_dir):
     """Lines with their file order kept (order columns are not compared)."""
     data, _ = _export(spark, sf_dir)
-    return PF.read_lines(spark, data).select("text")
+    return PF.read_lines(spark, data).select(shown_line(F.col("text")).alias("text"))
 
 
-@query("parse_header", pay_sql("""
-select d.dimension as file_dimension, h.idx,
-       case when h.idx = 0 then d.dimension else 'strategy_id:bid_price_multiplier' end as name,
-       case when h.idx = 0 then 'Long' else 'Array' end as type
-from (select distinct 'site_domain_id2' as dimension from priced
-      union all select distinct 'city_id' from priced) d,
-     (select 0 as idx union all select 1) h"""))
+@query("parse_header", pay_sql('''
+select f.file_dimension, i.idx,
+       case i.idx when 0 then f.file_dimension when 1 then 'strategy_id:bid_price_multiplier' end as name,
+       case i.idx when 0 then 'Long' when 1 then 'Array' end as type
+from (select unnest(['site_domain_id2', 'city_id']) as file_dimension) f,
+     (select unnest([0, 1]) as idx) i'''))
 def q_parse_header(spark, sf_dir):
-    """S3: the headers of the price files for the dimensions that have rows,
-    parsed into (index, name, type)."""
-    present = priced_dims(spark, sf_dir).select(
-        F.explode(F.array(F.lit("site_domain_id2"), F.lit("city_id"))).alias("file_dimension")
-    ).distinct()
-    headers = present.select("file_dimension", F.concat(
-        F.lit('"'), F.col("file_dimension"),
-        F.lit('":Long\t"' + PF.ARRAY_COLUMN + '":Array')).alias("text"))
-    return PF.parse_header(headers, keep=("file_dimension",)).select(
-        "file_dimension", "idx", "name", "type")
+    """S3: the headers that two exports write, read and parsed into (index,
+    name, type)."""
+    out = None
+    for dimension in ("site_domain_id2", "city_id"):
+        _, header = _export(spark, sf_dir, dimension)
+        own = PF.parse_header(PF.read_lines(spark, header)).select(
+            F.lit(dimension).alias("file_dimension"), "idx", "name", "type")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def _parsed(spark, sf_dir, dimension="site_domain_id2"):
@@ -275,7 +291,7 @@ def q_merged_baselines(spark, sf_dir):
 def _adj_query(dimension: str):
     def run(spark, sf_dir):
         p = payloads_df(spark, sf_dir, dimension)
-        return p.select("strategy_id", "part", "url", "body")
+        return p.select("strategy_id", "url", "body")
     run.__doc__ = f"F5 + F6 + F10: payloads of the {dimension} bid lists."
     return run
 
@@ -283,7 +299,7 @@ def _adj_query(dimension: str):
 for _name, _dim in (("adj_site_domain", "site_domain_id2"), ("adj_city", "city_id"),
                     ("adj_mobile_app", "mobile_app_id"), ("adj_recency", "recency"),
                     ("adj_time_of_day", "time_of_day")):
-    query(_name, pay_sql(f"select strategy_id, part, url, body from ({payload_sql(_dim)}) p"))(
+    query(_name, pay_sql(f"select strategy_id, url, body from ({payload_sql(_dim)}) p"))(
         _adj_query(_dim))
 
 
@@ -326,8 +342,8 @@ def q_requested_payloads(spark, sf_dir):
 
 
 @query("payload_map", pay_sql(f"""
-select url, part, arg_max(body, strategy_id) as body
-from ({payload_sql('city_id')}) p where url is not null group by url, part"""))
+select url, arg_max(body, strategy_id) as body
+from ({payload_sql('city_id')}) p where url is not null group by url"""))
 def q_payload_map(spark, sf_dir):
     """Url -> body, last wins per url."""
     return PL.payload_map(payloads_df(spark, sf_dir, "city_id"))
@@ -371,18 +387,29 @@ def q_baseline_list(spark, sf_dir):
     return PL.baseline_list(baseline_docs_df(spark, sf_dir))
 
 
-@query("request_results", pay_sql(f"""
-select q.dom_rec_id as dom_rec_result_id, q.dom_rec_id, 'list' as kind, p.url, p.part, p.body
+def stored_results(spark, sf_dir, requests, table: str = "dom_rec_results") -> DataFrame:
+    """The dequeue job from requests to stored results (K10): price the
+    requests, build payloads and documents, append one row for each request
+    under a generated id, and read the table back."""
+    path = scratch_path(spark, table)
+    rows = DQ.request_result_rows(spark, sf_dir, requests, base_url=BASE)
+    return sinks.append_with_ids(rows, spark, table, id_col="dom_rec_result_id", path=path)
+
+
+REQUEST_RESULTS_SQL = f"""
+select q.dom_rec_id, to_json(map([p.url], [p.body])) as list_data,
+       b.baseline_bid_data, true as has_id
 from request_queue q join ({payload_sql('site_domain_id2')}) p on q.strategy_id = p.strategy_id
-where q.status = 'new' and p.url is not null
-union all
-select q.dom_rec_id, q.dom_rec_id, 'baseline', b.url, cast(0 as bigint), b.body
-from request_queue q join ({BASELINE_SQL}) b on q.strategy_id = b.strategy_id
-where q.status = 'new'""", *REQ_VIEWS, "strategy_documents"))
+left join (select strategy_id, to_json([[url, body]]) as baseline_bid_data
+           from ({BASELINE_SQL}) d) b on q.strategy_id = b.strategy_id
+where q.status = 'new' and p.url is not null"""
+
+
+@query("request_results", pay_sql(REQUEST_RESULTS_SQL, *REQ_VIEWS, "strategy_documents"))
 def q_request_results(spark, sf_dir):
-    """Result rows per claimed request (payload parts and baseline docs)."""
-    req = X.request_queue(spark, sf_dir).where(F.col("status") == "new").select("dom_rec_id", "strategy_id")
-    priced = price_dampen_df(spark, sf_dir)
-    pl = req.join(payloads_df(spark, sf_dir, "site_domain_id2", priced), "strategy_id")
-    docs = req.join(baseline_docs_df(spark, sf_dir, priced), "strategy_id")
-    return PL.request_results(pl, docs)
+    """Stored result rows of the new requests, with the id read back."""
+    requests = X.request_queue(spark, sf_dir).where(F.col("status") == "new")
+    results = stored_results(spark, sf_dir, requests)
+    last = results.join(PL.result_ids(results), ["dom_rec_id", "dom_rec_result_id"])
+    return last.select("dom_rec_id", "list_data", "baseline_bid_data",
+                       F.col("dom_rec_result_id").isNotNull().alias("has_id"))

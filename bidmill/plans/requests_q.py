@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from bidmill.functions.timefn import DEFAULT_RUN_TS, claim_token
 from bidmill.operators import requests as R
-from bidmill.plans.core import candidates_df, cand_sql
+from bidmill.operators import payloads as PL
+from bidmill.plans.core import cand_sql
+from bidmill.plans.payloads_q import stored_results
 from bidmill.plans.registry import query
+from bidmill.session import written
 from bidmill.sources import fixtures as X
 from bidmill.sources import sinks
 from bidmill.sources.fixtures import with_views
@@ -15,8 +18,10 @@ from bidmill.sources.fixtures import with_views
 TOKEN = claim_token(DEFAULT_RUN_TS)
 QUEUE_VIEWS = ("dom_rec_queue", "strategy_inputs", "request_queue")
 
-CLAIM_SQL = """select min(dom_rec_id) as dom_rec_id from request_queue where status = 'new'
-and not exists (select 1 from request_queue where status = 'in_process')"""
+CLAIM_SQL = """
+select case when count(*) filter (status = 'in_process') = 0
+            then min(dom_rec_id) filter (status = 'new') end as dom_rec_id
+from request_queue"""
 
 
 def _ts_text(df, *cols):
@@ -33,7 +38,7 @@ def q_claim_next(spark, sf_dir):
 select q.dom_rec_id,
        case when q.dom_rec_id = c.dom_rec_id then 'in_process' else q.status end as status,
        case when q.dom_rec_id = c.dom_rec_id then '{TOKEN}' else q.process_name end as process_name,
-       case when q.dom_rec_id = c.dom_rec_id then '2016-04-08 17:48:33'
+       case when q.dom_rec_id = c.dom_rec_id then '2024-05-17 09:41:26'
             else cast(q.date_in_process as varchar) end as date_in_process
 from request_queue q cross join ({CLAIM_SQL}) c""", *QUEUE_VIEWS))
 def q_claim_state(spark, sf_dir):
@@ -62,7 +67,7 @@ select cast(q.dom_rec_id as varchar) as dom_rec_id, q.bid_list_name,
        coalesce(cast(q.max_bid as varchar), '-1') as max_bid,
        cast(q.strategy_id as varchar) as strategy_id, 'in_process' as status,
        '{TOKEN}' as process_name, cast(q.date_new as varchar) as date_new,
-       '2016-04-08 17:48:33' as date_in_process, '-1' as date_processed, '-1' as date_error
+       '2024-05-17 09:41:26' as date_in_process, '-1' as date_processed, '-1' as date_error
 from request_queue q join ({CLAIM_SQL}) c on q.dom_rec_id = c.dom_rec_id"""
 
 
@@ -106,7 +111,7 @@ select dom_rec_id, strategy_id, bid_list_id, status from request_queue
 where status in ('new', 'in_process')""", *QUEUE_VIEWS))
 def q_scan_queue(spark, sf_dir):
     """Relational scan of the queue; the filter reaches the parquet reader."""
-    path = sinks.write_table(X.request_queue(spark, sf_dir), spark, "request_queue", sf_dir=sf_dir)
+    path = sinks.write_table(X.request_queue(spark, sf_dir), spark, "request_queue")
     q = sinks.read_relational(spark, path=path)
     return q.where(F.col("status").isin("new", "in_process")).select(
         "dom_rec_id", "strategy_id", "bid_list_id", "status")
@@ -116,12 +121,12 @@ RAW_VIEWS = ("domain_inputs_raw", "uniques_selection", "logins", "recency_inputs
 
 
 @query("strategy_inputs", with_views("""
-select d.strategy_id, d.bid_list_id, d.line_id,
-       cast(coalesce(u.number_of_unique_users, -1) as bigint) as unique_count, l.email,
-       d.min_bid, d.max_bid, cast(coalesce(d.algorithm_id, -1) as bigint) as algorithm_id,
-       1 as dimension_id, d.target_cpm as target_ecpm
-from domain_inputs_raw d left join uniques_selection u on d.uniques_id = u.id
-join logins l on d.user_id = l.id""", *RAW_VIEWS))
+select strategy_id, bid_list_id, line_id,
+       cast(ifnull((select any_value(number_of_unique_users) from uniques_selection
+                    where id = uniques_id), -1) as bigint) as unique_count, email,
+       min_bid, max_bid, cast(ifnull(algorithm_id, -1) as bigint) as algorithm_id,
+       1 as dimension_id, target_cpm as target_ecpm
+from domain_inputs_raw, logins where logins.id = user_id""", *RAW_VIEWS))
 def q_strategy_inputs(spark, sf_dir):
     return R.strategy_inputs_from_raw(X.domain_inputs_raw(spark, sf_dir),
                                       X.uniques_selection(spark, sf_dir), X.logins(spark, sf_dir))
@@ -145,16 +150,18 @@ def q_null_defaults(spark, sf_dir):
                       F.coalesce(F.col("uniques_id").cast("string"), F.lit("-1")).alias("uniques_text"))
 
 
-ENQUEUE_SQL = """
-select strategy_id, cast(coalesce(algorithm_id, -1) as bigint) as algo_id,
-       'domain' as dimension_type, 'new' as event_type,
-       '2016040817483300' as create_ts, '2016040817483300' as update_ts, 'pending' as status
-from domain_inputs_raw where modeled = 0"""
+STAMPED_SQL = """'{kind}' as dimension_type, 'new' as event_type, '2024051709412600' as create_ts,
+       '2024051709412600' as update_ts, 'pending' as status"""
+
+ENQUEUE_SQL = f"""
+select strategy_id, case when algorithm_id is null then -1 else cast(algorithm_id as bigint) end
+         as algo_id, {STAMPED_SQL.format(kind='domain')}
+from domain_inputs_raw where not modeled"""
 
 
 def _enqueue(spark, sf_dir):
     rows = R.enqueue_rows(X.domain_inputs_raw(spark, sf_dir), DEFAULT_RUN_TS)
-    return rows, sinks.append_with_ids(rows, spark, "pb_queue", id_col="request_id", sf_dir=sf_dir)
+    return rows, sinks.append_with_ids(rows, spark, "pb_queue", id_col="request_id")
 
 
 @query("enqueue_requests", with_views(ENQUEUE_SQL, *RAW_VIEWS))
@@ -177,12 +184,12 @@ def q_enqueue_counts(spark, sf_dir):
 
 
 @query("enqueue_all_dimensions", with_views(f"""
-{ENQUEUE_SQL}
-union
-select strategy_id, cast(algorithm_id as bigint) as algo_id, 'recency' as dimension_type,
-       'new' as event_type, '2016040817483300' as create_ts, '2016040817483300' as update_ts,
-       'pending' as status
-from recency_inputs where modeled = 0""", *RAW_VIEWS))
+select distinct * from (
+  from ({ENQUEUE_SQL}) d
+  union all by name
+  select strategy_id, cast(algorithm_id as bigint) as algo_id,
+         {STAMPED_SQL.format(kind='recency')}
+  from recency_inputs where not modeled) e""", *RAW_VIEWS))
 def q_enqueue_all(spark, sf_dir):
     return R.enqueue_all_dimensions(X.domain_inputs_raw(spark, sf_dir),
                                     X.recency_inputs(spark, sf_dir), DEFAULT_RUN_TS)
@@ -191,41 +198,58 @@ def q_enqueue_all(spark, sf_dir):
 OUTCOME_SQL = """
 select q.dom_rec_id,
        case when exists (select 1 from candidates c where c.strategy_id = q.strategy_id)
-            then 'processed' else 'error' end as status,
-       case when exists (select 1 from candidates c where c.strategy_id = q.strategy_id)
-            then q.dom_rec_id end as dom_rec_result_id
+            then 'processed' else 'error' end as status
 from request_queue q where q.status = 'new'"""
 
 
-def _outcomes(spark, sf_dir):
-    """Batch outcome per new request: processed when its strategy has candidates."""
-    queue = X.request_queue(spark, sf_dir)
-    done = candidates_df(spark, sf_dir).select("strategy_id").distinct() \
-        .withColumn("_ok", F.lit(True))
-    new = queue.where(F.col("status") == "new").select("dom_rec_id", "strategy_id", "bid_list_id")
-    o = new.join(done, "strategy_id", "left")
-    ok = F.coalesce(F.col("_ok"), F.lit(False))
-    return queue, o.select("dom_rec_id", "strategy_id", "bid_list_id",
-                           F.when(ok, "processed").otherwise("error").alias("status"),
-                           F.when(ok, F.col("dom_rec_id")).alias("dom_rec_result_id"))
+def _outcomes(spark, sf_dir, requests):
+    """Q6: a request is processed when its run stored a result."""
+    ids = PL.result_ids(stored_results(spark, sf_dir, requests))
+    o = requests.select("dom_rec_id", "strategy_id", "bid_list_id").join(ids, "dom_rec_id", "left")
+    return o.withColumn("status", F.when(F.col("dom_rec_result_id").isNotNull(), "processed")
+                        .otherwise("error"))
 
 
 @query("request_status", cand_sql("""
 select q.dom_rec_id, coalesce(o.status, q.status) as status,
-       case when o.dom_rec_id is not null then o.dom_rec_result_id else q.dom_rec_result_id end
-         as dom_rec_result_id,
-       case when o.status = 'processed' then '2016-04-08 17:48:33' end as date_processed,
-       case when o.status = 'error' then '2016-04-08 17:48:33' end as date_error
+       coalesce(o.status = 'processed', false) as has_result,
+       case when o.status = 'processed' then '2024-05-17 09:41:26' end as date_processed,
+       case when o.status = 'error' then '2024-05-17 09:41:26' end as date_error
 from request_queue q left join outcomes o on q.dom_rec_id = o.dom_rec_id""",
     "dom_rec_queue", "request_queue", ("outcomes", OUTCOME_SQL)))
 def q_request_status(spark, sf_dir):
-    queue, outcomes = _outcomes(spark, sf_dir)
+    queue = X.request_queue(spark, sf_dir)
+    outcomes = _outcomes(spark, sf_dir, queue.where(F.col("status") == "new"))
     after = R.apply_outcomes(queue, outcomes, DEFAULT_RUN_TS)
-    return _ts_text(after.select("dom_rec_id", "status", "dom_rec_result_id",
+    return _ts_text(after.select("dom_rec_id", "status",
+                                 F.col("dom_rec_result_id").isNotNull().alias("has_result"),
                                  "date_processed", "date_error"),
                     "date_processed", "date_error")
 
 
+@query("dequeue_run", cand_sql(f"""
+select q.dom_rec_id, coalesce(o.status, q.status) as status,
+       coalesce(o.status = 'processed', false) as has_result,
+       case when o.dom_rec_id is not null then '{TOKEN}' end as process_name,
+       case when o.dom_rec_id is not null then '2024-05-17 09:41:26' end as date_in_process,
+       case when o.status = 'processed' then '2024-05-17 09:41:26' end as date_processed,
+       case when o.status = 'error' then '2024-05-17 09:41:26' end as date_error
+from request_queue q left join outcomes o on q.dom_rec_id = o.dom_rec_id""",
+    "dom_rec_queue", "request_queue", ("outcomes", OUTCOME_SQL)))
+def q_dequeue_run(spark, sf_dir):
+    """The job from claim to status: claim all new requests, price them, store
+    their results, and set status and result id from the stored table."""
+    queue = X.request_queue(spark, sf_dir)
+    claimed = written(R.claim_batch(queue), "claimed")
+    taken = written(R.claim_state(queue, claimed, TOKEN, DEFAULT_RUN_TS), "queue")
+    outcomes = _outcomes(spark, sf_dir, taken.where(F.col("status") == "in_process"))
+    after = R.apply_outcomes(taken, outcomes, DEFAULT_RUN_TS)
+    return _ts_text(after.select("dom_rec_id", "status",
+                                 F.col("dom_rec_result_id").isNotNull().alias("has_result"),
+                                 "process_name", "date_in_process", "date_processed", "date_error"),
+                    "date_in_process", "date_processed", "date_error")
+
+
 @query("mark_modeled", cand_sql("""
 select d.strategy_id, d.bid_list_id,
        case when exists (select 1 from outcomes o join request_queue q on o.dom_rec_id = q.dom_rec_id
@@ -234,7 +258,8 @@ select d.strategy_id, d.bid_list_id,
 from domain_inputs_raw d""", "dom_rec_queue", "request_queue", "domain_inputs_raw",
     ("outcomes", OUTCOME_SQL)))
 def q_mark_modeled(spark, sf_dir):
-    _, outcomes = _outcomes(spark, sf_dir)
+    queue = X.request_queue(spark, sf_dir)
+    outcomes = _outcomes(spark, sf_dir, queue.where(F.col("status") == "new"))
     done = outcomes.where(F.col("status") == "processed")
     out = R.mark_modeled(X.domain_inputs_raw(spark, sf_dir), done)
     return out.select("strategy_id", "bid_list_id", "modeled")

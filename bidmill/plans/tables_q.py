@@ -4,11 +4,13 @@ writer or catalog and returns what reading it back gives."""
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bidmill.functions import text as TX
 from bidmill.functions.timefn import DEFAULT_RUN_TS, up_to_date, up_to_hundredth
 from bidmill.operators import candidates as C
 from bidmill.operators import retention as RT
@@ -16,11 +18,13 @@ from bidmill.plans import dequeue as DQ
 from bidmill.plans.core import cand_sql, candidates_df
 from bidmill.plans.payloads_q import PRICED_SQL, priced_dims
 from bidmill.plans.registry import query
-from bidmill.session import scratch_path
+from bidmill.schemas import OUTPUT_LOG, ddl
+from bidmill.session import scratch_path, written
 from bidmill.sources import fixtures as X
 from bidmill.sources import sinks
 from bidmill.sources.fixtures import with_views
 
+# Fixed values that must equal the reference's: column and field names.
 PRED_DDL = ("strategy_id bigint, dimension_value_structs struct<dimension_type_id:int,"
             "dimension_value:struct<first:string,last:string,unit:string>>, "
             "probability_score double, algo_id int")
@@ -60,14 +64,14 @@ SCORES_SQL = """
 select p.strategy_id, c.algo_id,
        '[{"dimension_type_id":1,"dimension_value":"' || p.site_domain_id || '"}]' as dimension_structs,
        round(p.probability_score, 6) as probability_score, p.target_ecpm,
-       20160408 as dt, 2016040817483300 as timestamp
+       20240517 as dt, 2024051709412600 as timestamp
 from (select c.strategy_id, c.site_domain_id, c.probability_score, i.target_ecpm
       from candidates c join strategy_inputs i on c.strategy_id = i.strategy_id) p
 join candidates c on p.strategy_id = c.strategy_id and p.site_domain_id = c.site_domain_id"""
 
 
 def _export_scores(spark, sf_dir):
-    path = scratch_path(spark, "scores", sf_dir)
+    path = scratch_path(spark, "scores")
     sinks.write_delimited(scores_df(spark, sf_dir), path)
     return path
 
@@ -93,9 +97,12 @@ def q_scan_scores(spark, sf_dir):
 # --- JSON price log (K8, K9, S4, S10) --------------------------------------------------
 
 @query("price_log", pay_sql("""
-select strategy_id, cast(site_domain_id as varchar) as dimension_value,
-       round(multiplier, 6) + 0.0 as multiplier, baseline, 20160408 as dt,
-       2016040817483300 as timestamp from priced"""))
+select p.strategy_id, cast(site_domain_id as varchar) as dimension_value,
+       round(probability_score, 6) as probability_score, target_ecpm,
+       round(multiplier, 6) + 0.0 as multiplier, baseline, 20240517 as dt,
+       2024051709412600 as timestamp
+from priced p join candidates c using (strategy_id, site_domain_id)
+join strategy_inputs i on p.strategy_id = i.strategy_id"""))
 def q_price_log(spark, sf_dir):
     """K8: one JSON object per priced row (10 decimals), read back."""
     p = priced_dims(spark, sf_dir)
@@ -103,59 +110,94 @@ def q_price_log(spark, sf_dir):
                     "target_ecpm", "multiplier", "baseline",
                     up_to_date(DEFAULT_RUN_TS).cast("int").alias("dt"),
                     up_to_hundredth(DEFAULT_RUN_TS).cast("bigint").alias("timestamp"))
-    path = scratch_path(spark, "price_log", sf_dir)
+    path = scratch_path(spark, "price_log")
     sinks.write_json_log(rows, path, mode="overwrite")
     back = spark.read.schema(rows.schema).json(path)
     return back.select("strategy_id", F.col("dimension_structs")[0]["dimension_value"]
-                       .alias("dimension_value"), r6("multiplier").alias("multiplier"),
-                       "baseline", "dt", "timestamp")
+                       .alias("dimension_value"), r6("probability_score").alias("probability_score"),
+                       "target_ecpm", r6("multiplier").alias("multiplier"), "baseline", "dt",
+                       "timestamp")
 
 
 EVENT_LOG_SQL = """
 select r.dom_rec_id, p.strategy_id, cast(p.site_domain_id as varchar) as dimension_value,
-       -1 as algo_id, cast(strftime(r.date_new, '%Y%m%d') as integer) as dt,
-       round(p.multiplier, 6) + 0.0 as multiplier
-from event_requests r join priced p on r.strategy_id = p.strategy_id"""
+       1 as algo_id, cast(strftime(r.date_new, '%Y%m%d') as integer) as dt,
+       round(p.multiplier, 6) + 0.0 as multiplier, p.baseline,
+       round(c.probability_score, 6) as probability_score, i.target_ecpm, i.min_bid, i.max_bid,
+       cast(strftime(make_timestamp(1000000 * (cast(round(epoch_us(r.date_new) / 10000e0) as bigint)
+                                                // 100)), '%Y%m%d%H%M%S') as bigint) * 100
+         + cast(round(epoch_us(r.date_new) / 10000e0) as bigint) % 100 as timestamp
+from event_requests r join priced p on r.strategy_id = p.strategy_id
+join candidates c on p.strategy_id = c.strategy_id and p.site_domain_id = c.site_domain_id
+join strategy_inputs i on p.strategy_id = i.strategy_id"""
 
 
-def _publish(spark, sf_dir, path):
-    """K9: the dequeue job over the event requests, appended to the log
-    partitioned by (algo_id, dt) (an emptied folder first, so a rerun does
-    not append a second copy)."""
-    req = X.event_requests(spark, sf_dir)
-    priced = DQ.price_requests(spark, sf_dir, req)
-    rows = DQ.log_rows(priced)
-    sinks.truncate(rows.schema, spark, path, fmt="json", partition_by=["algo_id", "dt"])
-    sinks.write_json_log(rows, path, partition_by=["algo_id", "dt"], mode="append")
-    return rows.schema
+PARTITIONS = ["algo_id", "dt"]
 
 
-def _published(spark, sf_dir, fresh: bool = False):
-    """The published log. ``fresh`` publishes now (the K9 query); readers of
-    the log (scans, catalog and retention queries) share one published copy
-    per input version, like the stored prediction table."""
-    if fresh:
-        path = scratch_path(spark, "output_log_publish", sf_dir)
-        return path, _publish(spark, sf_dir, path)
-    path = X.stored_path(spark, sf_dir, "output_log", lambda p: _publish(spark, sf_dir, p))
-    return path, _log_schema(spark, path)
+def _publish(spark, sf_dir, base):
+    """K9: the dequeue job over the event requests. The log, the score rows
+    (input) and the price lines (output) are published below ``base``, each
+    partitioned by (algo_id, dt)."""
+    priced = written(DQ.price_requests(spark, sf_dir, X.event_requests(spark, sf_dir)), "priced")
+    rows = DQ.log_rows(priced)
+    sinks.write_json_log(rows, f"{base}/log", partition_by=PARTITIONS, mode="overwrite")
+    key = F.col("dimension_structs")[0]["dimension_value"]
+    scores = rows.select(
+        F.concat_ws("\u0001", "strategy_id", "algo_id", F.to_json("dimension_structs"),
+                    "probability_score", "target_ecpm", "dt", "timestamp").alias("value"), *PARTITIONS)
+    scores.write.partitionBy(*PARTITIONS).text(f"{base}/input")
+    entries = rows.select(key.alias("key"), "strategy_id", "multiplier", "baseline", "dt").distinct()
+    value = F.struct("strategy_id", "multiplier",
+                     TX.value_string("strategy_id", "multiplier", "baseline").alias("vs"))
+    lines = entries.groupBy("dt", "key").agg(F.array_sort(F.collect_list(value)).alias("es"))
+    lines.select(F.concat_ws("\t", "key", F.array_join(F.transform("es", lambda x: x["vs"]), ","))
+                 .alias("value"), F.lit(DQ.PUBLISHED_ALGO).alias("algo_id"), "dt") \
+        .write.partitionBy(*PARTITIONS).text(f"{base}/output")
 
 
-def _log_schema(spark, path):
-    return spark.read.json(path).schema
+def _published(spark, sf_dir):
+    """The published files; readers of the log (scans, catalog and retention
+    queries) share one copy per input version, which no query changes."""
+    return X.stored_path(spark, sf_dir, "published", lambda p: _publish(spark, sf_dir, p))
 
 
-def _read_log(spark, path, schema):
-    return spark.read.schema(schema).json(path)
+def _read_log(spark, base):
+    return spark.read.schema(OUTPUT_LOG).json(f"{base}/log")
 
 
 @query("publish_log", pay_sql(EVENT_LOG_SQL, "event_requests"))
 def q_publish_log(spark, sf_dir):
-    path, schema = _published(spark, sf_dir, fresh=True)
-    back = _read_log(spark, path, schema)
-    return back.select("dom_rec_id", "strategy_id",
-                       F.col("dimension_structs")[0]["dimension_value"].alias("dimension_value"),
-                       "algo_id", "dt", r6("multiplier").alias("multiplier"))
+    """K9: the published log, every column read back."""
+    base = scratch_path(spark, "published")
+    _publish(spark, sf_dir, base)
+    return _read_log(spark, base).select(
+        "dom_rec_id", "strategy_id",
+        F.col("dimension_structs")[0]["dimension_value"].alias("dimension_value"),
+        "algo_id", "dt", r6("multiplier").alias("multiplier"), "baseline",
+        r6("probability_score").alias("probability_score"), "target_ecpm", "min_bid", "max_bid",
+        "timestamp")
+
+
+@query("publish_files", pay_sql(f"""
+select 'input' as kind, algo_id, dt, count(*) as n_lines, cast(count(*) as bigint) as n_entries
+from ({EVENT_LOG_SQL}) l group by algo_id, dt
+union all
+select 'output', algo_id, dt, count(*), cast(sum(n) as bigint) from (
+  select algo_id, dt, dimension_value, count(distinct (strategy_id, multiplier)) as n
+  from ({EVENT_LOG_SQL}) l group by algo_id, dt, dimension_value) k group by algo_id, dt""",
+                                "event_requests"))
+def q_publish_files(spark, sf_dir):
+    """K9: lines and entries of the published score and price files."""
+    base = _published(spark, sf_dir)
+    entries = {"input": F.lit(1), "output": F.size(F.split(F.split("value", "\t")[1], ","))}
+    out = None
+    for kind, n in entries.items():
+        part = spark.read.schema("value string, algo_id int, dt int").text(f"{base}/{kind}") \
+            .groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n_lines"), F.sum(n).alias("n_entries")) \
+            .select(F.lit(kind).alias("kind"), *PARTITIONS, "n_lines", "n_entries")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("scan_output_log", pay_sql(f"""
@@ -163,8 +205,7 @@ select algo_id, dt, count(*) as n_rows, count(distinct dom_rec_id) as n_requests
 from ({EVENT_LOG_SQL}) l group by algo_id, dt""", "event_requests"))
 def q_scan_output_log(spark, sf_dir):
     """The partitioned JSON table scanned with partition discovery."""
-    path, _ = _published(spark, sf_dir)
-    back = spark.read.json(path)
+    back = _read_log(spark, _published(spark, sf_dir))
     return back.groupBy("algo_id", "dt").agg(F.count(F.lit(1)).alias("n_rows"),
                                              F.countDistinct("dom_rec_id").alias("n_requests"))
 
@@ -174,8 +215,7 @@ select dom_rec_id, strategy_id, dimension_value, dt, multiplier from ({EVENT_LOG
 order by dt, dom_rec_id, dimension_value limit 5""", "event_requests"))
 def q_preview_log(spark, sf_dir):
     """S10 + L1: a five-row preview (the limit is the feature), in a fixed order."""
-    path, schema = _published(spark, sf_dir)
-    back = _read_log(spark, path, schema).select(
+    back = _read_log(spark, _published(spark, sf_dir)).select(
         "dom_rec_id", "strategy_id",
         F.col("dimension_structs")[0]["dimension_value"].alias("dimension_value"), "dt",
         r6("multiplier").alias("multiplier"))
@@ -192,12 +232,18 @@ CUTOFF_SQL = """(select cast(strftime(max(date_new)::date - interval 10 day, '%Y
                  from event_requests)"""
 
 
+@contextmanager
 def _log_table(spark, sf_dir):
-    path, _ = _published(spark, sf_dir)
+    """An external table over the published log, gone when the query is built:
+    what a query returns is read from the files or was listed before."""
     name = _name("output_log")
-    RT.create_partitioned_table(spark, name, RT.OUTPUT_LOG_DDL, ["algo_id", "dt"], path)
-    RT.repair_table(spark, name)
-    return name
+    RT.create_partitioned_table(spark, name, ddl(OUTPUT_LOG), PARTITIONS,
+                                f"{_published(spark, sf_dir)}/log")
+    try:
+        RT.repair_table(spark, name)
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _cutoff(spark, sf_dir, n=10, units="d"):
@@ -208,14 +254,15 @@ def _cutoff(spark, sf_dir, n=10, units="d"):
 @query("repair_table", pay_sql(f"select partition from ({PARTS_SQL}) p", "event_requests"))
 def q_repair_table(spark, sf_dir):
     """K18 + K24: external table over the published folders, partitions recovered."""
-    name = _log_table(spark, sf_dir)
-    return spark.sql(f"SHOW PARTITIONS {name}")
+    with _log_table(spark, sf_dir) as name:
+        return spark.sql(f"SHOW PARTITIONS {name}")
 
 
 @query("list_partitions", pay_sql(f"select partition from ({PARTS_SQL}) p", "event_requests"))
 def q_list_partitions(spark, sf_dir):
     """K19."""
-    return RT.list_partitions(spark, _log_table(spark, sf_dir))
+    with _log_table(spark, sf_dir) as name:
+        return RT.list_partitions(spark, name)
 
 
 @query("retention_cutoff", with_views("""
@@ -238,7 +285,8 @@ def q_retention_cutoff(spark, sf_dir):
     f"select partition from ({PARTS_SQL}) p where dt < {CUTOFF_SQL}", "event_requests"))
 def q_expired_partitions(spark, sf_dir):
     """Partitions older than the 10-day cutoff."""
-    parts = RT.list_partitions(spark, _log_table(spark, sf_dir))
+    with _log_table(spark, sf_dir) as name:
+        parts = RT.list_partitions(spark, name)
     return RT.expired_partitions(parts, _cutoff(spark, sf_dir))
 
 
@@ -250,7 +298,8 @@ from ({PARTS_SQL}) p, (select 'output_log' as table_name union all select 'outpu
 where p.dt < {CUTOFF_SQL}""", "event_requests"))
 def q_drop_statements(spark, sf_dir):
     """Statements for every table in the list."""
-    parts = RT.list_partitions(spark, _log_table(spark, sf_dir))
+    with _log_table(spark, sf_dir) as name:
+        parts = RT.list_partitions(spark, name)
     expired = RT.expired_partitions(parts, _cutoff(spark, sf_dir))
     return RT.drop_statements(expired, ["output_log", "output_log_test"])
 
@@ -259,10 +308,10 @@ def q_drop_statements(spark, sf_dir):
     f"select partition from ({PARTS_SQL}) p where dt >= {CUTOFF_SQL}", "event_requests"))
 def q_apply_retention(spark, sf_dir):
     """Drop the expired partitions; what remains is listed."""
-    name = _log_table(spark, sf_dir)
-    expired = RT.expired_partitions(RT.list_partitions(spark, name), _cutoff(spark, sf_dir))
-    RT.apply_retention(spark, name, expired)
-    return spark.sql(f"SHOW PARTITIONS {name}")
+    with _log_table(spark, sf_dir) as name:
+        expired = RT.expired_partitions(RT.list_partitions(spark, name), _cutoff(spark, sf_dir))
+        RT.apply_retention(spark, name, expired)
+        return spark.sql(f"SHOW PARTITIONS {name}")
 
 
 @query("rename_table", pay_sql(f"""
@@ -270,10 +319,13 @@ select algo_id, dt, count(*) as n_rows from ({EVENT_LOG_SQL}) l group by algo_id
                                "event_requests"))
 def q_rename_table(spark, sf_dir):
     """The table under its new name."""
-    old = _log_table(spark, sf_dir)
-    new = _name("pom_output_log")
-    RT.rename_table(spark, old, new)
-    return spark.table(new).groupBy("algo_id", "dt").agg(F.count(F.lit(1)).alias("n_rows"))
+    new = _name("renamed_output_log")
+    with _log_table(spark, sf_dir) as old:
+        RT.rename_table(spark, old, new)
+        counts = written(spark.table(new).groupBy("algo_id", "dt").agg(
+            F.count(F.lit(1)).alias("n_rows")), "renamed")
+        spark.sql(f"DROP TABLE {new}")
+    return counts
 
 
 # --- predictions table (K1-K5, S5, S9, O1) -------------------------------------------
@@ -295,7 +347,7 @@ FLAT_CANDS_SQL = """select strategy_id, cast(site_domain_id as varchar) as first
 
 def _predictions_table(spark, sf_dir):
     """A previous run left partitions -1 and 7; this run rewrites only -1."""
-    path = scratch_path(spark, "predictions", sf_dir)
+    path = scratch_path(spark, "predictions")
     cands = candidates_df(spark, sf_dir)
     previous = _pred_rows(cands.where(F.col("site_domain_id") % 2 == 0)) \
         .withColumn("algo_id", F.lit(-1)).unionByName(
@@ -321,12 +373,25 @@ def q_scan_predictions(spark, sf_dir):
     return _flat_preds(t.where(F.col("algo_id") == -1))
 
 
+@contextmanager
 def _pred_catalog(spark, sf_dir):
+    """The predictions table in the catalog while a query edits it, with the
+    folder its rows are read from afterwards."""
     path = _predictions_table(spark, sf_dir)
     name = _name("dimension_predictions")
     RT.create_partitioned_table(spark, name, PRED_DDL, ["algo_id"], path, fmt="parquet")
-    RT.repair_table(spark, name)
-    return name
+    try:
+        RT.repair_table(spark, name)
+        yield name, path
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _drop_partition(spark, name, path, algo_id):
+    """A dropped partition of an external table keeps its files; the table's
+    rows are then read without them."""
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (algo_id={algo_id})")
+    return spark.read.parquet(path).where(F.col("algo_id") != algo_id)
 
 
 UNRESOLVED_SQL = """
@@ -373,13 +438,11 @@ select strategy_id, first, probability_score, 1 from ({UNRESOLVED_SQL}) u""", *U
                                           *UNRESOLVED_VIEWS[3:]))
 def q_write_static_partition(spark, sf_dir):
     """K3: INSERT OVERWRITE ... PARTITION (algo_id=1) over the predictions table."""
-    name = _pred_catalog(spark, sf_dir)
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (algo_id=7)")
-    view = _name("unresolved")
-    _unresolved(spark, sf_dir).createOrReplaceTempView(view)
-    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (algo_id=1) "
-              f"SELECT strategy_id, dimension_value_structs, probability_score FROM {view}")
-    return _flat_preds(spark.table(name))
+    with _pred_catalog(spark, sf_dir) as (name, path):
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (algo_id=1) SELECT strategy_id, "
+                  "dimension_value_structs, probability_score FROM {rows}",
+                  rows=_unresolved(spark, sf_dir))
+        return _flat_preds(_drop_partition(spark, name, path, 7))
 
 
 @query("append_partition", cand_sql(f"""
@@ -388,32 +451,28 @@ select algo_id, count(*) as n_rows, count(distinct strategy_id) as n_strategies
   union all
   select strategy_id, cast(site_domain_id as varchar), round(probability_score, 6), 1 from candidates
   union all
-  select 552211, cast(site_domain_id as varchar), round(probability_score, 6), 1 from candidates) x
+  select 990001, cast(site_domain_id as varchar), round(probability_score, 6), 1 from candidates) x
 group by algo_id"""))
 def q_append_partition(spark, sf_dir):
     """K4: INSERT INTO a static partition, also with a constant strategy id."""
-    name = _pred_catalog(spark, sf_dir)
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (algo_id=7)")
-    src = _name("src")
-    spark.table(name).where(F.col("algo_id") == -1).createOrReplaceTempView(src)
-    spark.sql(f"INSERT INTO TABLE {name} PARTITION (algo_id=1) "
-              f"SELECT strategy_id, dimension_value_structs, probability_score FROM {src}")
-    spark.sql(f"INSERT INTO TABLE {name} PARTITION (algo_id=1) "
-              f"SELECT 552211 AS strategy_id, dimension_value_structs, probability_score FROM {src}")
-    return spark.table(name).groupBy("algo_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("strategy_id").alias("n_strategies"))
+    with _pred_catalog(spark, sf_dir) as (name, path):
+        now = spark.table(name).where(F.col("algo_id") == -1)
+        for who in ("strategy_id", "990001 AS strategy_id"):
+            spark.sql(f"INSERT INTO TABLE {name} PARTITION (algo_id=1) "
+                      f"SELECT {who}, dimension_value_structs, probability_score FROM {{rows}}",
+                      rows=now)
+        return _drop_partition(spark, name, path, 7).groupBy("algo_id").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.countDistinct("strategy_id").alias("n_strategies"))
 
 
 @query("clear_partition", cand_sql(f"{FLAT_CANDS_SQL} from candidates"))
 def q_clear_partition(spark, sf_dir):
     """K5 + P10: INSERT OVERWRITE of one static partition with WHERE 1 = 2 empties it."""
-    name = _pred_catalog(spark, sf_dir)
-    src = _name("source")
-    _pred_rows(candidates_df(spark, sf_dir)).createOrReplaceTempView(src)
-    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (algo_id=7) "
-              f"SELECT strategy_id, dimension_value_structs, probability_score FROM {src} "
-              f"WHERE 1 = 2")
-    return _flat_preds(spark.table(name))
+    with _pred_catalog(spark, sf_dir) as (name, path):
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (algo_id=7) SELECT strategy_id, "
+                  "dimension_value_structs, probability_score FROM {rows} WHERE 1 = 2",
+                  rows=_pred_rows(candidates_df(spark, sf_dir)))
+        return _flat_preds(spark.read.parquet(path))
 
 
 @query("load_partition", cand_sql(f"""
@@ -423,8 +482,6 @@ select strategy_id, algo_id, count(*) as n from (
   select strategy_id, null, null, 1 from ({SCORES_SQL}) s) x group by strategy_id, algo_id"""))
 def q_load_partition(spark, sf_dir):
     """A delimited file loaded into partition algo_id=1 (read, then append)."""
-    name = _pred_catalog(spark, sf_dir)
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (algo_id=7)")
     scores = spark.read.schema(SCORES_SCHEMA).option("sep", "\u0001").csv(_export_scores(spark, sf_dir))
     dims = F.from_json("dimension_structs", "array<struct<dimension_type_id:int,dimension_value:string>>")
     rows = scores.select("strategy_id", F.struct(
@@ -432,8 +489,10 @@ def q_load_partition(spark, sf_dir):
         F.struct(dims[0]["dimension_value"].alias("first"), F.lit("").alias("last"),
                  F.lit("").alias("unit")).alias("dimension_value")).alias("dimension_value_structs"),
         "probability_score", F.lit(1).alias("algo_id"))
-    rows.write.insertInto(name)
-    return spark.table(name).groupBy("strategy_id", "algo_id").agg(F.count(F.lit(1)).alias("n"))
+    with _pred_catalog(spark, sf_dir) as (name, path):
+        rows.write.insertInto(name)
+        return _drop_partition(spark, name, path, 7).groupBy("strategy_id", "algo_id").agg(
+            F.count(F.lit(1)).alias("n"))
 
 
 INPUTS_TABLE_SQL = """
@@ -451,7 +510,7 @@ def q_write_strategy_inputs(spark, sf_dir):
     from bidmill.operators import requests as R
     queue = X.request_queue(spark, sf_dir)
     inputs = R.request_inputs(queue.where(F.col("status") == "new"))
-    path = scratch_path(spark, "strategy_inputs", sf_dir)
+    path = scratch_path(spark, "strategy_inputs")
     sinks.write_table(inputs.where(F.col("strategy_id") % 2 == 0), spark, "x", path=path)
     sinks.write_table(inputs, spark, "x", path=path, mode="overwrite")
     return spark.read.parquet(path)

@@ -2,18 +2,16 @@
 
 Everything that writes an intermediate table (the sink queries, the streaming
 sink, lineage cuts) goes under the folder named by ``spark.checkpoint.dir``.
-On a cluster that is a shared file system set by the operator; we only set one
-ourselves when the session has none (tests, a laptop).
+On a cluster that is a shared file system set by the operator; a folder of our
+own is made only on a local master that names none (tests, a laptop).
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the plans are written for. AQE re-plans joins at run time
 # (broadcast when a side turns out small, split skewed partitions) and
@@ -30,6 +28,9 @@ SESSION_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# the one setting whose default would change results
+NEEDED_CONF = {"spark.sql.session.timeZone": "UTC"}
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "bidmill", extra: dict | None = None) -> SparkSession:
@@ -49,41 +50,45 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings on a session someone else created."""
-    for key, value in SESSION_CONF.items():
-        if key.startswith("spark.sql."):
+    """Set what results depend on, unless the caller's session has set it."""
+    given = spark.sparkContext.getConf()
+    for key, value in NEEDED_CONF.items():
+        if not given.contains(key):
             spark.conf.set(key, value)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir`` (creating a
-    local one only when the session names none) and make sure DataFrame
-    ``checkpoint()`` writes below it."""
+    """Return the shared folder named by ``spark.checkpoint.dir`` and make sure
+    DataFrame ``checkpoint()`` writes below it. Without one, a local master
+    gets a temporary folder; any other master is an error, since executors on
+    other machines would not see it."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not root:
         current = sc.getCheckpointDir()
-        root = current.rsplit("/", 1)[0] if current else tempfile.mkdtemp(prefix="bidmill-ckpt-")
+        if current:
+            root = current.rsplit("/", 1)[0]
+        elif sc.master.startswith("local[") or sc.master == "local":
+            root = tempfile.mkdtemp(prefix="bidmill-ckpt-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 
 
-def scratch_path(spark: SparkSession, name: str, sf_dir: str | None = None,
-                 unique: bool = False) -> str:
-    """Folder for one written table below the shared checkpoint folder.
-
-    By default the path is stable for (name, input folder), so a rerun
-    rewrites the same table instead of adding a copy; writers overwrite (or
-    truncate, then append). ``unique`` gives a fresh folder (stream
-    checkpoints, whose state must start empty).
-    """
-    base = ensure_checkpoint_dir(spark)
-    tag = name
-    if sf_dir is not None:
-        tag += "-" + hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:8]
-    if unique:
-        tag += "-" + uuid.uuid4().hex[:12]
-    return os.path.join(base, "bidmill-tables", tag)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one written table below the shared checkpoint folder:
+    no call rewrites what an earlier call's lazy result reads."""
+    return f"{ensure_checkpoint_dir(spark)}/bidmill-tables/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as parquet in a folder of its own and read back:
+    the lineage is cut, and a join on it has its exchange right below."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

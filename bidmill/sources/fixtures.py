@@ -2,22 +2,22 @@
 
 Each builder returns a lazy DataFrame that reads only the columns it needs.
 ``FIXTURE_SQL`` holds the same definitions as SQL text for the DuckDB oracle;
-the two must stay equal (tests/test_fixtures.py checks the counts).
+the two must stay equal (every query's oracle is built on it).
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from bidmill.operators.running import running_sum
 from bidmill.session import ensure_checkpoint_dir
-from bidmill.sources.tables import TABLES, table, version
+from bidmill.sources.tables import TABLES, parquet_at, table, version
 
 
 def _code_version() -> str:
@@ -39,71 +39,38 @@ def _code_version() -> str:
 _CODE: str | None = None
 
 
-def _stamp(sf_dir: str, names: tuple[str, ...]) -> str:
-    parts = [_code_version()]
-    for n in names:
-        st = os.stat(os.path.join(sf_dir, f"{n}.parquet"))
-        parts.append(f"{n}:{st.st_size}:{st.st_mtime_ns}")
-    return hashlib.sha1(("|".join([os.path.abspath(sf_dir)] + parts)).encode()).hexdigest()[:16]
-
-
-_MEMO: dict[tuple, DataFrame] = {}
-
-
-def _memo(fn):
-    """A fixture is a lazy plan over the input files: build it once per
-    session and input version (plans are immutable, so sharing is safe)."""
-    import functools
-
-    @functools.wraps(fn)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, fn.__name__, os.path.abspath(sf_dir),
-               version(sf_dir))
-        df = _MEMO.get(key)
-        if df is None:
-            df = _MEMO.setdefault(key, fn(spark, sf_dir))
-        return df
-    return run
-
-
-_STORED: dict[str, T.StructType] = {}
+def _stamp(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
+    text = "|".join([_code_version(), sf_dir.rstrip("/"), version(spark, sf_dir, names)])
+    return hashlib.sha1(text.encode()).hexdigest()[:16]
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, inputs: tuple[str, ...], build) -> DataFrame:
-    """A derived table written once under the shared checkpoint folder and
-    read back by every later query (keyed on the input files' size and time),
-    as the reference keeps it as a table. Lineage stops at the stored files."""
-    base = os.path.join(ensure_checkpoint_dir(spark), "bidmill-fixtures",
-                        f"{name}-{_stamp(sf_dir, inputs)}")
-    schema = _STORED.get(base)
-    if schema is None:
-        try:  # a finished write leaves _SUCCESS; the reader checks it on any file system
-            spark.read.text(base + "/_SUCCESS")
-        except AnalysisException:
-            build(spark, sf_dir).write.mode("overwrite").parquet(base)
-        schema = _STORED.setdefault(base, spark.read.parquet(base).schema)
-    return spark.read.schema(schema).parquet(base)
-
-
-def stored_path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
-    """Like ``stored`` for a table with its own writer (format, partitions):
-    ``write(path)`` runs once per input version; a marker table written after
-    it says the table is complete (its own _SUCCESS may predate the end of a
-    multi-step write)."""
-    base = os.path.join(ensure_checkpoint_dir(spark), "bidmill-fixtures",
-                        f"{name}-{_stamp(sf_dir, TABLES)}")
-    if base not in _STORED:
-        try:
-            spark.read.text(base + "-complete/_SUCCESS")
-        except AnalysisException:
-            write(base)
-            spark.createDataFrame([(base,)], "value string").coalesce(1) \
-                .write.mode("overwrite").text(base + "-complete")
-        _STORED[base] = None
+    """A derived table written once for each input version under the shared
+    checkpoint folder and read back by every later query, as the reference
+    keeps it as a table. Lineage stops at the stored files."""
+    return parquet_at(spark, stored_path(
+        spark, sf_dir, name, lambda path: build(spark, sf_dir).write.parquet(path), inputs))
+
+
+def stored_path(spark: SparkSession, sf_dir: str, name: str, write,
+                inputs: tuple[str, ...] = TABLES) -> str:
+    """Folder of a table that ``write(path)`` makes once for each input version.
+
+    Each writer works in a folder of its own and publishes it by a rename, so
+    a reader sees a whole table or none, and of two jobs that build the same
+    version the second keeps the first one's."""
+    base = f"{ensure_checkpoint_dir(spark)}/bidmill-fixtures/{name}-{_stamp(spark, sf_dir, inputs)}"
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    place = path_of(base)
+    fs = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(place):
+        draft = f"{base}-{uuid.uuid4().hex}"
+        write(draft)
+        if fs.exists(place) or not fs.rename(path_of(draft), place):
+            fs.delete(path_of(draft), True)
     return base
 
 
-@_memo
 def line_recommender_cumsum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """line_id, domain_name, percentage_recommendations, cumulative_users
     (built once per input version; see ``stored``)."""
@@ -128,13 +95,11 @@ def _build_cumsum(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "cumulative_users"))
 
 
-@_memo
 def linez(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("line_id"))
             .where(F.col("line_id") % 10 != 9))
 
 
-@_memo
 def site_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey")
     name = F.concat(F.lit("site"), F.col("p_partkey").cast("string"), F.lit(".example"))
@@ -145,7 +110,6 @@ def site_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main.unionByName(dup)
 
 
-@_memo
 def strategy_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
@@ -162,7 +126,6 @@ def strategy_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise((k % 500) / F.lit(100.0) + F.lit(0.1)).alias("target_ecpm"))
 
 
-@_memo
 def dom_rec_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("dom_rec_id"),
@@ -174,7 +137,6 @@ def dom_rec_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("date_new"))
 
 
-@_memo
 def strategies_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     return s.where(F.col("s_suppkey") % 10 != 1).select(
@@ -183,7 +145,6 @@ def strategies_current(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_acctbal") / 50).cast(T.DecimalType(10, 4)).alias("max_bid"))
 
 
-@_memo
 def strategies_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     k = F.col("s_suppkey")
@@ -195,7 +156,6 @@ def strategies_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("s_acctbal") / 50).cast(T.DecimalType(10, 4)).alias("max_bid"))
 
 
-@_memo
 def strategy_algo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "supplier")
             .select(F.col("s_suppkey").alias("strategy_id"),
@@ -203,7 +163,6 @@ def strategy_algo(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
-@_memo
 def uniques_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audience sizes; even customer ids only, so a left join has misses."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
@@ -212,14 +171,12 @@ def uniques_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("c_custkey") % 10) * 40 + 50).alias("number_of_unique_users"))
 
 
-@_memo
 def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return n.select(F.col("n_nationkey").cast("bigint").alias("id"),
                     F.concat(F.lower(F.col("n_name")), F.lit("@example.com")).alias("email"))
 
 
-@_memo
 def domain_inputs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The relational twin of the strategy inputs, before defaults and joins."""
     k = F.col("c_custkey")
@@ -237,7 +194,6 @@ def domain_inputs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 4 == 0).cast("int").alias("modeled"))
 
 
-@_memo
 def recency_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey")
     return c.where(F.col("c_custkey") % 3 == 0).select(
@@ -247,18 +203,15 @@ def recency_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_custkey") % 2).cast("int").alias("modeled"))
 
 
-@_memo
 def strategy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored strategy documents; no bid_baseline key when id % 3 = 0."""
     k = F.col("c_custkey")
-    doc = F.when(k % 3 == 0, F.concat(F.lit('{"id":'), k.cast("string"),
-                                        F.lit(',"rtb_bidding":{"x":"k"}}'))) \
-           .otherwise(F.concat(F.lit('{"id":'), k.cast("string"),
-                               F.lit(',"rtb_bidding":{"bid_baseline":1.0,"x":"k"}}')))
+    baseline = F.when(k % 3 == 0, "").otherwise('"bid_baseline":1.0,')
+    doc = F.concat(F.lit('{"id":'), k.cast("string"), F.lit(',"name":null,"rtb_bidding":{'), baseline,
+                   F.lit('"cap":null,"x":"k"},"tags":[1,{"a":[true]}]}'))
     return table(spark, sf_dir, "customer").select(k.alias("strategy_id"), doc.alias("doc"))
 
 
-@_memo
 def request_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full request queue: dom_rec_queue with the columns a request
     carries (line, target, audience, bids) taken from its strategy's inputs;
@@ -285,7 +238,6 @@ def request_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("bigint").alias("dom_rec_result_id"))
 
 
-@_memo
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests arriving as events (the stream input of T1): one request per
     event, for the strategy of the event's user."""
@@ -297,7 +249,6 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts").cast("timestamp").alias("date_new"))
 
 
-@_memo
 def strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strategy master: line and bidding engine of every strategy."""
     k = F.col("c_custkey")
@@ -367,8 +318,9 @@ select c_custkey as strategy_id,
 from customer where c_custkey % 3 = 0""",
     "strategy_documents": """
 select c_custkey as strategy_id,
-       case when c_custkey % 3 = 0 then '{"id":' || c_custkey || ',"rtb_bidding":{"x":"k"}}'
-            else '{"id":' || c_custkey || ',"rtb_bidding":{"bid_baseline":1.0,"x":"k"}}' end as doc
+       '{"id":' || c_custkey || ',"name":null,"rtb_bidding":{' ||
+       case when c_custkey % 3 = 0 then '' else '"bid_baseline":1.0,' end ||
+       '"cap":null,"x":"k"},"tags":[1,{"a":[true]}]}' as doc
 from customer""",
     "request_queue": """
 select q.dom_rec_id, 'bid list ' || q.bid_list_id as bid_list_name, q.bid_list_id,

@@ -15,8 +15,8 @@ from bidmill.session import scratch_path
 
 def write_table(df: DataFrame, spark: SparkSession, name: str, fmt: str = "parquet",
                 mode: str = "overwrite", partition_by: list[str] | None = None,
-                path: str | None = None, sf_dir: str | None = None, **options) -> str:
-    path = path or scratch_path(spark, name, sf_dir)
+                path: str | None = None, **options) -> str:
+    path = path or scratch_path(spark, name)
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -40,9 +40,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
     w.save(path)
 
 
-def append_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
-    """K4 / K9: append into (static or dynamic) partitions."""
-    df.write.format(fmt).partitionBy(*partition_by).mode("append").save(path)
+def table_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
 def read_relational(spark: SparkSession, path: str | None = None, url: str | None = None,
@@ -63,7 +63,7 @@ def read_relational(spark: SparkSession, path: str | None = None, url: str | Non
 
 
 def append_with_ids(rows: DataFrame, spark: SparkSession, name: str, id_col: str,
-                    path: str | None = None, sf_dir: str | None = None) -> DataFrame:
+                    path: str | None = None) -> DataFrame:
     """Append rows to a table with an increasing surrogate id, read back.
 
     Ids are the table's current maximum plus ``monotonically_increasing_id``:
@@ -71,18 +71,16 @@ def append_with_ids(rows: DataFrame, spark: SparkSession, name: str, id_col: str
     row numbering through one partition); not gap-free. The selected row
     count is observed during the write (A11).
     """
-    mode = "append"
-    if path is None:  # a new table (replacing an earlier run's)
-        path = scratch_path(spark, name, sf_dir)
-        base = F.lit(0).cast("long")
-        mode = "overwrite"
-    else:
+    path = path or scratch_path(spark, name)  # a new table
+    if table_exists(spark, path):
         existing = spark.read.parquet(path)
         base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).scalar()
+    else:
+        base = F.lit(0).cast("long")
     obs = Observation(f"{name}_append")
     stamped = rows.select((base + F.monotonically_increasing_id() + 1).alias(id_col), "*") \
         .observe(obs, F.count(F.lit(1)).alias("rows"))
-    stamped.write.mode(mode).parquet(path)
+    stamped.write.mode("append").parquet(path)
     out = spark.read.parquet(path)
     out.observed_rows = obs.get.get("rows", 0)  # type: ignore[attr-defined]
     return out
@@ -114,8 +112,3 @@ def write_delimited(df: DataFrame, path: str, sep: str = "\u0001") -> None:
             if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name)
             for f in df.schema.fields]
     df.select(*cols).write.mode("overwrite").option("sep", sep).option("header", "false").csv(path)
-
-
-def write_lines(lines: DataFrame, path: str) -> None:
-    """K7: one text line per row of a single string column."""
-    lines.write.mode("overwrite").text(path)

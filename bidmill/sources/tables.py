@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
-import os
+from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
+# reading a parquet footer for the schema is a Spark job of its own, so the
+# last few hundred schemas are kept, by path and file version
+_SCHEMAS: OrderedDict[tuple[str, str], T.StructType] = OrderedDict()
+_KEPT_SCHEMAS = 256
 
-# schema per (file, size, mtime): reading a parquet footer for the schema is a
-# Spark job of its own, so it is done once per file version, not per query
-_SCHEMAS: dict[tuple, object] = {}
+
+def parquet_at(spark: SparkSession, path: str) -> DataFrame:
+    key = (path, file_version(spark, path))
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        schema = _SCHEMAS[key] = spark.read.parquet(path).schema
+        if len(_SCHEMAS) > _KEPT_SCHEMAS:
+            _SCHEMAS.popitem(last=False)
+    return spark.read.schema(schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,33 +33,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     is pruned (ReadSchema) and their filters reach the reader."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        st = os.stat(path)
-        key = (os.path.abspath(path), st.st_size, st.st_mtime_ns)
-    except OSError:  # not a local path: let the reader infer
-        return spark.read.parquet(path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        schema = _SCHEMAS.setdefault(key, spark.read.parquet(path).schema)
-    # the relation (file listing included) is built once per session and version
-    rel_key = (spark.sparkContext.applicationId, key)
-    rel = _RELATIONS.get(rel_key)
-    if rel is None:
-        rel = _RELATIONS.setdefault(rel_key, spark.read.schema(schema).parquet(path))
-    return rel
-
-
-_RELATIONS: dict[tuple, DataFrame] = {}
-
-
-def version(sf_dir: str) -> tuple:
-    """Size and time of every table file under ``sf_dir`` (cache key part)."""
-    out = []
-    for name in TABLES:
-        try:
-            st = os.stat(os.path.join(sf_dir, f"{name}.parquet"))
-            out.append((name, st.st_size, st.st_mtime_ns))
-        except OSError:
-            out.append((name, None, None))
-    return tuple(out)
+    return parquet_at(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def file_version(spark: SparkSession, path: str) -> str:
+    """Length and change time of a file, or of all files of a folder, from
+    Spark's own file system layer (any store that Spark reads)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(place):
+        return "absent"
+    own = fs.getFileStatus(place)
+    files = fs.listStatus(place) if own.isDirectory() else [own]
+    return ",".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}"
+                           for f in files))
+
+
+def version(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = TABLES) -> str:
+    """The versions of some tables under ``sf_dir`` (cache key part)."""
+    return "|".join(f"{n}={file_version(spark, f'{sf_dir.rstrip("/")}/{n}.parquet')}"
+                    for n in names)

@@ -41,7 +41,7 @@ def test_one_pass_equals_window_form(spark):
     args = (X.strategy_inputs(spark, SF_SMALL), X.linez(spark, SF_SMALL),
             X.line_recommender_cumsum(spark, SF_SMALL), X.site_domains(spark, SF_SMALL))
     a = C.candidates(*args)
-    b = C.candidates_window(*args)
+    b = C.candidates_ranked(*args)
     assert a.count() == 564
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -77,13 +77,23 @@ def test_hot_line_equals_window_form(spark):
     names += [(9000 + i, f"d1-{i}.example") for i in range(0, 200, 50)]      # duplicate names
     sites = spark.createDataFrame(names, "site_domain_id long, name string")
     a = C.candidates(inputs, lines, preds, sites)
-    b = C.candidates_window(inputs, lines, preds, sites)
+    b = C.candidates_ranked(inputs, lines, preds, sites)
     assert a.count() > 1000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_claim_batch_is_bounded(spark):
+def test_claim_of_any_size(spark):
     from bidmill.operators import requests as R
-    q = spark.createDataFrame([(1, "new")], "dom_rec_id long, status string")
+    q = spark.createDataFrame([(i, "new") for i in range(5)], "dom_rec_id long, status string")
+    assert R.claim_batch(q, 10_000_000).count() == 5 and R.claim_batch(q).count() == 5
     with pytest.raises(ValueError):
-        R.claim_batch(q, 10_000_000)
+        R.claim_batch(q, 0)
+
+
+def test_size_check_follows_the_table(spark, tmp_path):
+    from bidmill.joins import is_small
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    assert is_small(spark.read.parquet(path), max_bytes=100_000)
+    spark.range(100_000).write.mode("overwrite").parquet(path)
+    assert not is_small(spark.read.parquet(path), max_bytes=100_000)

@@ -29,13 +29,13 @@ def test_retention_units(spark):
 
 
 def test_time_stamps(spark):
-    t = "2016-04-08 17:48:33"
+    t = "2024-05-17 09:41:26"
     row = spark.range(1).select(TF.up_to_date(t), TF.up_to_second(t), TF.up_to_hundredth(t),
                                 TF.prefix(t), TF.queue_stamp(t)).first()
-    assert tuple(row) == ("20160408", "20160408174833", "2016040817483300",
-                          "2016040817483300_", "2016040817483300")
-    frac = spark.range(1).select(TF.up_to_hundredth("2016-04-08 17:48:33.496")).first()[0]
-    assert frac == "2016040817483350"   # rounded to hundredths, not truncated
+    assert tuple(row) == ("20240517", "20240517094126", "2024051709412600",
+                          "2024051709412600_", "2024051709412600")
+    frac = spark.range(1).select(TF.up_to_hundredth("2024-05-17 09:41:26.496")).first()[0]
+    assert frac == "2024051709412650"   # rounded to hundredths, not truncated
 
 
 def _queue(spark, rows):

@@ -41,18 +41,57 @@ def _entries(spark, n_strategies):
     return spark.createDataFrame(rows, "key string, strategy_id long, multiplier double, baseline double")
 
 
-def test_paging_splits_hot_keys_and_merges_back(spark):
-    e = _entries(spark, 25)
-    paged = PF.price_lines(e, page_size=4)
-    whole = PF.price_lines(e, page_size=1000)
-    assert whole.count() == 3 and paged.count() > 3
-    for lines in (paged, whole):
-        text = lines.select(F.struct(F.lit("f"), F.col("key"), F.col("part")).alias("line_no"),
-                            F.col("line").alias("text"))
-        m = PF.merged_multipliers(PF.parse_price_lines(text, 1, [(0, "d")]))
-        got = sorted((r.value, int(r.strategy_id), r.multiplier) for r in m.collect())
-        exp = sorted((f"k{k}", s, round(1.0 + s / 1000.0 + k, 10)) for k in range(3) for s in range(25))
-        assert got == exp
+def test_lines_merge_back(spark):
+    lines = PF.price_lines(_entries(spark, 25))
+    assert lines.count() == 3
+    text = lines.select(F.struct(F.lit("f"), F.col("key")).alias("line_no"),
+                        F.col("line").alias("text"))
+    m = PF.merged_multipliers(PF.parse_price_lines(text, 1, [(0, "d")]))
+    got = sorted((r.value, int(r.strategy_id), r.multiplier) for r in m.collect())
+    assert got == sorted((f"k{k}", s, 1.0 + s / 1000.0 + k) for k in range(3) for s in range(25))
+
+
+def test_large_key_is_one_line_of_many_tasks(spark):
+    priced = spark.range(50_000).selectExpr(
+        "array(named_struct('dimension_value', 'k')) as dims", "id as strategy_id",
+        "1.0 + id as multiplier", "0.3D as baseline").withColumn(
+            "multiplier", F.col("multiplier").cast("double"))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"   # this much data would be one task's
+    spark.conf.set(setting, "false")
+    try:
+        entries = PF.price_entries(priced.coalesce(1))
+        assert entries.select(F.spark_partition_id()).distinct().count() > 1
+        line = PF.price_lines(entries).collect()
+        assert len(line) == 1 and line[0].line.count(",") == 49_999
+    finally:
+        spark.conf.set(setting, "true")
+
+
+def test_small_multiplier_survives_the_file(spark):
+    e = spark.createDataFrame([("k", 1, 3e-12, 0.3)],
+                              "key string, strategy_id long, multiplier double, baseline double")
+    text = PF.price_lines(e).select(F.lit(1).alias("line_no"), F.col("line").alias("text"))
+    assert PF.parse_price_lines(text, 1, [(0, "d")]).first().multiplier == 3e-12
+
+
+def test_two_dimension_columns(spark, tmp_path):
+    dims = F.array(F.struct(F.lit("7").alias("dimension_value")),
+                   F.struct(F.lit("9").alias("dimension_value")))
+    priced = spark.createDataFrame([(1, 2.0, 0.3)],
+                                   "strategy_id long, multiplier double, baseline double")
+    data, header = str(tmp_path / "d"), str(tmp_path / "h")
+    PF.export_price_file(PF.price_lines(PF.price_entries(priced.withColumn("dims", dims))), data)
+    PF.write_header(spark, PF.header_for(["site_domain_id2", "city_id"]), header)
+    out = PF.merged_multipliers(PF.read_price_file(spark, data, header)).collect()
+    assert sorted((r.dimension, r.value, r.multiplier) for r in out) == [
+        ("city_id", "9", 2.0), ("site_domain_id2", "7", 2.0)]
+
+
+def test_part_numbers_order_lines_beyond_five_digits(spark, tmp_path):
+    for part, value in (("part-99999", 1.0), ("part-100000", 2.0)):
+        (tmp_path / f"{part}-x.txt").write_text(f"k\t1:{value}:0.3\n")
+    parsed = PF.parse_price_lines(PF.read_lines(spark, str(tmp_path)), 1, [(0, "d")])
+    assert PF.merged_multipliers(parsed).first().multiplier == 2.0
 
 
 def test_file_round_trip(spark, tmp_path):

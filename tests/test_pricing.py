@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -77,13 +78,28 @@ def test_monotone_when_target_above_floor(spark):
     assert m == sorted(m) and m[0] == pytest.approx(1.0) and m[-1] == pytest.approx(2.0 / 0.3)
 
 
-def test_closed_form_equals_grouped_fit_on_fixtures(spark):
-    """The applyInPandas least-squares form agrees with the window-free closed form."""
-    from bidmill.plans.core import scored_df
-    scored = scored_df(spark, "/root/testdata/sf0.001")
-    a = {(r.strategy_id, r.site_domain_id): r.multiplier for r in P.price_dampen(scored).collect()}
-    b = {(r.strategy_id, r.site_domain_id): r.multiplier
-         for r in P.price_dampen_grouped(scored).collect()}
-    assert a.keys() == b.keys() and len(a) == 564
-    for k in a:
-        assert a[k] == pytest.approx(b[k], rel=1e-9, abs=1e-9)
+def test_mean_seed_takes_nan_along(spark):
+    out = P.price_mean_seed(_scored(spark, [1.0, float("nan"), 3.0], 2.0)).collect()
+    assert all(r.multiplier != r.multiplier and r.baseline != r.baseline for r in out)
+
+
+def test_hot_strategy_join_is_split(spark):
+    """Without a broadcast, the rows of a hot strategy are read by many tasks."""
+    rows = spark.range(60_000).selectExpr(
+        "if(id % 6 = 0, id, 0) as strategy_id", "id as site_domain_id",
+        "rand(1) as probability_score", "2.0D as target_ecpm", "0.1D as min_bid", "5.0D as max_bid")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = P.price_dampen(rows)
+        hot = out.where("strategy_id = 0").select(F.spark_partition_id()).distinct().count()
+        assert out.count() == 60_000 and hot > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

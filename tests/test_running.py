@@ -9,7 +9,7 @@ from bidmill.operators.running import running_sum
 def test_running_sum_matches_window_with_hot_key(spark):
     rows = [(0, i, float(i % 7 + 1)) for i in range(3000)]            # one hot key
     rows += [(k, i, float((k * i) % 5)) for k in range(1, 60) for i in range(k % 9 + 1)]
-    rows += [(None, i, 1.0) for i in range(5)]                           # NULL key group
+    rows += [(None, i, 1.0) for i in range(2000)]              # NULL key group, several partitions
     df = spark.createDataFrame(rows, "k long, o long, v double").repartition(5)
     out = running_sum(df, "k", [F.col("v").desc(), F.col("o").asc()], "v", "cum", num_partitions=16)
     got = out.toPandas().sort_values(["k", "o"], na_position="first").reset_index(drop=True)
