@@ -121,5 +121,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         id_of(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_h"),
                         text_of(text_col).alias("_text"))
-    return keyed.join(gone, ["_id", "_h"], "left").select(
+    # texts move once at every size: a broadcast of the runs while they are few
+    # would give way to this plan anyway
+    return keyed.join(gone.hint("merge"), ["_id", "_h"], "left").select(
         "row", _cut("_text", "_at", "_size").alias("cut"))
