@@ -316,7 +316,7 @@ class _Search:
         parts = now.groupBy("key", "label").agg(F.count("*").alias("n"))
         stats = stored(parts.groupBy("key").agg(
             F.count("*").alias("parts"), F.sum("n").alias("members"),
-            F.max_by("label", F.struct("n", -F.col("label"))).alias("main"))
+            F.max_by("label", F.struct("n", "label")).alias("main"))
             .where("parts > 1").select("key", "main", "members"), "bucket-stats")
         rows = now.join(stats, "key")
         return (rows.where(F.col("members") <= LARGE_BUCKET),
