@@ -9,6 +9,7 @@ from bidmill.operators import candidates as C
 from bidmill.operators import pricing as P
 from bidmill.joins import is_small
 from bidmill.plans.registry import query
+from bidmill.session import written
 from bidmill.sources import fixtures as X
 from bidmill.sources.fixtures import with_views
 
@@ -47,9 +48,11 @@ def candidates_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 output. Pricing reads it twice (group bounds and the rows); both
-    branches share the exchange of the candidates' distinct."""
-    return P.scored_inputs(candidates_df(spark, sf_dir), X.strategy_inputs(spark, sf_dir))
+    """J1 output, written once: pricing reads it twice (group bounds and the
+    rows), each time only the columns it needs, as the reference's score file
+    is written once and read by the mapping step."""
+    return written(P.scored_inputs(candidates_df(spark, sf_dir), X.strategy_inputs(spark, sf_dir)),
+                   "scored")
 
 
 def r6(c):

@@ -69,7 +69,9 @@ def price_requests(spark: SparkSession, sf_dir: str, requests: DataFrame,
         requests = request_details(requests, t["strategy_inputs"])
     inputs = R.request_inputs(requests, extra=extra)
     cands = C.candidates(inputs, t["linez"], t["predictions"], t["site_domains"], keys=KEYS)
-    scored = P.scored_inputs(cands, inputs, keys=KEYS, missing_target=missing_target, extra=extra)
+    # read twice by the pricing function (group bounds, rows): computed once
+    scored = written(P.scored_inputs(cands, inputs, keys=KEYS, missing_target=missing_target,
+                                     extra=extra), "scored")
     # one priced group per request: bounded by the requests' row count
     return P.PRICING[pricing](scored, keys=KEYS, small_groups=is_small(
         inputs.select(*KEYS, "min_bid", "max_bid", "target_ecpm")))
