@@ -48,7 +48,7 @@ BANDS, ROWS = 32, 4
 THRESHOLD = 75          # percent
 MISS = 1e-6
 BATCH = 16
-LARGE_BUCKET, BLOCK = 8192, 256
+LARGE_BUCKET, BLOCK = 8192, 1024
 ROUNDS, SPLIT_LEVELS = 3, 2
 
 
