@@ -389,11 +389,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not signed.groupBy("_id").count().where("count > 1").isEmpty():
         once = near_duplicates(texts.groupBy("_id").agg(F.min("_text").alias("_text")),
                                "_id", "_text", shingle, bands, rows, percent, miss)
-        once = once.withColumnRenamed("doc_id", "_id")
+        once = once.withColumn("_id", id_of()).drop("doc_id")
         null_id = F.nullif(F.col("_id"), F.lit(NO_ID)).alias("doc_id")
         return texts.select("_id").join(once, "_id").select(
-            null_id, "n_shingles", F.nullif(F.col("component_id"), F.lit(NO_ID))
-            .alias("component_id"), "kept")
+            null_id, "n_shingles", "component_id", "kept")
     # classes of equal sets, each with its smallest id
     sets = stored(signed.where("n > 0").groupBy("n", "s1", "s2")
                   .agg(F.min("_id").alias("rep")), "sets")
