@@ -4,18 +4,20 @@ Rules (host, path, verdict) label the URLs they fit. For the others, every
 host's paths form a tree of segments, built level by level from counts of
 distinct paths:
 
-1. generalise: a child segment that holds less than ``MIN_SHARE`` of its
-   parent's URLs, or fewer than ``MIN_ROWS`` of them, is variable and joins the
-   parent's wildcard branch;
-2. merge: the remaining children are compared with all their parent's URLs by
-   a two-proportion test on the share of blocked and of allowed URLs; those
-   that don't differ (|z| < ``Z``) join the wildcard branch as well;
+1. generalise: a child segment without labelled URLs that holds less than
+   ``MIN_SHARE`` of its parent's URLs, or fewer than ``MIN_ROWS`` of them, is
+   variable and joins the parent's wildcard branch;
+2. merge: all other children, labelled ones of any size among them, are
+   compared with all their parent's URLs by a two-proportion test on the share
+   of blocked and of allowed URLs; those that don't differ (|z| < ``Z``) join
+   the wildcard branch as well;
 3. so a template is a path of literal segments and wildcards; segments past
    ``LEVELS`` count as one tail.
 
-A template is rejected if its purity, the share of blocked among its labelled
-URLs smoothed by ``PRIOR`` URLs of which half are blocked, reaches ``PURITY``;
-otherwise it is allowed, so a template without labelled URLs is allowed.
+A template is rejected if its purity, the share of blocked among its URLs
+smoothed by ``PRIOR`` URLs of which half are blocked, reaches ``PURITY``;
+otherwise it is allowed. URLs without a label count as not blocked, so a few
+blocked URLs don't reject the unlabelled ones that share their template.
 
 Counts are pre-aggregated by (host, path) before each shuffle and kept branches
 are joined from stored tables, so a host with a third of all pages is split.
@@ -90,7 +92,8 @@ def templates(paths: DataFrame, levels: int = LEVELS) -> DataFrame:
             *[F.sum(c).alias(f"all_{c}") for c in ("n", "blocked", "allowed")])
         parents = stored(parents, "url-parents")
         n, total = F.col("n"), F.col("all_n")
-        literal = ((n >= MIN_ROWS) & (n >= MIN_SHARE * total)
+        labelled = F.col("blocked") + F.col("allowed") > 0
+        literal = ((labelled | (n >= MIN_ROWS) & (n >= MIN_SHARE * total))
                    & (_differs(F.col("blocked"), n, F.col("all_blocked"), total)
                       | _differs(F.col("allowed"), n, F.col("all_allowed"), total)))
         keep = stored(children.join(parents, ["host", "template"]).where(literal)
@@ -118,8 +121,8 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
           for v, c in (("block", "blocked"), ("allow", "allowed"))])
     named = templates(stored(labelled, "url-labelled"), levels)
     rated = stored(named.groupBy("host", "template").agg(
-        F.sum("blocked").alias("b"), F.sum("allowed").alias("a")).select("host", "template", (
-            (F.col("b") + PRIOR / 2) / (F.col("b") + F.col("a") + PRIOR)).alias("purity")),
+        F.sum("blocked").alias("b"), F.sum("n").alias("all")).select("host", "template", (
+            (F.col("b") + PRIOR / 2) / (F.col("all") + PRIOR)).alias("purity")),
         "url-purity")
     verdicts = stored(named.join(rated, ["host", "template"]).select(
         "host", "path", "rule", F.coalesce("ruled", F.when(F.col("purity") >= PURITY, "block")

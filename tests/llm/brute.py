@@ -96,6 +96,52 @@ def url_parts(url):
     return host, path, rule, verdict
 
 
+def url_templates(urls):
+    """urls -> {(host, path): (template, verdict, purity)}, a host's tree at a time"""
+    hosts, out = defaultdict(lambda: defaultdict(list)), {}
+    for u in urls:
+        host, path, _, verdict = url_parts(u)
+        hosts[host][path].append(verdict)
+
+    def differs(part, n, whole, total):
+        share = whole / total
+        spread = share * (1 - share) * (1 / n + 1 / total)
+        return spread > 0 and abs(part / n - share) >= 2.58 * spread ** 0.5
+
+    def count(paths, own):
+        labels = [v for p in paths for v in own[p]]
+        return len(labels), labels.count("block"), labels.count("allow")
+
+    def grow(paths, depth, name, own, done):
+        """paths: {path: segments}"""
+        branches, wild = defaultdict(dict), {}
+        for p, parts in paths.items():
+            if depth < len(parts):
+                branches[parts[depth]][p] = parts
+            else:
+                done[name].append(p)
+        total, blocked, allowed = count([p for b in branches.values() for p in b], own)
+        for seg, branch in branches.items():
+            n, b, a = count(branch, own)
+            if ((b or a or (n >= 5 and n >= 0.02 * total))
+                    and (differs(b, n, blocked, total) or differs(a, n, allowed, total))):
+                grow(branch, depth + 1, f"{name}/{seg}", own, done)
+            else:
+                wild.update(branch)
+        if wild:
+            grow(wild, depth + 1, f"{name}/*", own, done)
+
+    for host, own in hosts.items():
+        done = defaultdict(list)
+        grow({p: re.sub("^/", "", p).split("/") for p in own}, 0, "", own, done)
+        for name, paths in done.items():
+            n, b, _ = count(paths, own)
+            purity = (b + 2) / (n + 4)
+            for p in paths:
+                out[host, p] = (name, own[p][0] or ("block" if purity >= 0.7 else "allow"), purity)
+    return out
+
+
 def edited(rows):
     """rows of (doc_id, text) -> {doc_id: (n_chars, sha256 of the edited text)}"""
     rows = sorted((i, t or "") for i, t in rows)

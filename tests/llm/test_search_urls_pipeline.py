@@ -81,6 +81,37 @@ def test_templates_separate_blocked_branches(spark):
     assert all(t.endswith("/*") for t, _ in by["en"])
 
 
+def _judged(spark, urls):
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return {(r.host, r.path): (r.template, r.verdict, r.purity)
+            for r in url_templates.judge(df).collect()}
+
+
+def test_few_blocked_urls_do_not_block_the_clean_ones(spark):
+    """Blocked branches of 3 or 4 URLs, or of 1% of a hot host, and hosts too
+    small for the test to tell the branches apart."""
+    pages = {"few.net": {"es": 4, "en": 96}, "three.net": {"es": 3, "en": 30},
+             "tiny.net": {"es": 3, "en": 3}, "half.net": {"es": 5, "de": 5},
+             "hot.net": {"es": 30, "fr": 30, **{f"s{k}": 30 for k in range(98)}}}
+    urls = [f"http://{host}/{part}/{i}" for host, parts in pages.items()
+            for part, n in parts.items() for i in range(n)]
+    got = _judged(spark, urls)
+    assert got == brute.url_templates(urls)
+    for (host, path), (template, verdict, _) in got.items():
+        part = path.split("/")[1]
+        assert verdict == ("block" if part in ("es", "fr") else "allow")
+        if host in ("few.net", "three.net", "hot.net"):
+            assert template.startswith(f"/{part}/") == (part in ("es", "fr"))
+
+
+def test_templates_equal_a_plain_tree(spark):
+    urls = [r.url for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    got = _judged(spark, urls + URLS[:12])
+    assert got == brute.url_templates(urls + URLS[:12])
+    assert {v for (h, p), (_, v, _) in got.items()
+            if brute.url_parts(f"http://{h}{p}")[2] is None} == {"allow"}
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns = docs.columns
