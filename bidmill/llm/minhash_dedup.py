@@ -12,8 +12,9 @@
    over, and only links leave the task, never pairs. A bucket of more than
    ``LARGE_BUCKET`` members first gets ``ROUNDS`` more leaders from outside its
    largest component, and is then split on a second and third band (pairs that
-   share these bands as well); what is left at last is led by one member after
-   another until all outside the largest component have led.
+   share these bands as well), which only joins more components: if it still
+   holds several at last, it is dealt to blocks as the others are. Of a bucket
+   of several blocks the largest component's members meet only the others.
 3. A candidate pair's signatures are compared batch by batch; the pair is
    dropped once the posterior probability of a similarity of ``threshold`` or
    more (uniform prior) is below ``miss``. Survivors are confirmed on their
@@ -316,18 +317,33 @@ class _Search:
         parts = now.groupBy("key", "label").agg(F.count("*").alias("n"))
         stats = stored(parts.groupBy("key").agg(
             F.count("*").alias("parts"), F.sum("n").alias("members"),
+            F.max("n").alias("mains"),
             F.max_by("label", F.struct("n", "label")).alias("main"))
-            .where("parts > 1").select("key", "main", "members"), "bucket-stats")
+            .where("parts > 1").select("key", "main", "mains", "members"), "bucket-stats")
         rows = now.join(stats, "key")
         return (rows.where(F.col("members") <= LARGE_BUCKET),
-                rows.where(F.col("members") > LARGE_BUCKET).drop("members"))
+                rows.where(F.col("members") > LARGE_BUCKET))
 
     def across(self, rows: DataFrame, first: bool) -> None:
         """Links across the components of buckets, two blocks at a time."""
-        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-        own = rows.select("key", "band", "_id", "label", blocks.alias("blocks"),
-                          F.pmod(F.xxhash64("_id"), blocks).cast("int").alias("block"))
-        dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        def blocks(n):
+            return F.ceil(n / BLOCK).cast("int")
+
+        # blocks of their own for the largest component, if that makes fewer copies
+        mains, members, others = (F.col("mains"), F.col("members"),
+                                  F.col("members") - F.col("mains"))
+        apart = mains * blocks(others) + others * (blocks(others) + blocks(mains)) \
+            < members * blocks(members)
+        own = rows.withColumns({
+            "_main": apart & (F.col("label") == F.col("main")),
+            "_first": F.when(apart, blocks(others)).otherwise(blocks(members)),
+            "_more": F.when(apart, blocks(mains)).otherwise(0)})
+        mixed = F.xxhash64("_id")
+        own = own.select("key", "band", "_id", "label", "_main", "_first", "_more", F.when(
+            F.col("_main"), F.col("_first") + F.pmod(mixed, F.col("_more")))
+            .otherwise(F.pmod(mixed, F.col("_first"))).cast("int").alias("block"))
+        dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_first") - 1 + F.when(
+            F.col("_main"), 0).otherwise(F.col("_more")))))
         dealt = dealt.select("key", "band", "_id", "label", "block",
                              F.least("block", "other").alias("i"),
                              F.greatest("block", "other").alias("j"))
@@ -338,43 +354,45 @@ class _Search:
             "u long, v long"), "links")
         self.connect(links)
 
-    def lead(self, rows: DataFrame) -> DataFrame | None:
-        """Compare the members with one more leader of each bucket; None once
-        every member outside the largest component has led."""
+    def lead(self, rows: DataFrame) -> DataFrame:
+        """Compare the members with one more leader of each bucket."""
         leads = stored(rows.where("not led and label != main").groupBy("key").agg(
             F.min(F.struct("_id", "label")).alias("lead")).select(
                 "key", F.col("lead._id").alias("c"), F.col("lead.label").alias("lc")), "bucket-turns")
-        if leads.isEmpty():
-            return None
         pairs = rows.join(leads, "key").where("label != lc")
         self.add(pairs.select(F.least("_id", "c").alias("a"), F.greatest("_id", "c").alias("b")))
         return rows.join(leads, "key").withColumn(
-            "led", F.col("led") | (F.col("_id") == F.col("c"))).drop("label", "main", "c", "lc")
+            "led", F.col("led") | (F.col("_id") == F.col("c"))).drop(
+                "label", "main", "mains", "members", "c", "lc")
 
     def run(self) -> DataFrame:
         keyed = self.band_keys()
         for level in range(SPLIT_LEVELS + 1):
             shared = self.star(keyed)
-            leaders = 0
-            while True:
+            for leaders in range(ROUNDS + 1):
                 few, many = self.mixed(shared)
                 if not few.isEmpty():
                     self.across(few, first=level == 0)
-                if many.isEmpty():
-                    return self.labels
-                leaders += 1
-                if leaders > ROUNDS and level < SPLIT_LEVELS:
+                if leaders == ROUNDS or many.isEmpty():
                     break
-                shared = self.lead(many)
-                if shared is None:
+                shared = stored(self.lead(many), "buckets")
+            left = not many.isEmpty()
+            if level == 0:
+                if not left:
                     return self.labels
-                shared = stored(shared, "buckets")
+                large = many.select("key", "band", "_id")
+            if not left or level == SPLIT_LEVELS:
+                break
             # split what is left by every later band
             others = self.band_keys().select("_id", F.col("band").alias("other"),
                                              F.col("key").alias("more"))
             keyed = stored(many.join(others, "_id").where("other > band").select(
                 "_id", F.col("other").alias("band"), F.xxhash64("key", "more").alias("key")),
                 f"split{level}")
+        # the pairs that share no later band
+        for rows in self.mixed(large):
+            if not rows.isEmpty():
+                self.across(rows, first=True)
         return self.labels
 
 

@@ -86,6 +86,43 @@ def test_near_duplicates_of_a_chained_group(spark):
     assert out == brute.near_duplicates(rows)
 
 
+def _hot(n):
+    """Texts of one start, so unlike ones meet in a bucket: n pairs that are
+    linked, the first with a third, and single ones."""
+    import random
+    rng = random.Random(5)
+    start = " ".join(f"s{i}" for i in range(30))
+    rows = []
+    for k in range(n):
+        words = [f"p{k}x{i}" for i in range(90)]
+        rows.append(start + " " + " ".join(words))
+        rows.append(start + " " + " ".join(words[:-4] + [f"q{k}"]))
+        if k % 3 == 0:
+            rows.append(start + " " + " ".join(f"r{k}y{i}" for i in range(60)))
+    rows += [start + " " + " ".join([*words[:70 - k], f"t{k}", *words[71 - k:]]) for k in range(9)]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("meet", ["one band", "all bands"])
+def test_near_duplicates_of_a_large_mixed_bucket(spark, monkeypatch, meet):
+    """A bucket above LARGE_BUCKET that leaders and splits leave mixed."""
+    monkeypatch.setattr(minhash_dedup, "LARGE_BUCKET", 8)
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 8)
+    options = {}
+    if meet == "one band":
+        # every class meets every other one, in a single bucket
+        monkeypatch.setattr(minhash_dedup._Search, "band_keys", lambda self: self.classes.select(
+            "_id", F.lit(0).alias("band"), F.lit(7).cast("long").alias("key")))
+        options = {"bands": 1, "rows": 16}
+    rows = _hot(12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: (r.n_shingles, r.component_id, r.kept)
+           for r in minhash_dedup.near_duplicates(docs, **options).collect()}
+    want = brute.near_duplicates(rows)
+    assert len({g[1] for g in want.values()}) == 16 and out == want
+
+
 def test_posterior_bound_is_the_smallest_that_is_plausible():
     import math
     need = minhash_dedup.least_matches(32, 16, 0.75, 1e-3)
