@@ -11,8 +11,10 @@ distinct paths:
    compared with all their parent's URLs by a two-proportion test on the share
    of blocked and of allowed URLs; those that don't differ (|z| < ``Z``) join
    the wildcard branch as well;
-3. so a template is a path of literal segments and wildcards; segments past
-   ``LEVELS`` count as one tail.
+3. so a template is a path of literal segments and wildcards. Past ``LEVELS``
+   only templates that hold both blocked and other URLs with a further segment
+   grow on, as deep as their paths go; segments past the others count as one
+   tail, ``*``.
 
 A template is rejected if its purity, the share of blocked among its URLs
 smoothed by ``PRIOR`` URLs of which half are blocked, reaches ``PURITY``;
@@ -31,6 +33,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,11 +69,8 @@ def best_rule(host: Column, path: Column, rules=RULES) -> Column:
     return F.array_max(F.array(*fitting))
 
 
-def segments(path: Column, levels: int) -> Column:
-    """First ``levels`` segments; a longer path's rest counts as one tail."""
-    parts = F.split(F.regexp_replace(path, "^/", ""), "/")
-    return F.when(F.size(parts) > levels, F.concat(F.slice(parts, 1, levels), F.array(F.lit("**")))) \
-        .otherwise(parts)
+def segments(path: Column) -> Column:
+    return F.split(F.regexp_replace(path, "^/", ""), "/")
 
 
 def _differs(part: Column, n: Column, whole: Column, total: Column) -> Column:
@@ -82,10 +83,19 @@ def _differs(part: Column, n: Column, whole: Column, total: Column) -> Column:
 def templates(paths: DataFrame, levels: int = LEVELS) -> DataFrame:
     """``paths``: host, path, n, blocked, allowed (distinct host and path).
     Adds ``template``."""
-    now = paths.withColumn("template", F.lit("")).withColumn("_seg", segments(F.col("path"), levels))
-    for level in range(1, levels + 2):
-        here = F.get("_seg", F.lit(level - 1))
-        now = now.withColumn("seg", here)
+    now = (paths.withColumn("template", F.lit("")).withColumn("_seg", segments(F.col("path")))
+           .withColumn("_depth", F.lit(0)))
+    for level in count(1):
+        now = now.withColumn("seg", F.get("_seg", F.lit(level - 1)))
+        mixed = None
+        if level > levels:
+            mixed = stored(now.where("seg is not null").groupBy("host", "template").agg(
+                F.sum("blocked").alias("b"), F.sum("n").alias("all")).where("b > 0 and b < all")
+                .select("host", "template", F.lit(True).alias("mixed")), "url-mixed")
+            if mixed.isEmpty():
+                break
+            now = now.join(mixed, ["host", "template"], "left").withColumn(
+                "seg", F.when(F.col("mixed"), F.col("seg"))).drop("mixed")
         children = stored(now.where("seg is not null").groupBy("host", "template", "seg").agg(
             *[F.sum(c).alias(c) for c in ("n", "blocked", "allowed")]), "url-children")
         parents = children.groupBy("host", "template").agg(
@@ -100,11 +110,14 @@ def templates(paths: DataFrame, levels: int = LEVELS) -> DataFrame:
                       .select("host", "template", "seg", F.lit(True).alias("literal")), "url-branches")
         after = now.join(keep, ["host", "template", "seg"], "left").withColumn(
             "template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat(
-                "template", F.lit("/"), F.when(F.col("literal"), F.col("seg")).otherwise(F.lit("*")))))
+                "template", F.lit("/"), F.when(F.col("literal"), F.col("seg")).otherwise(F.lit("*"))))).withColumn(
+            "_depth", F.when(F.col("seg").isNull(), F.col("_depth")).otherwise(level))
         after = stored(after.drop("seg", "literal"), "url-paths")
-        discard(children, parents, keep, now)
+        discard(children, parents, keep, now, *([mixed] if mixed else []))
         now = after
-    return now.drop("_seg")
+    return now.withColumn("template", F.when(
+        F.size("_seg") > F.col("_depth"), F.concat("template", F.lit("/*")))
+        .otherwise(F.col("template"))).drop("_seg", "_depth", "seg")
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES,

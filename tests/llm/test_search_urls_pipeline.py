@@ -112,6 +112,21 @@ def test_templates_equal_a_plain_tree(spark):
             if brute.url_parts(f"http://{h}{p}")[2] is None} == {"allow"}
 
 
+def test_branches_that_differ_in_a_deep_segment(spark):
+    """The rule is on the sixth segment, the seventh is an id."""
+    urls = [f"http://deep.net/a/b/c/d/{k % 3}/{part}/{k}/end" for k in range(30)
+            for part in ("bad", "good")]
+    urls += [f"http://clean.net/a/b/c/d/{k}/e/f" for k in range(9)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [("deep.net", f"/a/b/c/d/{k}/bad/", "block") for k in range(3)]
+    by = {}
+    for r in url_templates.judge(df, rules=rules).collect():
+        by.setdefault((r.host, "bad" in r.path), set()).add((r.template, r.verdict))
+    assert by == {("deep.net", True): {("/*/*/*/*/*/bad/*", "block")},
+                  ("deep.net", False): {("/*/*/*/*/*/good/*", "allow")},
+                  ("clean.net", False): {("/*/*/*/*/*", "allow")}}
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns = docs.columns
