@@ -17,9 +17,14 @@ from bidmill.llm.store import WORD, stored
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the byte convolution accepts (score of at least 0.7)."""
+    """Documents that the byte convolution accepts (score of at least 0.7); all
+    of them if no label to learn from speaks against any."""
     labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet"))
-    scored = quality_cnn.score(docs, quality_cnn.train(docs, labels))
+    model = quality_cnn.train(docs, labels)
+    # a constant other than 0 comes without label 0 (0.5 without any label)
+    if model.get("constant", 0) > 0:
+        return docs
+    scored = quality_cnn.score(docs, model)
     return scored.where(F.col("score") >= quality_cnn.THRESHOLD).select("row.*")
 
 

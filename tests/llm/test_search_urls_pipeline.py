@@ -150,3 +150,18 @@ def test_pipeline_stages(spark):
             assert {r.doc_id for r in out.collect()} == before.keys()
             assert all(r.n_tokens == len(r.ids) for r in out.collect())
         docs = out
+
+
+def test_quality_stage_without_labels_against_a_document(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"clean text {i}") for i in range(6)],
+                                 "doc_id long, text string")
+
+    def kept(name, rows):
+        labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+        return corpus_pipeline.keep_quality(spark, docs, str(tmp_path / name)).count()
+
+    assert kept("empty", []) == 6
+    assert kept("unlabelled", [(i, None, 0) for i in range(6)]) == 6
+    assert kept("good", [(i, 1, 0) for i in range(6)]) == 6
+    assert kept("bad", [(i, 0, 0) for i in range(6)]) == 0
