@@ -170,3 +170,80 @@ def mix_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
                 free.discard(s)
         left = over
     return target
+
+
+def hard_negatives(rows, positives=5, negatives=3, every=50):
+    """rows of (vec_id, vector, label) -> sorted result rows of the miner"""
+    import math
+    ok = [(i, [math.floor(256 * float(x)) for x in v], label) for i, v, label in rows
+          if None not in (i, v, label) and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for k, (i, v, label) in enumerate(ok):
+        if i % every:
+            continue
+        by = [(-sum(a * b for a, b in zip(v, w)), j, own) for m, (j, w, own) in enumerate(ok)
+              if m != k]
+        best = sorted((s, j) for s, j, own in by if own == label)[:positives]
+        for p, j in best:
+            inside = sorted((s, n) for s, n, own in by
+                            if own != label and 50 * -p <= 100 * -s <= 95 * -p)
+            out += [(i, j, rank, n, -p, -s)
+                    for rank, (s, n) in enumerate(inside[:negatives], 1)]
+    return sorted(out)
+
+
+def captures(rows, least=100):
+    """rows of (page_id, url, html) -> (page_id, type, bytes, digest, refers_to)"""
+    out, first = [], {}
+    for i, _, html in rows:
+        data = (html or "").encode()
+        if len(data) >= least and i is not None:
+            first[data] = min(first.get(data, i), i)
+    for i, _, html in rows:
+        data = (html or "").encode()
+        to = first.get(data)
+        again = to is not None and to != i
+        out.append((i, "revisit" if again else "response", len(data),
+                    hashlib.sha256(data).hexdigest(), to if again else None))
+    return out
+
+
+def runs(w, min_length=24, exponent=3):
+    """(start, length, period) of every run, by comparing words q apart"""
+    n, out = len(w), []
+    for q in range(1, n // exponent + 1):
+        i = q
+        while i < n:
+            j = i
+            while j < n and w[j] == w[j - q]:
+                j += 1
+            s, length = i - q, j - i + q
+            if j > i and length >= max(min_length, exponent * q) and all(
+                    any(w[x] != w[x - d] for x in range(s + d, j)) for d in range(1, q)):
+                out.append((s, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def repeating(doc_id, text):
+    import zlib
+    w = words(text)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    g, n = h // 10, len(w)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+    return w
+
+
+def run_digest(doc_id, text):
+    from fractions import Fraction
+    w = repeating(doc_id, text)
+    found = runs(w) if len(set(w)) < len(w) - 16 else []
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    gone = {x for s, length, q in found for x in range(s + q, s + length)}
+    kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in found)
+    return (len(found), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+            hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
