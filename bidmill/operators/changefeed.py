@@ -1,18 +1,18 @@
 """Change feed between two strategy snapshots.
 
-Snapshots hold one row per strategy (primary key), so every join here is an
-equi-join on a unique key: no fan-out and no hot key. ``NOT IN`` is written
-as ``left_anti``: the keys are NOT NULL, where the two agree, and the anti
-join can shuffle instead of being limited to a broadcast (the NULL-aware form
-is broadcast-only).
+Snapshots hold one row per strategy (primary key). They are versions of one
+table (``sources/versions.py``), and all five statements read one difference of
+two versions: buckets of equal hash are not read, and the others are joined
+once, in full, on the unique key. No fan-out, no hot key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidmill.functions.timefn import queue_stamp
+from bidmill.sources.versions import Manifest, VersionedTable
 
 
 def strategies_by_algo(current: DataFrame, algos: DataFrame, algo_id: int | None = None) -> DataFrame:
@@ -21,50 +21,52 @@ def strategies_by_algo(current: DataFrame, algos: DataFrame, algo_id: int | None
     return a.join(current, "strategy_id")
 
 
-def changed(current: DataFrame, previous: DataFrame) -> DataFrame:
+def _repriced() -> Column:
+    return (F.col("change") == "changed") & (
+        (F.col("old.baseline_bid") != F.col("new.baseline_bid"))
+        | (F.col("old.max_bid") != F.col("new.max_bid")))
+
+
+def changed(feed: DataFrame) -> DataFrame:
     """In both snapshots with a changed baseline or max bid (NULL = unknown = unchanged)."""
-    c, p = current.alias("c"), previous.alias("p")
-    cond = (F.col("c.baseline_bid") != F.col("p.baseline_bid")) | (F.col("c.max_bid") != F.col("p.max_bid"))
-    return c.join(p, "strategy_id").where(cond).select("strategy_id")
+    return feed.where(_repriced()).select("strategy_id")
 
 
-def new_strategies(current: DataFrame, previous: DataFrame) -> DataFrame:
-    """In current, not in previous."""
-    return current.select("strategy_id").join(previous.select("strategy_id"), "strategy_id", "left_anti")
+def new_strategies(feed: DataFrame) -> DataFrame:
+    """In the new snapshot, not in the old one."""
+    return feed.where(F.col("change") == "new").select("strategy_id")
 
 
-def deleted_strategies(current: DataFrame, previous: DataFrame) -> DataFrame:
-    """In previous, not in current."""
-    return previous.select("strategy_id").join(current.select("strategy_id"), "strategy_id", "left_anti")
+def deleted_strategies(feed: DataFrame) -> DataFrame:
+    """In the old snapshot, not in the new one."""
+    return feed.where(F.col("change") == "deleted").select("strategy_id")
 
 
-def changed_with_algo(current: DataFrame, previous: DataFrame, algos: DataFrame) -> DataFrame:
+def changed_with_algo(feed: DataFrame, algos: DataFrame) -> DataFrame:
     """Changed strategies with their algorithms."""
-    return changed(current, previous).join(algos, "strategy_id").select("strategy_id", "algo_id")
+    return changed(feed).join(algos, "strategy_id").select("strategy_id", "algo_id")
 
 
-def algos_to_run(current: DataFrame, previous: DataFrame, algos: DataFrame) -> DataFrame:
+def algos_to_run(feed: DataFrame, algos: DataFrame) -> DataFrame:
     """Distinct algorithms of changed or new strategies."""
-    a = changed_with_algo(current, previous, algos).select("algo_id")
-    b = new_strategies(current, previous).join(algos, "strategy_id").select("algo_id")
-    return a.unionByName(b).distinct()
+    run = feed.where((F.col("change") == "new") | _repriced())
+    return run.select("strategy_id").join(algos, "strategy_id").select("algo_id").distinct()
 
 
-def algo_requests(current: DataFrame, previous: DataFrame, algos: DataFrame, run_ts) -> DataFrame:
+def algo_requests(feed: DataFrame, algos: DataFrame, run_ts) -> DataFrame:
     """Queue rows for the algorithms to run, stamped with the run time."""
     stamp = queue_stamp(run_ts)
-    return algos_to_run(current, previous, algos).select(
+    return algos_to_run(feed, algos).select(
         "algo_id", stamp.alias("create_ts"), stamp.alias("update_ts"),
         F.lit("pending").alias("status"))
 
 
-def assign_algos(algos: DataFrame, current: DataFrame, algo_ids=(1, 2)) -> DataFrame:
+def assign_algos(algos: VersionedTable, current: DataFrame, algo_ids=(1, 2)) -> Manifest:
     """Add (strategy, algo) for every current strategy and each given algo;
-    the (strategy_id, algo_id) primary key makes repeated pairs collapse."""
-    added = current.select("strategy_id", F.explode(F.array(*[F.lit(a) for a in algo_ids]))
-                           .alias("algo_id")) \
-        .withColumn("algo_id", F.col("algo_id").cast(algos.schema["algo_id"].dataType))
-    return algos.select("strategy_id", "algo_id").unionByName(added).distinct()
+    pairs that the table's primary key has already are left out."""
+    return algos.insert(current.select(
+        "strategy_id", F.explode(F.array(*[F.lit(a) for a in algo_ids])).alias("algo_id")),
+        unique=True)
 
 
 def distinct_strategy_algo(preds: DataFrame) -> DataFrame:

@@ -1,11 +1,15 @@
 """Request queue, data side.
 
-The queue is a table; a "claim" is a new version of it. The reference claims
-one request per run behind an ``in_process`` guard; here the claim takes the
-N smallest ``new`` ids (N=1 is the reference) and the batch job prices
-all claimed requests in one plan, keyed by dom_rec_id. Every step is a
-single pass or an equi-join on the queue key; the claimed set joins back as a
-broadcast only when its size is within the broadcast bound.
+The queue is a table with committed versions (``sources/versions.py``), and a
+claim commits a new one. The reference claims one request per run behind an
+``in_process`` guard; here the claim takes the N smallest ``new`` ids (N=1 is
+the reference) and the batch job prices all claimed requests in one plan, keyed
+by dom_rec_id. ``claim`` depends on the whole queue: of two dequeuers that read
+the same version one commits, the other starts again from the newer version
+and sees the first one's requests in process. A claim holds for a lease; after
+it the request counts as new again, and its first owner can't finish it any
+more. Every step is a single pass or an equi-join on the queue key; the claimed
+set joins back as a broadcast only when its size is within the broadcast bound.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from pyspark.sql import functions as F
 
 from bidmill.functions.timefn import queue_stamp, ts_col
 from bidmill.joins import broadcast_if_small
+from bidmill.session import written
+from bidmill.sources.versions import Manifest, VersionedTable
 
 # Fixed values that must equal the reference's: the columns of a request record.
 QUEUE_TEXT_COLUMNS = ("dom_rec_id", "bid_list_name", "bid_list_id", "strategy_name", "line_id",
@@ -36,18 +42,66 @@ def claim_next(queue: DataFrame) -> DataFrame:
                       .alias("dom_rec_id"))
 
 
-def claim_batch(queue: DataFrame, n: int | None = None) -> DataFrame:
+def claim_batch(queue: DataFrame, n: int | None = None, exclusive: bool = True) -> DataFrame:
     """Q1 generalised: the n smallest ``new`` ids (all without n), none if any
-    request is ``in_process``. The guard is one row from one pass over the
-    status column; the claimed ids are a distributed top-n."""
+    request is ``in_process`` (unless not ``exclusive``). The guard is one row
+    from one pass over the status column; the claimed ids are a distributed
+    top-n."""
     if n is not None and n <= 0:
         raise ValueError("a claim takes at least one request")
-    idle = queue.agg((F.coalesce(F.max((F.col("status") == "in_process").cast("int")),
-                                 F.lit(0)) == 0).alias("idle")).scalar()
-    new = queue.where((F.col("status") == "new") & idle).select("dom_rec_id")
+    new = queue.where(F.col("status") == "new")
+    if exclusive:
+        new = new.where(queue.agg((F.coalesce(F.max((F.col("status") == "in_process").cast("int")),
+                                              F.lit(0)) == 0).alias("idle")).scalar())
+    new = new.select("dom_rec_id")
     return new if n is None else new.orderBy("dom_rec_id").limit(n)
 
 
+def _expired(run_ts, lease_seconds: int | None) -> Column:
+    """In process for the lease or longer."""
+    if lease_seconds is None:
+        return F.lit(False)
+    since = F.unix_timestamp(ts_col(run_ts)) - F.unix_timestamp(
+        F.col("date_in_process").cast("timestamp"))
+    return (F.col("status") == "in_process") & F.coalesce(since >= lease_seconds, F.lit(False))
+
+
+def released(queue: DataFrame, run_ts, lease_seconds: int | None) -> DataFrame:
+    """The queue with requests whose lease is over back to ``new``."""
+    over = _expired(run_ts, lease_seconds)
+    return queue.withColumns({
+        "process_name": F.when(~over, F.col("process_name")),
+        "date_in_process": F.when(~over, F.col("date_in_process")),
+        "status": F.when(over, F.lit("new")).otherwise(F.col("status"))})
+
+
+def claim(queue: VersionedTable, token: str, run_ts, n: int | None = 1,
+          lease_seconds: int | None = None, exclusive: bool = True) -> tuple[DataFrame, Manifest]:
+    """Q1 + Q2 on the committed queue (key dom_rec_id): the claimed ids and the
+    version that holds the claim. No other claim gets the same ids."""
+    def attempt(m: Manifest) -> tuple[DataFrame, Manifest]:
+        rows = queue.read(m.version)
+        ids = written(claim_batch(released(rows, run_ts, lease_seconds), n, exclusive), "claimed")
+        over = rows.where(_expired(run_ts, lease_seconds)).select("dom_rec_id")
+        made = queue.edit(lambda df: claim_state(released(df, run_ts, lease_seconds), ids, token,
+                                                 run_ts),
+                          "claim", keys=ids.unionByName(over), base=m, serial=True)
+        return ids, made
+    return queue.attempts(attempt)
+
+
+def finish(queue: VersionedTable, outcomes: DataFrame, run_ts, token: str | None = None) -> Manifest:
+    """K16 / Q6 on the committed queue: status, result id and date of requests,
+    with a token only of those that its claim still holds."""
+    def change(df: DataFrame) -> DataFrame:
+        done = outcomes
+        if token is not None:
+            mine = df.where((F.col("status") == "in_process") & (F.col("process_name") == token))
+            done = outcomes.join(mine.select("dom_rec_id"), "dom_rec_id", "left_semi")
+        return apply_outcomes(df, done, run_ts)
+    return queue.edit(change, "finish", keys=outcomes.select("dom_rec_id"))
+
+
 def claim_state(queue: DataFrame, claimed: DataFrame, token: str, run_ts) -> DataFrame:
     """The queue after the claim: process name, in_process, date."""
     c = claimed.where(F.col("dom_rec_id").isNotNull()).select(
@@ -162,7 +216,8 @@ def apply_outcomes(queue: DataFrame, outcomes: DataFrame, run_ts) -> DataFrame:
 
 
 def mark_modeled(raw: DataFrame, processed_pairs: DataFrame) -> DataFrame:
-    """modeled = 1 for (strategy_id, bid_list_id) pairs that were processed."""
+    """modeled = 1 for (strategy_id, bid_list_id) pairs that were processed
+    (the table's key; ``VersionedTable.edit`` commits the result)."""
     p = processed_pairs.select("strategy_id", "bid_list_id").distinct() \
         .withColumn("_done", F.lit(True))
     j = raw.join(p, ["strategy_id", "bid_list_id"], "left")

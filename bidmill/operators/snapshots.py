@@ -1,8 +1,7 @@
 """Row edits on snapshot tables (K13-K15): UPDATE and DELETE as projections.
 
-Plain parquet has no in-place update, so an edit is a new version of the
-table (write it to a new path, then swap); never overwrite a path the same
-plan is reading.
+``sources/versions.py`` applies them to the files that hold hits and commits
+the result as a new version of the table.
 """
 
 from __future__ import annotations

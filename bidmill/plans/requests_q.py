@@ -16,6 +16,7 @@ from bidmill.sources import sinks
 from bidmill.sources.fixtures import with_views
 
 TOKEN = claim_token(DEFAULT_RUN_TS)
+LEASE_SECONDS = 6 * 3600   # a claim of a dequeue run
 QUEUE_VIEWS = ("dom_rec_queue", "strategy_inputs", "request_queue")
 
 CLAIM_SQL = """
@@ -31,7 +32,7 @@ def _ts_text(df, *cols):
 
 @query("claim_next", with_views(CLAIM_SQL, *QUEUE_VIEWS))
 def q_claim_next(spark, sf_dir):
-    return R.claim_next(X.request_queue(spark, sf_dir))
+    return R.claim_next(X.queue_table(spark, sf_dir).read())
 
 
 @query("claim_state", with_views(f"""
@@ -42,10 +43,11 @@ select q.dom_rec_id,
             else cast(q.date_in_process as varchar) end as date_in_process
 from request_queue q cross join ({CLAIM_SQL}) c""", *QUEUE_VIEWS))
 def q_claim_state(spark, sf_dir):
-    queue = X.request_queue(spark, sf_dir)
-    after = R.claim_state(queue, R.claim_next(queue), TOKEN, DEFAULT_RUN_TS)
-    return _ts_text(after.select("dom_rec_id", "status", "process_name", "date_in_process"),
-                    "date_in_process")
+    """Q2: the committed queue after one claim."""
+    queue = X.queue_table(spark, sf_dir)
+    _, made = R.claim(queue, TOKEN, DEFAULT_RUN_TS)
+    return _ts_text(queue.read(made.version).select("dom_rec_id", "status", "process_name",
+                                                    "date_in_process"), "date_in_process")
 
 
 @query("claim_batch", with_views("""
@@ -54,7 +56,7 @@ and not exists (select 1 from request_queue where status = 'in_process')
 order by dom_rec_id limit 25""", *QUEUE_VIEWS))
 def q_claim_batch(spark, sf_dir):
     """The 25 oldest new requests: the claim size is the feature here."""
-    return R.claim_batch(X.request_queue(spark, sf_dir), 25)
+    return R.claim(X.queue_table(spark, sf_dir), TOKEN, DEFAULT_RUN_TS, n=25)[0]
 
 
 CLAIMED_TEXT_SQL = f"""
@@ -73,11 +75,11 @@ from request_queue q join ({CLAIM_SQL}) c on q.dom_rec_id = c.dom_rec_id"""
 
 @query("claimed_request", with_views(CLAIMED_TEXT_SQL, *QUEUE_VIEWS))
 def q_claimed_request(spark, sf_dir):
-    queue = X.request_queue(spark, sf_dir)
-    claimed = R.claim_next(queue)
-    after = R.claim_state(queue, claimed, TOKEN, DEFAULT_RUN_TS)
-    mine = after.join(F.broadcast(claimed), "dom_rec_id", "left_semi")  # one row
-    return R.as_text(mine)
+    """Q3: the claimed record, found in the committed queue by its owner."""
+    queue = X.queue_table(spark, sf_dir)
+    _, made = R.claim(queue, TOKEN, DEFAULT_RUN_TS)
+    return R.as_text(queue.read(made.version).where(
+        (F.col("status") == "in_process") & (F.col("process_name") == TOKEN)))
 
 
 REQUEST_INPUTS_SQL = """
@@ -218,12 +220,14 @@ select q.dom_rec_id, coalesce(o.status, q.status) as status,
 from request_queue q left join outcomes o on q.dom_rec_id = o.dom_rec_id""",
     "dom_rec_queue", "request_queue", ("outcomes", OUTCOME_SQL)))
 def q_request_status(spark, sf_dir):
-    queue = X.request_queue(spark, sf_dir)
-    outcomes = _outcomes(spark, sf_dir, queue.where(F.col("status") == "new"))
-    after = R.apply_outcomes(queue, outcomes, DEFAULT_RUN_TS)
-    return _ts_text(after.select("dom_rec_id", "status",
-                                 F.col("dom_rec_result_id").isNotNull().alias("has_result"),
-                                 "date_processed", "date_error"),
+    """The statuses are committed to the queue and read back."""
+    queue = X.queue_table(spark, sf_dir)
+    outcomes = written(_outcomes(spark, sf_dir, queue.read().where(F.col("status") == "new")),
+                       "outcomes")
+    made = R.finish(queue, outcomes, DEFAULT_RUN_TS)
+    return _ts_text(queue.read(made.version).select(
+        "dom_rec_id", "status", F.col("dom_rec_result_id").isNotNull().alias("has_result"),
+        "date_processed", "date_error"),
                     "date_processed", "date_error")
 
 
@@ -238,16 +242,16 @@ from request_queue q left join outcomes o on q.dom_rec_id = o.dom_rec_id""",
     "dom_rec_queue", "request_queue", ("outcomes", OUTCOME_SQL)))
 def q_dequeue_run(spark, sf_dir):
     """The job from claim to status: claim all new requests, price them, store
-    their results, and set status and result id from the stored table."""
-    queue = X.request_queue(spark, sf_dir)
-    claimed = written(R.claim_batch(queue), "claimed")
-    taken = written(R.claim_state(queue, claimed, TOKEN, DEFAULT_RUN_TS), "queue")
-    outcomes = _outcomes(spark, sf_dir, taken.where(F.col("status") == "in_process"))
-    after = R.apply_outcomes(taken, outcomes, DEFAULT_RUN_TS)
-    return _ts_text(after.select("dom_rec_id", "status",
-                                 F.col("dom_rec_result_id").isNotNull().alias("has_result"),
-                                 "process_name", "date_in_process", "date_processed", "date_error"),
-                    "date_in_process", "date_processed", "date_error")
+    their results, and commit status and result id of those still claimed."""
+    queue = X.queue_table(spark, sf_dir)
+    _, made = R.claim(queue, TOKEN, DEFAULT_RUN_TS, n=None, lease_seconds=LEASE_SECONDS)
+    mine = queue.read(made.version).where(F.col("process_name") == TOKEN)
+    outcomes = written(_outcomes(spark, sf_dir, mine), "outcomes")
+    made = R.finish(queue, outcomes, DEFAULT_RUN_TS, TOKEN)
+    return _ts_text(queue.read(made.version).select(
+        "dom_rec_id", "status", F.col("dom_rec_result_id").isNotNull().alias("has_result"),
+        "process_name", "date_in_process", "date_processed", "date_error"),
+        "date_in_process", "date_processed", "date_error")
 
 
 @query("mark_modeled", cand_sql("""
@@ -258,8 +262,12 @@ select d.strategy_id, d.bid_list_id,
 from domain_inputs_raw d""", "dom_rec_queue", "request_queue", "domain_inputs_raw",
     ("outcomes", OUTCOME_SQL)))
 def q_mark_modeled(spark, sf_dir):
+    """The flags are committed to the inputs table and read back."""
     queue = X.request_queue(spark, sf_dir)
     outcomes = _outcomes(spark, sf_dir, queue.where(F.col("status") == "new"))
-    done = outcomes.where(F.col("status") == "processed")
-    out = R.mark_modeled(X.domain_inputs_raw(spark, sf_dir), done)
-    return out.select("strategy_id", "bid_list_id", "modeled")
+    done = written(outcomes.where(F.col("status") == "processed")
+                   .select("strategy_id", "bid_list_id").distinct(), "modelled")
+    table = X.versioned(spark, sf_dir, "domain_inputs_raw", X.domain_inputs_raw,
+                        ["strategy_id", "bid_list_id"])
+    made = table.edit(lambda df: R.mark_modeled(df, done), "mark modelled", keys=done)
+    return table.read(made.version).select("strategy_id", "bid_list_id", "modeled")

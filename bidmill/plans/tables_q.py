@@ -518,6 +518,11 @@ def q_write_strategy_inputs(spark, sf_dir):
 
 # --- snapshot edits (K14, K15) ------------------------------------------------------
 
+def _bids(df):
+    return df.select("strategy_id", F.col("baseline_bid").cast("double").alias("baseline_bid"),
+                     F.col("max_bid").cast("double").alias("max_bid"))
+
+
 @query("update_bids", with_views("""
 select strategy_id,
        cast(case when strategy_id % 11 = 0 then cast(max_bid * 0.95 as decimal(10,4))
@@ -526,15 +531,14 @@ select strategy_id,
        cast(max_bid as double) as max_bid
 from strategies_current""", "strategies_current"))
 def q_update_bids(spark, sf_dir):
-    """UPDATE .. SET baseline = baseline * 1.05 WHERE .., then = max_bid * 0.95 WHERE .."""
-    from bidmill.operators.snapshots import update_where
-    cur = X.strategies_current(spark, sf_dir)
-    a = update_where(cur, F.col("strategy_id") % 7 == 0, "baseline_bid",
-                     F.col("baseline_bid") * F.lit(Decimal("1.05")))
-    b = update_where(a, F.col("strategy_id") % 11 == 0, "baseline_bid",
-                     F.col("max_bid") * F.lit(Decimal("0.95")))
-    return b.select("strategy_id", F.col("baseline_bid").cast("double").alias("baseline_bid"),
-                    F.col("max_bid").cast("double").alias("max_bid"))
+    """UPDATE .. SET baseline = baseline * 1.05 WHERE .., then = max_bid * 0.95
+    WHERE .., each committed as a version of the snapshot table."""
+    table = X.versioned(spark, sf_dir, "strategies_current", X.strategies_current, ["strategy_id"])
+    table.update("baseline_bid", F.col("baseline_bid") * F.lit(Decimal("1.05")),
+                 F.col("strategy_id") % 7 == 0)
+    made = table.update("baseline_bid", F.col("max_bid") * F.lit(Decimal("0.95")),
+                        F.col("strategy_id") % 11 == 0)
+    return _bids(table.read(made.version))
 
 
 @query("delete_strategy", with_views("""
@@ -542,9 +546,9 @@ select strategy_id, cast(baseline_bid as double) as baseline_bid, cast(max_bid a
 from strategies_previous where not coalesce(max_bid > baseline_bid * 3, false)""",
                                      "strategies_previous"))
 def q_delete_strategy(spark, sf_dir):
-    """DELETE WHERE cond keeps rows where cond is false or unknown."""
-    from bidmill.operators.snapshots import delete_where
-    prev = X.strategies_previous(spark, sf_dir)
-    kept = delete_where(prev, F.col("max_bid") > F.col("baseline_bid") * 3)
-    return kept.select("strategy_id", F.col("baseline_bid").cast("double").alias("baseline_bid"),
-                       F.col("max_bid").cast("double").alias("max_bid"))
+    """DELETE WHERE cond keeps rows where cond is false or unknown; the
+    buckets that hold hits are rewritten and committed."""
+    table = X.versioned(spark, sf_dir, "strategies_previous", X.strategies_previous,
+                        ["strategy_id"])
+    made = table.delete(F.col("max_bid") > F.col("baseline_bid") * 3)
+    return _bids(table.read(made.version))

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidmill.operators.running import running_sum
-from bidmill.session import ensure_checkpoint_dir
+from bidmill.session import ensure_checkpoint_dir, scratch_path
 from bidmill.sources.tables import TABLES, parquet_at, table, version
+from bidmill.sources.versions import VersionedTable
 
 
 def _code_version() -> str:
@@ -71,6 +72,28 @@ def stored_path(spark: SparkSession, sf_dir: str, name: str, write,
     return base
 
 
+def versioned(spark: SparkSession, sf_dir: str, name: str, build, keys: list[str]) -> VersionedTable:
+    """A table of the job's own state with committed versions. Its first rows
+    are stored once for each input version; each call gets a clone of its own,
+    so edits of one run aren't seen by another."""
+    base = stored_path(spark, sf_dir, f"versioned-{name}",
+                       lambda path: VersionedTable.create(build(spark, sf_dir), path, keys))
+    return VersionedTable(spark, base).clone(scratch_path(spark, name))
+
+
+def queue_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    return versioned(spark, sf_dir, "request_queue", request_queue, ["dom_rec_id"])
+
+
+def strategies_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """The strategy snapshots as versions: 1 the previous one, 2 the current."""
+    def write(path: str) -> None:
+        VersionedTable.create(strategies_previous(spark, sf_dir), path, ["strategy_id"]) \
+            .replace(strategies_current(spark, sf_dir))
+    return VersionedTable(spark, stored_path(spark, sf_dir, "versioned-strategies", write,
+                                             ("supplier",)))
+
+
 def line_recommender_cumsum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """line_id, domain_name, percentage_recommendations, cumulative_users
     (built once per input version; see ``stored``)."""
