@@ -7,11 +7,14 @@
 2. Targets: sources share ``percent`` of all words by weight; a target stops at
    ``repeats`` times its source's size and the excess goes to the others by
    weight. A source's quota is its target in blocks of its mean length.
-3. Each output shard draws its source counts from the multinomial distribution
-   of the quotas (one hashed draw for each slot). Counts over all shards are
-   held to the quotas: draws beyond a quota are dropped, and what a source then
-   lacks is appended in further shards. So a source's words differ from its
-   target by about one block, whatever the draw.
+3. Each output shard draws its source counts from a multinomial distribution
+   (one hashed draw for each slot), and a source gets the slots that it draws.
+   The shards are drawn in ``DRAWS`` rounds. The first takes most of the slots
+   with the quotas as weights, the next most of the rest, with what the sources
+   still lack as weights, the last all of the rest. So a source ends within a
+   few standard deviations of the last round's draw of its target, unless an
+   earlier round gave it more. Only draws that would take a block more than
+   ``repeats`` times are handed out again.
 4. A source's n-th slot takes block p(n mod blocks) of its stream, where p is a
    pseudorandom permutation of the block indexes (swap-or-not, exact for any
    length) with a key for each source and pass over its blocks.
@@ -19,7 +22,8 @@
 
 Nothing is drawn at random at run time: the same rows and seed give the same mix.
 
-Defined cases: NULL or wordless texts have size 0 and are never taken; a NULL
+Defined cases: a very long text is as many blocks as its words fill, and only
+its pieces meet in one task; NULL or wordless texts have size 0 and are never taken; a NULL
 source is a source of its own, last in the order; NULL and repeated doc_ids and
 repeated rows are rows of their own; an empty table gives an empty result;
 other columns are ignored.
@@ -39,6 +43,7 @@ PERCENT = 150
 REPEATS = 2
 ROUNDS = 8
 CELLS = 4096
+DRAWS, SHARE = 3, (7, 8)      # rounds, and the part of the rest that a round draws
 MAX_BROADCAST_ROWS = 100_000
 
 
@@ -108,49 +113,69 @@ def _quotas(sources: DataFrame, block_words: int) -> DataFrame:
     blocks = F.ceil(F.col("source_size") / block_words)
     quota = F.least(F.round(F.col("target") * blocks / F.col("source_size")).cast("long"),
                     blocks * REPEATS)
-    out = (sources.where("source_size > 0").withColumn("blocks", blocks)
-           .withColumn("quota", quota).where("quota > 0").select("source", "blocks", "quota"))
-    return out.withColumn("_first", F.coalesce(F.sum("quota").over(
-        Window.orderBy(F.col("source").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (sources.where("source_size > 0").withColumn("blocks", blocks)
+            .withColumn("quota", quota).where("quota > 0").select("source", "blocks", "quota"))
+
+
+def _drawn(lack: DataFrame, slots: int, weight: int, first_shard: int, shard_slots: int,
+           seed: int, turn: int) -> DataFrame:
+    """(source, shard, count) of ``slots`` draws with the weights ``lack``."""
+    width = max(1, -(-weight // CELLS))
+    cells = lack.select("source", "lack", "_first", F.explode(F.sequence(
+        F.floor(F.col("_first") / width),
+        F.floor((F.col("_first") + F.col("lack") - 1) / width))).alias("cell"))
+    draws = lack.sparkSession.range(slots).select(
+        (F.lit(first_shard) + F.floor(F.col("id") / shard_slots)).alias("shard"),
+        F.pmod(F.xxhash64(F.lit(seed), F.lit("slot"), F.lit(turn), "id"), F.lit(weight))
+        .alias("draw"))
+    return (draws.withColumn("cell", F.floor(F.col("draw") / width)).join(_small(cells), "cell")
+            .where("draw >= _first and draw < _first + lack")
+            .groupBy("source", "shard").agg(F.count("*").alias("count")))
 
 
 def shard_counts(quotas: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     """(shard, source, first, count): slots first .. first+count-1 of a source
     in a shard, first counted over all of the source's slots."""
-    spark = quotas.sparkSession
-    slots = quotas.agg(F.sum("quota")).first()[0] or 0
-    width = max(1, -(-slots // CELLS))
-    cells = quotas.select("source", "quota", "_first", F.explode(F.sequence(
-        F.floor(F.col("_first") / width),
-        F.floor((F.col("_first") + F.col("quota") - 1) / width))).alias("cell"))
-    draws = spark.range(slots).select(
-        F.floor(F.col("id") / shard_slots).alias("shard"),
-        F.pmod(F.xxhash64(F.lit(seed), F.lit("slot"), "id"), F.lit(max(1, slots))).alias("draw"))
-    drawn = (draws.withColumn("cell", F.floor(F.col("draw") / width)).join(_small(cells), "cell")
-             .where("draw >= _first and draw < _first + quota")
-             .groupBy("source", "shard").agg(F.count("*").alias("count")))
-    total, ranged = running_total(drawn, ["source", "shard"], "count", "_at", "mix-draws")
+    most = F.col("blocks") * REPEATS
+    state = quotas.withColumn("taken", F.lit(0).cast("long"))
+    slots = rest = quotas.agg(F.sum("quota")).first()[0] or 0
+    rounds, shards = [], 0
+    for turn in range(DRAWS):
+        lack = stored(state.withColumn("lack", F.col("quota") - F.col("taken")).where("lack > 0")
+                      .withColumn("_first", F.coalesce(F.sum("lack").over(
+                          Window.orderBy(F.col("source").asc_nulls_last())
+                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))), "mix-lack")
+        weight = lack.agg(F.sum("lack")).first()[0] or 0
+        n = rest if turn == DRAWS - 1 else rest * SHARE[0] // SHARE[1]
+        if not weight or not n:
+            continue
+        rounds.append(stored(_drawn(lack, n, weight, shards, shard_slots, seed, turn), "mix-draws"))
+        shards += -(-n // shard_slots)
+        got = rounds[-1].groupBy("source").agg(F.sum("count").alias("_got")) \
+            .withColumnRenamed("source", "_source")
+        state = stored(state.join(got, F.col("source").eqNullSafe(F.col("_source")), "left").select(
+            "source", "blocks", "quota",
+            F.least(F.col("taken") + F.coalesce("_got", F.lit(0)), most).alias("taken")),
+            "mix-state")
+        rest = slots - state.agg(F.sum("taken")).first()[0]
+        discard(lack)
+    if not rounds:
+        return quotas.select(F.lit(0).alias("shard"), "source", F.lit(0).alias("first"),
+                             F.lit(0).alias("count")).where("count > 0")
+    every = rounds[0]
+    for more in rounds[1:]:
+        every = every.unionByName(more)
+    total, ranged = running_total(every, ["source", "shard"], "count", "_at", "mix-draws")
     total = stored(total, "mix-counts")
-    discard(ranged)
-    base = total.groupBy("source").agg(F.min("_at").alias("_base"),
-                                       F.sum("count").alias("_drawn"))
-    every = stored(quotas.join(base, quotas["source"].eqNullSafe(base["source"]), "left")
-                   .select(quotas["source"], "quota", "_base",
-                           F.coalesce("_drawn", F.lit(0)).alias("_drawn")), "mix-drawn")
-    side = _small(every)
-    held = (total.join(side, total["source"].eqNullSafe(side["source"]))
+    discard(ranged, *rounds)
+    base = total.groupBy("source").agg(F.min("_at").alias("_base"))
+    side = _small(stored(quotas.join(base, quotas["source"].eqNullSafe(base["source"]))
+                         .select(quotas["source"], "blocks", "_base"), "mix-drawn"))
+    return (total.join(side, total["source"].eqNullSafe(side["source"]))
             .select(total["source"], "shard", (F.col("_at") - F.col("_base")).alias("first"),
-                    "count", "quota")
-            .withColumn("count", F.least("count", F.col("quota") - F.col("first")))
-            .where("count > 0").drop("quota"))
-    # what the draws left short, in shards of their own
-    lack = every.where("_drawn < quota").select("source", F.explode(F.sequence(
-        F.col("_drawn"), F.col("quota") - 1, F.lit(shard_slots))).alias("first"), "quota")
-    lack = lack.select("source", (F.lit(-(-slots // shard_slots)) + F.floor(
-        F.col("first") / shard_slots)).alias("shard"), "first",
-        F.least(F.lit(shard_slots), F.col("quota") - F.col("first")).alias("count"))
-    return held.unionByName(lack)
+                    "count", "blocks")
+            .withColumn("count", F.least("count", most - F.col("first")))
+            .where("count > 0").drop("blocks"))
 
 
 def mixed_blocks(sources: DataFrame, block_words: int = BLOCK_WORDS,
@@ -158,7 +183,11 @@ def mixed_blocks(sources: DataFrame, block_words: int = BLOCK_WORDS,
     """(shard, source, block): one row for each slot of the mix."""
     quotas = stored(_quotas(sources, block_words), "mix-quotas")
     side = _small(quotas)
-    counts = shard_counts(quotas, shard_slots, seed)
+    # a row makes up to shard_slots slots: the number of tasks is given, since
+    # few bytes would go to few tasks
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = stored(shard_counts(quotas, shard_slots, seed), "mix-shards") \
+        .repartition(tasks, "source", "shard")
     slots = (counts.join(side, counts["source"].eqNullSafe(side["source"]))
              .select(counts["source"], "shard", "blocks", F.explode(F.sequence(
                  F.col("first"), F.col("first") + F.col("count") - 1)).alias("n")))
@@ -173,8 +202,9 @@ def _pieces(docs: DataFrame, id_col: str, source_col: str, text_col: str, block_
     """A row for each part of a document in a block: its first word ``lo``, its
     ``words`` and how often the mix takes the block."""
     placed, sources = _placed(docs, id_col, source_col, text_col, seed)
-    taken = mixed_blocks(sources, block_words, shard_slots, seed).groupBy("source", "block").agg(
-        F.count("*").alias("times")).withColumnRenamed("source", "_source")
+    taken = stored(mixed_blocks(sources, block_words, shard_slots, seed)
+                   .groupBy("source", "block").agg(F.count("*").alias("times"))
+                   .withColumnRenamed("source", "_source"), "mix-blocks")
     side = _small(sources.withColumnRenamed("source", "_s"))
     rows = (placed.join(side, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
             .withColumn("_at", F.col("_at") - F.col("_base")))

@@ -247,3 +247,69 @@ def run_digest(doc_id, text):
     lines = "".join(f"{s},{length},{q}\n" for s, length, q in found)
     return (len(found), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
             hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def xx(*values):
+    """Spark's xxhash64 of (value, kind) pairs: i(nt), l(ong) or s(tring)"""
+    import struct
+    import xxhash
+    seed = 42
+    for value, kind in values:
+        if value is not None:
+            data = value.encode() if kind == "s" else struct.pack("<" + {"i": "i", "l": "q"}[kind], value)
+            seed = xxhash.xxh64_intdigest(data, seed=seed)
+    return seed - 2 ** 64 if seed >= 2 ** 63 else seed
+
+
+def mix(rows, block=128, shard=1024, seed=0, cap=2, rounds=3, share=(7, 8), draw=None):
+    """rows of (doc_id, text, source), ids unique -> {doc_id: words taken}.
+    ``draw`` (round, slot, weight) replaces the hashed draw of a slot."""
+    import math
+    draw = draw or (lambda turn, k, weight: xx((seed, "i"), ("slot", "s"), (turn, "i"), (k, "l"))
+                    % weight)
+    size = {i: len(words(t)) for i, t, _ in rows}
+    total = defaultdict(int)
+    for i, _, s in rows:
+        total[s] += size[i]
+    target = mix_targets(total)
+    order = sorted((s for s in total if s is not None)) + ([None] if None in total else [])
+    blocks = {s: -(-total[s] // block) for s in order if total[s]}
+    quota = {s: min(math.floor(target[s] * b / total[s] + 0.5), cap * b) for s, b in blocks.items()}
+    slots = rest = sum(quota.values())
+    taken = dict.fromkeys(quota, 0)
+    for turn in range(rounds):
+        lack = [(s, quota[s] - taken[s]) for s in quota if quota[s] > taken[s]]
+        weight = sum(n for _, n in lack)
+        n = rest if turn == rounds - 1 else rest * share[0] // share[1]
+        if not weight or not n:
+            continue
+        bounds, owner = [], []
+        for s, k in lack:
+            bounds.append((bounds[-1] if bounds else 0) + k)
+            owner.append(s)
+        import bisect
+        for k in range(n):
+            s = owner[bisect.bisect_right(bounds, draw(turn, k, weight))]
+            taken[s] += 1
+        taken = {s: min(k, cap * blocks[s]) for s, k in taken.items()}
+        rest = slots - sum(taken.values())
+
+    def permuted(x, n, *key):
+        for r in range(1, 9):
+            mirror = (xx(*key, (r, "i")) % n - x) % n
+            if xx(*key, (r, "i"), (max(x, mirror), "l"), (1, "i")) & 1:
+                x = mirror
+        return x
+    times = defaultdict(int)
+    for s, k in taken.items():
+        for n in range(k):
+            key = ((seed, "i"), ("\x00null" if s is None else s, "s"), (n // blocks[s], "l"))
+            times[s, permuted(n % blocks[s], blocks[s], *key)] += 1
+    out = {}
+    for s in order:
+        at = 0
+        own = [(i, t or "") for i, t, x in rows if x == s]
+        for h, i in sorted((xx((seed, "i"), (i, "l"), (xx((t, "s")), "l")), i) for i, t in own):
+            out[i] = sum(times[s, w // block] for w in range(at, at + size[i]))
+            at += size[i]
+    return out

@@ -192,11 +192,48 @@ def test_mix_reaches_its_targets(spark):
         assert x.target == pytest.approx(target[r.source]) and 0 <= x.taken <= 2 * x["size"]
         taken[r.source] = taken.get(r.source, 0) + x.taken
     for s, t in target.items():
-        assert abs(taken[s] - t) <= 2 * mixing.BLOCK_WORDS
+        # the counts are drawn: within five standard deviations of a Poisson count
+        assert abs(taken[s] - t) <= (2 + 5 * (t / mixing.BLOCK_WORDS) ** 0.5) * mixing.BLOCK_WORDS
     again = {r.doc_id: r for r in mixing.mix(docs.repartition(5)).collect()}
     assert again == first
 
 
+def test_mix_takes_what_its_draws_say(spark):
+    """Words taken, by a plain version of draws, permutations and joins; with
+    other draws (another seed, or a constant share) the result is another."""
+    docs = _small(spark)
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    got = {}
+    for seed in (0, 9):
+        got[seed] = {r.doc_id: r.taken for r in mixing.mix(docs, seed=seed, block_words=32).collect()}
+        assert got[seed] == brute.mix(rows, seed=seed, block=32)
+    even = brute.mix(rows, block=32, draw=lambda turn, k, weight: k % weight)
+    source = {i: s for i, _, s in rows}
+
+    def by_source(taken):
+        out = {}
+        for i, n in taken.items():
+            out[source[i]] = out.get(source[i], 0) + n
+        return out
+    assert len({tuple(sorted(by_source(x).items())) for x in (got[0], got[9], even)}) == 3
+
+
+def test_shard_counts_spread_like_a_multinomial(spark):
+    """One round of draws: counts of a shard have the multinomial's mean and
+    variance, and the shards' counts add up to the slots."""
+    lack = spark.createDataFrame([("a", 600, 0), ("b", 300, 600), (None, 100, 900)],
+                                 "source string, lack long, _first long")
+    slots, size = 100_000, 250
+    rows = mixing._drawn(lack, slots, 1000, 0, size, 1, 0).collect()
+    for s, p in (("a", 0.6), ("b", 0.3), (None, 0.1)):
+        n = [r["count"] for r in rows if r.source == s]
+        mean = sum(n) / len(n)
+        variance = sum((x - mean) ** 2 for x in n) / (len(n) - 1)
+        assert mean == pytest.approx(size * p, rel=0.03)
+        assert variance == pytest.approx(size * p * (1 - p), rel=0.3)
+    assert sum(r["count"] for r in rows) == slots
+
+
 def test_permutation_is_exact(spark):
     for n in (1, 2, 7, 100):
         out = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(3)).alias("p"))
