@@ -61,13 +61,11 @@ def scores_df(spark, sf_dir):
 
 
 SCORES_SQL = """
-select p.strategy_id, c.algo_id,
-       '[{"dimension_type_id":1,"dimension_value":"' || p.site_domain_id || '"}]' as dimension_structs,
-       round(p.probability_score, 6) as probability_score, p.target_ecpm,
+select c.strategy_id, c.algo_id,
+       '[{"dimension_type_id":1,"dimension_value":"' || c.site_domain_id || '"}]' as dimension_structs,
+       round(c.probability_score, 6) as probability_score, i.target_ecpm,
        20240517 as dt, 2024051709412600 as timestamp
-from (select c.strategy_id, c.site_domain_id, c.probability_score, i.target_ecpm
-      from candidates c join strategy_inputs i on c.strategy_id = i.strategy_id) p
-join candidates c on p.strategy_id = c.strategy_id and p.site_domain_id = c.site_domain_id"""
+from candidates c join strategy_inputs i on c.strategy_id = i.strategy_id"""
 
 
 def _export_scores(spark, sf_dir):

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bidmill.joins import broadcast_if_small
 from bidmill.operators.snapshots import delete_where, update_where
 
 BUCKETS = 16
@@ -70,6 +71,7 @@ class Manifest:
     buckets: int
     parts: dict[int, Part]
     touched: tuple[int, ...]
+    notes: dict[str, int] = dataclasses.field(default_factory=dict)   # the writer's own
 
     def text(self) -> str:
         own = dataclasses.asdict(self)
@@ -164,13 +166,13 @@ class VersionedTable:
         self.files = _Files(spark, path)
 
     @classmethod
-    def create(cls, df: DataFrame, path: str, keys: list[str],
-               buckets: int = BUCKETS) -> VersionedTable:
+    def create(cls, df: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS,
+               notes: dict[str, int] | None = None) -> VersionedTable:
         """Version 1 from the rows of ``df``."""
         if BUCKET in df.columns:
             raise ValueError(f"{BUCKET} is the table's own column")
         table = cls(df.sparkSession, path)
-        made = Manifest(1, "create", df.schema.json(), tuple(keys), buckets, {}, ())
+        made = Manifest(1, "create", df.schema.json(), tuple(keys), buckets, {}, (), notes or {})
         parts = table._write(df, made)
         made = dataclasses.replace(made, parts=parts, touched=tuple(sorted(parts)))
         if not table.files.publish(made.text(), table._place(1)):
@@ -238,7 +240,8 @@ class VersionedTable:
     # --- commits --------------------------------------------------------------
 
     def _commit(self, base: Manifest, operation: str, replaced: dict[int, Part] | None = None,
-                added: dict[int, Part] | None = None, read: set[int] | None = None) -> Manifest:
+                added: dict[int, Part] | None = None, read: set[int] | None = None,
+                notes: dict[str, int] | None = None) -> Manifest:
         """Publish the next version. ``read`` has the buckets that the edit
         depends on (None: all of them); if one was touched since, Conflict."""
         replaced, added = replaced or {}, added or {}
@@ -251,7 +254,8 @@ class VersionedTable:
                     parts[b] = parts.get(b, Part()).plus(p)
                 made = dataclasses.replace(
                     head, version=head.version + 1, operation=operation, parts=parts,
-                    touched=tuple(sorted({*replaced, *added})))
+                    touched=tuple(sorted({*replaced, *added})),
+                    notes={**head.notes, **(notes or {})})
                 if self.files.publish(made.text(), self._place(made.version)):
                     return made
                 held = self.versions()
@@ -274,7 +278,8 @@ class VersionedTable:
 
     def edit(self, change: Callable[[DataFrame], DataFrame], operation: str,
              where: Column | None = None, keys: DataFrame | None = None,
-             base: Manifest | None = None, serial: bool = False) -> Manifest:
+             base: Manifest | None = None, serial: bool = False,
+             notes: dict[str, int] | None = None) -> Manifest:
         """Replace the rows of some buckets by ``change`` of them: the buckets
         that hold a row with ``where``, or those of the given ``keys``, or all.
         With ``base`` one attempt on that version. A ``serial`` edit depends on
@@ -286,12 +291,13 @@ class VersionedTable:
                 hits = self._rows(m) if where is None else self._rows(m).where(where)
             # at most one row for each bucket
             hit = sorted(r[0] for r in hits.select(BUCKET).distinct().collect())
-            if not hit:
+            if not hit and not notes:
                 return m
             rows = change(self._rows(m, hit).drop(BUCKET)).select(*_columns(m))
             new = self._write(rows, m)
             replaced = {b: new.get(b, Part()) for b in {*hit, *new}}
-            return self._commit(m, operation, replaced, read=None if serial else {*replaced})
+            return self._commit(m, operation, replaced, read=None if serial else {*replaced},
+                                notes=notes)
         return attempt(base) if base else self.attempts(attempt)
 
     def update(self, column: str, value: Column, where: Column) -> Manifest:
@@ -361,6 +367,13 @@ class VersionedTable:
             raise ValueError("the versions differ in schema, keys or buckets")
         return a, b
 
+    def read_keys(self, version: int, keys: DataFrame) -> DataFrame:
+        """Rows of the given keys; buckets that hold none of them aren't read."""
+        m = self.manifest(version)
+        which = [r[0] for r in keys.select(self.bucket_of(m).alias(BUCKET)).distinct().collect()]
+        return self._rows(m, which).drop(BUCKET).join(
+            broadcast_if_small(keys.select(*m.keys).distinct()), list(m.keys), "left_semi")
+
     def changes(self, old: int, new: int) -> DataFrame:
         """One pass over the buckets that differ: keys, change (``new``,
         ``deleted`` or ``changed``) and the old and new row. Keys are unique."""
