@@ -27,4 +27,5 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from bidmill.plans import (core, changefeed, requests_q, payloads_q,  # noqa: F401
-                               tables_q, scalars_q, streaming_q, maintain_q)
+                               tables_q, scalars_q, streaming_q, maintain_q,
+                               rejects_q, pricing_q)
