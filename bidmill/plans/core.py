@@ -72,13 +72,11 @@ def q_candidates(spark, sf_dir):
 
 
 @query("first_domain", with_views("""
-select strategy_id, site_domain_id, cumulative_users from (
-  select i.strategy_id, s.site_domain_id, p.cumulative_users,
-         row_number() over (partition by i.strategy_id
-                            order by p.cumulative_users, s.site_domain_id) as row_n
-  from strategy_inputs i join linez l on i.line_id = l.line_id
-  join line_recommender_cumsum p on l.line_id = p.line_id
-  join site_domains s on p.domain_name = s.name) f where row_n = 1""", *CAND_VIEWS))
+select strategy_id, arg_min(site_domain_id, (cumulative_users, site_domain_id)) as site_domain_id,
+       min(cumulative_users) as cumulative_users
+from strategy_inputs join linez using (line_id) join line_recommender_cumsum using (line_id)
+join site_domains on name = domain_name
+group by strategy_id""", *CAND_VIEWS))
 def q_first_domain(spark, sf_dir):
     return C.first_domain(*_cand_inputs(spark, sf_dir))
 

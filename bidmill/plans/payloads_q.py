@@ -205,8 +205,8 @@ select key,
 from ({entries_sql('site_domain_id2')}) e group by key"""
 
 
-def price_lines_df(spark, sf_dir, dimension="site_domain_id2"):
-    return PF.price_lines(PF.price_entries(priced_dims(spark, sf_dir, dimension)))
+def price_lines_df(spark, sf_dir, dimension="site_domain_id2", priced=None):
+    return PF.price_lines(PF.price_entries(priced_dims(spark, sf_dir, dimension, priced)))
 
 
 @query("price_lines", pay_sql(PRICE_LINES_SQL))
@@ -215,9 +215,9 @@ def q_price_lines(spark, sf_dir):
     return price_lines_df(spark, sf_dir).withColumn("line", shown_line(F.col("line")))
 
 
-def _export(spark, sf_dir, dimension="site_domain_id2"):
+def _export(spark, sf_dir, dimension="site_domain_id2", priced=None):
     base = scratch_path(spark, f"price_file_{dimension}")
-    PF.export_price_file(price_lines_df(spark, sf_dir, dimension), base + "/data")
+    PF.export_price_file(price_lines_df(spark, sf_dir, dimension, priced), base + "/data")
     PF.write_header(spark, PF.header_for([dimension]), base + "/header")
     return base + "/data", base + "/header"
 
@@ -236,20 +236,23 @@ def q_scan_price_file(spark, sf_dir):
     return PF.read_lines(spark, data).select(shown_line(F.col("text")).alias("text"))
 
 
-@query("parse_header", pay_sql('''
-select f.file_dimension, i.idx,
-       case i.idx when 0 then f.file_dimension when 1 then 'strategy_id:bid_price_multiplier' end as name,
-       case i.idx when 0 then 'Long' when 1 then 'Array' end as type
-from (select unnest(['site_domain_id2', 'city_id']) as file_dimension) f,
-     (select unnest([0, 1]) as idx) i'''))
+@query("parse_header", pay_sql(" union all ".join(f"""
+select '{d}' as file_dimension, idx, case idx when 0 then '{d}'
+         else 'strategy_id:bid_price_multiplier' end as name,
+       case idx when 0 then 'Long' else 'Array' end as type, n_lines
+from (select count(distinct key) as n_lines from ({entries_sql(d)}) e{i}) n{i},
+     (select unnest([0, 1]) as idx) c{i}""" for i, d in enumerate(("site_domain_id2", "city_id")))))
 def q_parse_header(spark, sf_dir):
     """S3: the headers that two exports write, read and parsed into (index,
-    name, type)."""
-    out = None
+    name, type), with the lines of the file that fill the column."""
+    priced, out = price_dampen_df(spark, sf_dir), None
     for dimension in ("site_domain_id2", "city_id"):
-        _, header = _export(spark, sf_dir, dimension)
-        own = PF.parse_header(PF.read_lines(spark, header)).select(
-            F.lit(dimension).alias("file_dimension"), "idx", "name", "type")
+        data, header = _export(spark, sf_dir, dimension, priced)
+        filled = spark.read.text(data).select(F.posexplode(F.split("value", "\t")).alias("idx", "v")) \
+            .where("v <> ''").groupBy("idx").agg(F.count(F.lit(1)).alias("n_lines"))
+        own = PF.parse_header(PF.read_lines(spark, header)).join(filled, "idx", "left").select(
+            F.lit(dimension).alias("file_dimension"), "idx", "name", "type",
+            F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
         out = own if out is None else out.unionByName(own)
     return out
 
