@@ -32,7 +32,7 @@ def _ts_text(df, *cols):
 
 @query("claim_next", with_views(CLAIM_SQL, *QUEUE_VIEWS))
 def q_claim_next(spark, sf_dir):
-    return R.claim_next(X.queue_table(spark, sf_dir).read())
+    return R.claim_next(X.queue_table(spark, sf_dir, edited=False).read())
 
 
 @query("claim_state", with_views(f"""

@@ -72,17 +72,20 @@ def stored_path(spark: SparkSession, sf_dir: str, name: str, write,
     return base
 
 
-def versioned(spark: SparkSession, sf_dir: str, name: str, build, keys: list[str]) -> VersionedTable:
+def versioned(spark: SparkSession, sf_dir: str, name: str, build, keys: list[str],
+              inputs: tuple[str, ...] = TABLES, edited: bool = True) -> VersionedTable:
     """A table of the job's own state with committed versions. Its first rows
-    are stored once for each input version; each call gets a clone of its own,
-    so edits of one run aren't seen by another."""
-    base = stored_path(spark, sf_dir, f"versioned-{name}",
-                       lambda path: VersionedTable.create(build(spark, sf_dir), path, keys))
-    return VersionedTable(spark, base).clone(scratch_path(spark, name))
+    are stored once for each input version; a call that edits gets a clone of
+    its own, so edits of one run aren't seen by another."""
+    base = VersionedTable(spark, stored_path(
+        spark, sf_dir, f"versioned-{name}",
+        lambda path: VersionedTable.create(build(spark, sf_dir), path, keys), inputs))
+    return base.clone(scratch_path(spark, name)) if edited else base
 
 
-def queue_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    return versioned(spark, sf_dir, "request_queue", request_queue, ["dom_rec_id"])
+def queue_table(spark: SparkSession, sf_dir: str, edited: bool = True) -> VersionedTable:
+    return versioned(spark, sf_dir, "request_queue", request_queue, ["dom_rec_id"],
+                     ("orders", "customer"), edited)
 
 
 def strategies_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
