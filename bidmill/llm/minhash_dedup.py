@@ -24,11 +24,13 @@ A pair at the threshold meets in no band with probability
 (1 - threshold**rows)**bands, 5e-6 for the defaults.
 
 Defined cases: a NULL or wordless text has an empty set and is linked with
-nothing; with fewer words than a shingle the whole sequence is one shingle;
-rows that repeat a doc_id count as one document with its smallest text, and
-each returns its result; a NULL doc_id counts as the smallest id and is
-returned as NULL; an empty table gives an empty result; other columns are
-ignored.
+nothing; with fewer words than a shingle the whole sequence is one shingle.
+Rows of one doc_id and different texts are documents of their own, ordered by
+the hash of the text: each is linked and kept or dropped by its own text. Rows
+equal in doc_id and text are one document, and each returns its result
+(``first_rows`` keeps one of them). A NULL doc_id counts as the smallest id and
+is returned as NULL. A very long text is shingled whole, in a block of its own.
+An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ from pyspark.sql import functions as F
 
 from bidmill.llm import textscan as ts
 from bidmill.llm.graph import components
-from bidmill.llm.store import NO_ID, discard, id_of, stored, text_of
+from bidmill.llm.store import NO_ID, discard, id_of, running_total, stored, text_of
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -107,9 +109,9 @@ def _signatures(shingle: int, width: int):
                     None, pa.py_buffer(np.arange(len(raw) + 1, dtype=np.int32) * np.int32(step)),
                     pa.py_buffer(raw.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id"), pa.array(np.concatenate(n_out)),
+                    [batch.column("_id"), batch.column("_h"), pa.array(np.concatenate(n_out)),
                      pa.array(np.concatenate(one)), pa.array(np.concatenate(two)), blob],
-                    names=["_id", "n", "s1", "s2", "sig"])
+                    names=["_id", "_h", "n", "s1", "s2", "sig"])
     return run
 
 
@@ -399,30 +401,70 @@ class _Search:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
                     percent: int = THRESHOLD, miss: float = MISS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each input row."""
+    """doc_id, n_shingles, component_id, kept, text_hash: one row for each input
+    row. ``kept`` marks the first document of a component."""
     texts = docs.select(id_of(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    signed = stored(texts.mapInArrow(
+    keyed = texts.withColumn("_h", F.xxhash64("_text"))
+    signed = stored(keyed.mapInArrow(
         _signatures(shingle, bands * rows),
-        "_id long, n long, s1 long, s2 long, sig binary"), "signatures")
+        "_id long, _h long, n long, s1 long, s2 long, sig binary"), "signatures")
     if not signed.groupBy("_id").count().where("count > 1").isEmpty():
-        once = near_duplicates(texts.groupBy("_id").agg(F.min("_text").alias("_text")),
-                               "_id", "_text", shingle, bands, rows, percent, miss)
-        once = once.withColumn("_id", id_of()).drop("doc_id")
-        null_id = F.nullif(F.col("_id"), F.lit(NO_ID)).alias("doc_id")
-        return texts.select("_id").join(once, "_id").select(
-            null_id, "n_shingles", "component_id", "kept")
+        discard(signed)
+        return _numbered(keyed, shingle, bands, rows, percent, miss)
     # classes of equal sets, each with its smallest id
     sets = stored(signed.where("n > 0").groupBy("n", "s1", "s2")
                   .agg(F.min("_id").alias("rep")), "sets")
-    member = stored(signed.select("_id", "n", "s1", "s2").join(sets, ["n", "s1", "s2"], "left")
-                    .select("_id", "n", F.coalesce("rep", "_id").alias("rep")), "members")
+    member = stored(signed.select("_id", "_h", "n", "s1", "s2")
+                    .join(sets, ["n", "s1", "s2"], "left")
+                    .select("_id", "_h", "n", F.coalesce("rep", "_id").alias("rep")), "members")
     classes = stored(signed.join(sets.select(F.col("rep").alias("_id")), "_id", "left_semi")
                      .select("_id", "n", "sig"), "classes")
     discard(signed, sets)
     labels = _Search(texts, classes, shingle, bands, rows, percent, miss).run()
     out = member.join(labels, member["rep"] == labels["node"], "left").select(
-        "_id", "n", F.coalesce("component", "rep").alias("component"))
+        "_id", "_h", "n", F.coalesce("component", "rep").alias("component"))
     return out.select(F.nullif(F.col("_id"), F.lit(NO_ID)).alias("doc_id"),
                       F.col("n").alias("n_shingles"),
                       F.nullif(F.col("component"), F.lit(NO_ID)).alias("component_id"),
-                      (F.col("_id") == F.col("component")).alias("kept"))
+                      (F.col("_id") == F.col("component")).alias("kept"),
+                      F.col("_h").alias("text_hash"))
+
+
+def _numbered(keyed: DataFrame, *options) -> DataFrame:
+    """The search for ids that repeat: distinct (id, text hash) pairs are
+    numbered in their order, and the numbers searched in place of the ids."""
+    nodes = stored(keyed.groupBy("_id", "_h").agg(F.min("_text").alias("_text")), "texts")
+    ranks, ranged = running_total(nodes.select("_id", "_h", F.lit(1).alias("_one")),
+                                  ["_id", "_h"], "_one", "_node", "numbers")
+    ranks = stored(ranks.select("_id", "_h", "_node"), "numbered")
+    discard(ranged)
+    found = near_duplicates(nodes.join(ranks, ["_id", "_h"]).select("_node", "_text"),
+                            "_node", "_text", *options)
+    found = found.select(F.col("doc_id").alias("_node"), "n_shingles",
+                         F.col("component_id").alias("_first"), "kept")
+    first = ranks.select(F.col("_node").alias("_first"), F.col("_id").alias("_component"))
+    judged = stored(ranks.join(found, "_node").join(first, "_first"), "judged")
+    return keyed.select("_id", "_h").join(judged, ["_id", "_h"]).select(
+        F.nullif(F.col("_id"), F.lit(NO_ID)).alias("doc_id"), "n_shingles",
+        F.nullif(F.col("_component"), F.lit(NO_ID)).alias("component_id"), "kept",
+        F.col("_h").alias("text_hash"))
+
+
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               **options) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each
+    component. Of rows equal in id and text, the one whose columns have the
+    smallest hash stays."""
+    kept = stored(
+        near_duplicates(docs.select(id_col, text_col), id_col, text_col, **options).where("kept")
+        .groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_hash").alias("_h"))
+        .agg(F.count("*").alias("_n")), "kept")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        id_of(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_h"))
+    single = keyed.join(kept.where("_n = 1"), ["_id", "_h"], "left_semi").select("row.*")
+    repeated = kept.where("_n > 1")
+    if repeated.isEmpty():
+        return single
+    one = (keyed.join(repeated, ["_id", "_h"], "left_semi").groupBy("_id", "_h")
+           .agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")))
+    return single.unionByName(one.select("row.*"))
