@@ -193,14 +193,13 @@ def _fit_rows(batches):
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
           modulus: int = MODULUS, remainder: int = HELD, per_class: int = PER_CLASS) -> dict:
     """A model of a few KB: weights, or only a constant without both labels."""
-    rows, counts = labelled.sample(docs, labels, label_col, modulus, remainder, per_class)
+    rows, counts, drawn = labelled.sample(docs, labels, label_col, modulus, remainder, per_class)
     total = sum(counts.values())
     fitted = rows.repartition(1).mapInPandas(_fit_rows, "model binary").collect() \
         if len(counts) == 2 else []
     if not fitted:
         return {"constant": counts.get(1, 0) / total if total else 0.5}
     model = dict(np.load(io.BytesIO(bytes(fitted[0]["model"]))))
-    drawn = {k: min(n, per_class) for k, n in counts.items()}
     model["shift"] = (model["shift"] + np.log(counts[1] / counts[0])
                       - np.log(drawn[1] / drawn[0])).astype(np.float32)
     return model

@@ -137,7 +137,7 @@ def _fit_rows(batches):
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
           modulus: int = MODULUS, remainder: int = HELD, per_class: int = PER_CLASS) -> dict:
     """The slots in use and their weights (at most 2**BITS), or a constant."""
-    rows, counts = labelled.sample(docs, labels, label_col, modulus, remainder, per_class)
+    rows, counts, _ = labelled.sample(docs, labels, label_col, modulus, remainder, per_class)
     total = sum(counts.values())
     fitted = rows.repartition(1).mapInPandas(_fit_rows, "model binary").collect() \
         if len(counts) == 2 else []

@@ -5,8 +5,8 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from bidmill.llm import (imatch, line_dedup, minhash_dedup, mixing, passage_dedup, queries,
-                         quality_cnn, sentencepiece_viterbi, toxicity_nbsvm)
+from bidmill.llm import (imatch, labelled, line_dedup, minhash_dedup, mixing, passage_dedup,
+                         queries, quality_cnn, sentencepiece_viterbi, toxicity_nbsvm)
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _id string, _h int"
@@ -86,6 +86,43 @@ def test_near_duplicates_of_a_chained_group(spark):
     assert out == brute.near_duplicates(rows)
 
 
+def test_rows_that_share_an_id_are_judged_by_their_text(spark):
+    def text(k, n=40):
+        return " ".join(f"t{k}w{i}" for i in range(n))
+
+    rows = [(1, text(1), "a"), (2, text(1), "b"), (2, text(2), "c"), (2, text(2), "d"),
+            (None, text(3), "e"), (None, text(3), "f"), (None, text(4), "g"), (5, text(4), "h"),
+            (7, text(1)[:-4], "i"), (8, None, "j"), (8, "", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id string")
+    out = minhash_dedup.near_duplicates(docs).collect()
+    assert len(out) == len(rows)
+    # the copies of document 1 go, and those of a row without an id
+    assert sorted((r.doc_id, r.component_id) for r in out if not r.kept) == [
+        (2, 1), (5, None), (7, 1)]
+    left = minhash_dedup.first_rows(docs)
+    assert left.columns == docs.columns
+    kept = left.collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted(
+        [(1, text(1)), (2, text(2)), (0, text(3)), (0, text(4)), (8, "")])
+    assert minhash_dedup.first_rows(docs.repartition(5)).exceptAll(left).isEmpty()
+    assert minhash_dedup.first_rows(docs.where("doc_id < 0")).count() == 0
+
+
+def test_learned_texts_are_bounded_in_rows_and_bytes(spark):
+    docs = spark.range(4000).select(
+        F.when(F.col("id") < 3990, F.col("id") % 4).otherwise(F.col("id")).alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"),
+                                      (F.col("id") % 2).cast("int").alias("quality"))
+    rows, counts, drawn = labelled.sample(docs, labels, "quality", 4, 2, 1500)
+    got = rows.collect()
+    assert len({r._id for r in got}) == len(got) == sum(drawn.values()) <= 14
+    assert all(counts[k] > drawn[k] for k in drawn)
+    rows, _, drawn = labelled.sample(docs, labels, "quality", 4, 2, 1500, max_bytes=16 * 9)
+    assert 0 < rows.agg(F.sum(F.octet_length("_text"))).first()[0] <= 2 * 16 * 9
+    assert labelled.sample(docs, labels, "quality", 4, 2, 1500, max_bytes=16)[0].isEmpty()
+
+
 def _hot(n):
     """Texts of one start, so unlike ones meet in a bucket: n pairs that are
     linked, the first with a third, and single ones."""
