@@ -42,10 +42,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group stays."""
-    groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"))
-    kept = groups.where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """The document with the smallest id of each near-duplicate group stays;
+    rows that share an id, or have none, are judged by their own text."""
+    return minhash_dedup.first_rows(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
