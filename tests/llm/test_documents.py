@@ -192,6 +192,32 @@ def test_line_runs_of_any_length(spark):
     assert cut == {1: "a\nb\nc\nd\ne", 2: "x\ny", 3: "a\nb\nz", 4: "q"}
 
 
+def test_runs_name_their_length_and_first_copy(spark):
+    def lines(a, b):
+        return [f"line {i}" for i in range(a, b)]
+
+    rows = [(1, ["top", *lines(0, 3), "x", *lines(10, 15), "y", *lines(20, 37)]),
+            (2, [*lines(0, 3), "p", "q", *lines(10, 15)]),
+            (3, ["r", *lines(20, 37), "s", "line 1"]),
+            # repeated in two overlapping halves only
+            (4, list("ABCD")), (5, list("XCDEF")), (6, list("ABCDEF")),
+            (7, ["z"] * 9), (8, lines(10, 15))]
+    docs = spark.createDataFrame([(i, "\n".join(x)) for i, x in rows], "doc_id long, text string")
+    runs = sorted((r._id, r.start, r.length, r.first_id, r.first_line)
+                  for r in line_dedup.repeated_runs(docs).collect())
+    assert [r for r in runs if r[0] != 7] == [
+        (2, 0, 3, 1, 1), (2, 5, 5, 1, 5), (3, 1, 17, 1, 11),
+        (5, 1, 2, 4, 2), (6, 0, 4, 4, 0), (6, 2, 4, 5, 1), (8, 0, 5, 1, 5)]
+    # a line over and over: the rest repeats the start, eight lines from the second on
+    assert (7, 1, 8, 7, 0) in runs or {x for _, a, n, *_ in (r for r in runs if r[0] == 7)
+                                       for x in range(a, a + n)} == set(range(1, 9))
+    cut = {r.row.doc_id: r.cut for r in line_dedup.remove_repeated_lines(docs).collect()}
+    assert {i: c.text for i, c in cut.items()} == {
+        1: "\n".join(rows[0][1]), 2: "p\nq", 3: "r\ns\nline 1", 4: "A\nB\nC\nD", 5: "X\nE\nF",
+        6: "", 7: "z", 8: ""}
+    assert cut[7].removed == 8 and cut[6].runs == 1
+
+
 def test_fingerprints(spark):
     docs = _small(spark)
     texts = dict(_texts(docs))
