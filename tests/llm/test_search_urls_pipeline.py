@@ -152,6 +152,41 @@ def test_pipeline_stages(spark):
         docs = out
 
 
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """NULL and repeated ids, NULL and empty texts, equal rows, clashing names."""
+    def text(k):
+        return "\n".join(" ".join(f"t{k}line{i}w{j}" for j in range(9)) for i in range(6))
+
+    common = "a passage in step\nof two lines"
+    rows = [(1, text(1)), (2, text(1).replace("\n", " ")), (3, text(3) + "\n" + common), (3, text(4)),
+            (None, text(5)), (None, text(6)), (None, text(6)), (7, common + "\n" + text(7)),
+            (8, None), (9, ""), (10, common), (11, "few words"), (12, "few words")]
+    docs = spark.createDataFrame(
+        [(i, x, "en", "s" if k % 2 else None, len(x or ""), k, f"r{k}", 0, 1.5)
+         for k, (i, x) in enumerate(rows)],
+        "doc_id long, text string, lang string, source string, n_chars long, _id long, row string, "
+        "rank int, score double")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    now, texts = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        now = stage(spark, now, str(tmp_path)).cache()
+        assert now.columns == docs.columns
+        texts[name] = sorted(((r.doc_id or 0), r.text or "") for r in now.collect())
+    assert texts["quality_classifier"] == sorted((i or 0, x or "") for i, x in rows)
+    # rows without an id come first: the later ones of a line run lose it
+    assert (7, text(7)) in texts["line_dedup"] and (3, text(3) + "\n" + common) in texts["line_dedup"]
+    assert [x for x in texts["line_dedup"] if x[0] == 10] == []
+    assert texts["near_dedup"] == sorted([
+        (1, text(1)), (3, text(3) + "\n" + common), (3, text(4)), (0, text(5)), (0, text(6)),
+        (7, text(7)), (8, ""), (9, ""), (11, "few words")])
+    left = {(i or None) for i, _ in texts["near_dedup"]}
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert out and {r.doc_id for r in out} <= left
+    assert all(r.n_tokens == len(r.ids) for r in out)
+
+
 def test_quality_stage_without_labels_against_a_document(spark, tmp_path):
     docs = spark.createDataFrame([(i, f"clean text {i}") for i in range(6)],
                                  "doc_id long, text string")
