@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read back as the next stage's docs. All but the last
 return the columns of ``docs``.
+
+Defined cases, for all stages: a NULL text counts as empty; rows without a
+doc_id, or with one that repeats, are judged by their own text; of rows equal in
+both the near-duplicate stage keeps one; ties go to the smaller id, then the
+smaller hash of the text; very long texts are processed whole; an empty table
+gives an empty result; further columns pass through under any name.
 """
 
 from __future__ import annotations
@@ -68,8 +74,8 @@ STAGES = [
     ("sentencepiece", encode_pieces),
 ]
 
-# a learned classifier and a tokenizer have no SQL form; tests hold the
-# pipeline against plain versions of its stages
+# a learned classifier and a tokenizer have no SQL form; tests hold line dedup
+# and near-dedup against plain versions, and pieces against their texts
 ORACLE_SQL = None
 
 
