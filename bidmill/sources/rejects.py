@@ -77,12 +77,15 @@ def checked_price_lines(spark: SparkSession, header_path: str, *paths: str) -> D
     parts = F.split(F.col("text"), "\t")
     lines = _lines(spark, *paths).where(F.trim("text") != "").withColumn(
         "_whole", F.size(parts) == width)
-    entries = lines.select(
+    # cut below the generator: once for each line, not for each of its entries
+    by_line = lines.select(
         "file", "block", "seq", "_whole", F.when(F.col("_whole"), F.array(*[
             F.struct(F.lit(name).alias("dimension"), F.get(parts, i).alias("value"))
             for i, name in dims])).alias("_dims"),
-        F.posexplode(F.when(F.col("_whole"), F.split(F.get(parts, arr), ","))
-                     .otherwise(F.array("text"))).alias("pos", "text"))
+        F.when(F.col("_whole"), F.split(F.get(parts, arr), ","))
+        .otherwise(F.array("text")).alias("_entries"))
+    entries = by_line.select("file", "block", "seq", "_whole", "_dims",
+                             F.posexplode("_entries").alias("pos", "text"))
     e = F.split(F.col("text"), ":")
     fields = entries.withColumns({"strategy_id": F.get(e, 0), "_m": F.get(e, 1),
                                   "_b": F.get(e, 2), "_n": F.size(e)})
