@@ -37,3 +37,67 @@ def test_a_line_is_cut_once_not_for_each_entry(spark, tmp_path):
         ("5", "k", 1.2, 0.3), ("6", "k", 2.2, 0.3)]
     assert sorted((r.reason or "", r.strategy_id, r.value) for r in checked.collect()) == [
         ("", "5", "k"), ("", "6", "k"), ("2 columns expected", "bad", None)]
+
+
+def test_candidates_are_not_shuffled_row_by_row(spark, monkeypatch):
+    """Units of one row: as many tasks as their candidates ask for, and no
+    exchange above the join that makes them."""
+    from bidmill.operators import candidates as C
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 10)
+    inputs = spark.range(20).selectExpr("id as strategy_id", "7L as line_id",
+                                        "if(id = 3, null, -1L) as unique_count", "-1 as algorithm_id")
+    lines = spark.createDataFrame([(7,)], "line_id long")
+    preds = spark.range(5).selectExpr("7L as line_id", "'d' || id as domain_name",
+                                      "0.1D as percentage_recommendations",
+                                      "cast(id as double) as cumulative_users")
+    sites = spark.range(5).selectExpr("id as site_domain_id", "'d' || id as name")
+    out = C.candidates(inputs, lines, preds, sites)
+    plan = _plan(out)
+    join = plan.index("HashJoin")
+    assert "Exchange" not in plan[:join] and "Aggregate" not in plan[:join]
+    assert "REPARTITION_BY_NUM" in plan and out.rdd.getNumPartitions() == 10
+    assert out.count() == 19 * 5 + 1 == out.distinct().count()
+    # rows that share a key, and rows without one, as before
+    more = inputs.unionByName(inputs.where("strategy_id = 3").withColumn("unique_count", F.lit(1)))
+    more = more.unionByName(inputs.where("strategy_id = 5").withColumn("strategy_id", F.lit(None)))
+    got = C.candidates(more, lines, preds, sites)
+    assert got.where("strategy_id = 3").count() == 2 and got.where("strategy_id is null").count() == 5
+    assert got.count() == 19 * 5 + 2 + 5 == got.distinct().count()
+
+
+def test_requests_of_equal_inputs_are_priced_once(spark, monkeypatch):
+    """Repeated, hot and null requests: rows as if each was priced by itself."""
+    from bidmill.plans import dequeue as DQ
+    from bidmill.sources import fixtures as X
+    small = "/root/testdata/sf0.001"
+    monkeypatch.setattr(DQ, "ROWS_PER_TASK", 100)
+    ids = [(i, 2 + i % 3) for i in range(60)] + [(100, 2), (100, 2), (101, None), (None, 3)]
+    requests = spark.createDataFrame(ids, "dom_rec_id long, strategy_id long").selectExpr(
+        "*", "strategy_id * 10 as bid_list_id", "'new' as status",
+        "timestamp'2024-01-01 00:00:00' as date_new")
+    t, asked = DQ.static_tables(spark, small), []
+    price = DQ.price_inputs
+
+    def spy(inputs, *rest):
+        asked.append(inputs.count())
+        return price(inputs, *rest)
+    monkeypatch.setattr(DQ, "price_inputs", spy)
+    cols = ["dom_rec_id", "strategy_id", "site_domain_id", "multiplier", "date_new"]
+    got = sorted(map(tuple, DQ.price_requests(spark, small, requests).select(*cols).collect()))
+    assert max(asked) <= 4
+    plain = price(DQ.R.request_inputs(DQ.request_details(requests, t["strategy_inputs"]),
+                                      extra=("date_new",)), t, "target_ecpm_seed_dampen", "legacy",
+                  ("date_new",))
+    assert got == sorted(map(tuple, plain.select(*cols).collect())) and len(got) > 60
+    keys = ["dom_rec_id", "strategy_id", "url", "body"]
+    bodies = sorted(map(tuple, DQ.batch_payloads(requests, t).select(*keys).collect()))
+    assert bodies == sorted(map(tuple, DQ.request_payloads(plain, requests).select(*keys).collect()))
+    assert X.event_requests(spark, small).columns == requests.columns
+
+
+def test_published_files_are_compressed(spark, tmp_path):
+    from bidmill.plans import tables_q as TQ
+    TQ._publish(spark, "/root/testdata/sf0.001", str(tmp_path / "p"))
+    for kind in ("log", "input", "output"):
+        files = list((tmp_path / "p" / kind).rglob("part-*"))
+        assert files and all(f.name.endswith(".gz") for f in files)
