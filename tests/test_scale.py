@@ -101,3 +101,70 @@ def test_published_files_are_compressed(spark, tmp_path):
     for kind in ("log", "input", "output"):
         files = list((tmp_path / "p" / kind).rglob("part-*"))
         assert files and all(f.name.endswith(".gz") for f in files)
+
+
+def _published_lines(base):
+    import gzip
+    return [(f, gzip.open(f, "rt").read().splitlines()) for f in sorted(base.rglob("part-*"))]
+
+
+def test_log_readers_store_the_log_alone_with_equal_rows_side_by_side(spark, tmp_path, monkeypatch):
+    """What list_partitions, expired_partitions, repair_table and preview_log
+    read: all rows of the log, those of a candidate next to each other."""
+    import json
+    import os
+    from bidmill.plans import tables_q as TQ
+    from bidmill.sources import fixtures as X
+    base, asked = tmp_path / "p", []
+    monkeypatch.setattr(X, "stored_path", lambda spark, sf_dir, name, write, *a: asked.append(
+        (name, write)) or str(base))
+    assert TQ._published(spark, "/root/testdata/sf0.001", "log") == str(base)
+    monkeypatch.undo()
+    asked[0][1](str(base))
+    assert os.listdir(base) == ["log"]
+    n = 0
+    for _, lines in _published_lines(base):
+        rows = [json.loads(x) for x in lines]
+        n += len(rows)
+        at = [(r["strategy_id"], r["dimension_structs"][0]["dimension_value"], r["dom_rec_id"])
+              for r in rows]
+        assert len({x[:2] for x in at}) == 1 + sum(a[:2] != b[:2] for a, b in zip(at, at[1:]))
+        assert at == sorted(at)
+    priced = TQ.DQ.price_requests(spark, "/root/testdata/sf0.001",
+                                  X.event_requests(spark, "/root/testdata/sf0.001"))
+    assert n == priced.count() > 0
+
+
+def test_price_lines_shuffle_an_entry_once_for_all_days(spark, tmp_path, monkeypatch):
+    """Lines by day and value, also of requests without a time; the days of an
+    entry travel together."""
+    from bidmill.plans import tables_q as TQ
+    rows = [(s, d, k, float(s)) for s in (1, 2) for d in (20240101, 20240102, None, 20240101)
+            for k in ("a", "b")] + [(3, 20240102, "b", 0.5)]
+    made = spark.createDataFrame(rows, "strategy_id long, dt int, k string, multiplier double")
+    made = made.selectExpr(
+        "strategy_id", "array(struct(1L as dimension_type_id, k as dimension_value)) as "
+        "dimension_structs", "0.5D as probability_score", "0.1D as min_bid", "5D as max_bid",
+        "1D as target_ecpm", "1L as timestamp", "multiplier", "0.3D as baseline",
+        "7L as dom_rec_id", "1 as algo_id", "dt")
+    monkeypatch.setattr(TQ.X, "event_requests", lambda *a: None)
+    monkeypatch.setattr(TQ.DQ, "price_requests", lambda *a: None)
+    monkeypatch.setattr(TQ.DQ, "log_rows", lambda priced: made)
+    TQ._publish(spark, "/nowhere", str(tmp_path / "p"))
+    got = {(f.parent.name, x.split("\t")[0]): len(x.split("\t")[1].split(","))
+           for f, lines in _published_lines(tmp_path / "p" / "output") for x in lines}
+    none = "dt=__HIVE_DEFAULT_PARTITION__"
+    assert got == {("dt=20240101", "a"): 2, ("dt=20240101", "b"): 2, ("dt=20240102", "a"): 2,
+                   ("dt=20240102", "b"): 3, (none, "a"): 2, (none, "b"): 2}
+    for kind, n in (("log", 17), ("input", 17)):
+        assert sum(len(x) for _, x in _published_lines(tmp_path / "p" / kind)) == n
+
+
+def test_writes_release_their_shuffle_files(spark):
+    from bidmill.session import shuffles_released, written
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with shuffles_released(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key, None) == before
+    assert written(spark.range(100).groupBy((F.col("id") % 3).alias("k")).count(), "t").count() == 3
