@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from bidmill.llm import textscan as ts
 from bidmill.llm.graph import components
 from bidmill.llm.store import NO_ID, discard, id_of, running_total, stored, text_of
+from bidmill.session import setting
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -53,6 +54,7 @@ MISS = 1e-6
 BATCH = 16
 LARGE_BUCKET, BLOCK = 8192, 1024
 ROUNDS, SPLIT_LEVELS = 3, 2
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, shingle: int):
@@ -107,7 +109,7 @@ def _signatures(shingle: int, width: int):
                 step = width * 4
                 blob = pa.Array.from_buffers(pa.binary(), len(raw), [
                     None, pa.py_buffer(np.arange(len(raw) + 1, dtype=np.int32) * np.int32(step)),
-                    pa.py_buffer(raw.tobytes())])
+                    pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id"), batch.column("_h"), pa.array(np.concatenate(n_out)),
                      pa.array(np.concatenate(one)), pa.array(np.concatenate(two)), blob],
@@ -282,8 +284,9 @@ class _Search:
         counts = survivors.groupBy("a").agg(F.ceil(F.count("*") / 64).alias("parts"))
         counts = stored(counts, "leaders")
         part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
-        partners = (survivors.join(counts, "a").select("a", "b", part.alias("part"))
-                    .join(self.texts.withColumnRenamed("_id", "b"), "b"))
+        # of known size: while it is small, the texts aren't shuffled to find its own
+        turns = stored(survivors.join(counts, "a").select("a", "b", part.alias("part")), "turns")
+        partners = turns.join(self.texts.withColumnRenamed("_id", "b"), "b")
         leaders = (counts.join(self.texts.withColumnRenamed("_id", "a"), "a")
                    .select("a", F.lit(None).cast("long").alias("b"), F.explode(
                        F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part"),
@@ -293,7 +296,7 @@ class _Search:
             .repartition("a", "part")
             .sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
             .mapInArrow(_confirmed(self.shingle, self.percent), "a long, b long"), "links")
-        discard(pairs, survivors, counts)
+        discard(pairs, survivors, counts, turns)
         self.connect(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
     def connect(self, links: DataFrame) -> None:
@@ -346,14 +349,19 @@ class _Search:
             .otherwise(F.pmod(mixed, F.col("_first"))).cast("int").alias("block"))
         dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_first") - 1 + F.when(
             F.col("_main"), 0).otherwise(F.col("_more")))))
-        dealt = dealt.select("key", "band", "_id", "label", "block",
-                             F.least("block", "other").alias("i"),
-                             F.greatest("block", "other").alias("j"))
-        full = (dealt.join(self.classes, "_id").join(self.texts, "_id")
+        dealt = stored(dealt.select("key", "band", "_id", "label", "block",
+                                    F.least("block", "other").alias("i"),
+                                    F.greatest("block", "other").alias("j")), "dealt")
+        # of known size: while they are few, the other rows aren't shuffled;
+        # else the joins on the id share one exchange of the texts
+        own = stored(dealt.select("_id").distinct(), "dealt-ids")
+        full = (dealt.join(self.classes.join(own, "_id", "left_semi"), "_id")
+                .join(self.texts.join(own, "_id", "left_semi"), "_id")
                 .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
         links = stored(full.mapInArrow(_block_links(
             self.shingle, self.percent, self.miss, self.bands, self.rows, first),
             "u long, v long"), "links")
+        discard(dealt, own)
         self.connect(links)
 
     def lead(self, rows: DataFrame) -> DataFrame:
@@ -405,9 +413,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row. ``kept`` marks the first document of a component."""
     texts = docs.select(id_of(id_col).alias("_id"), text_of(text_col).alias("_text"))
     keyed = texts.withColumn("_h", F.xxhash64("_text"))
-    signed = stored(keyed.mapInArrow(
-        _signatures(shingle, bands * rows),
-        "_id long, _h long, n long, s1 long, s2 long, sig binary"), "signatures")
+    # whole texts go to Python: fewer at a time than Spark's 10,000 rows
+    with setting(docs.sparkSession, _ARROW_ROWS, "2000"):
+        signed = stored(keyed.mapInArrow(
+            _signatures(shingle, bands * rows),
+            "_id long, _h long, n long, s1 long, s2 long, sig binary"), "signatures")
     if not signed.groupBy("_id").count().where("count > 1").isEmpty():
         discard(signed)
         return _numbered(keyed, shingle, bands, rows, percent, miss)

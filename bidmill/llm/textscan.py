@@ -22,6 +22,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(
     1, 2 ** 64, size=256, dtype=np.uint64)
+_POWERS_STEP = 1 << 16   # a worker keeps its powers: no more than its blocks ask for
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _BASE_BYTES, _BASE_WORDS = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 
@@ -30,7 +31,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n (base is odd)."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
+        size = -(-n // _POWERS_STEP) * _POWERS_STEP
         both = []
         for b in (base, pow(base, -1, 2 ** 64)):
             steps = np.full(size, b, dtype=np.uint64)

@@ -385,3 +385,11 @@ def test_odd_ids_and_empty_tables(spark):
                line_dedup.remove_repeated_lines, mixing.mix, mixing.mixed_documents,
                imatch.compared):
         assert fn(empty).count() == 0
+
+
+def test_power_tables_are_no_larger_than_the_blocks_ask_for(monkeypatch):
+    from bidmill.llm import textscan as ts
+    monkeypatch.setattr(ts, "_POWERS", {})
+    power, inverse = ts._powers(ts._BASE_BYTES, 1 << 18)
+    assert len(power) == 1 << 18 and (power[5:9] * inverse[5:9] == 1).all()
+    assert len(ts._POWERS[ts._BASE_BYTES][0]) < 1 << 19
