@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidmill.llm.store import WORD, discard, id_of, running_total, stored, text_of
+from bidmill.session import bound_batches
 
 MIN_LINES = 2
 MIN_CHARS = 100
@@ -140,10 +141,15 @@ def _cut(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.DataFram
     return pd.DataFrame(out, columns=["text", "lines", "removed", "runs"])
 
 
+# a filter on what is left would else run it a second time, in workers of its own
+_cut = _cut.asNondeterministic()
+
+
 def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows of ``docs`` as struct ``row``, and ``cut``: the text that is
     left, the number of lines and removed lines, and the deleted maximal runs."""
+    bound_batches(docs.sparkSession)
     gone = stored(repeated_runs(docs, id_col, text_col, min_lines, min_chars)
                   .groupBy("_id", "_h").agg(F.collect_list("start").alias("_at"),
                                             F.collect_list("length").alias("_size")),

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from bidmill.llm import textscan as ts
 from bidmill.llm.graph import components
 from bidmill.llm.store import NO_ID, discard, id_of, running_total, stored, text_of
-from bidmill.session import setting
+from bidmill.session import bound_batches
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -54,7 +54,6 @@ MISS = 1e-6
 BATCH = 16
 LARGE_BUCKET, BLOCK = 8192, 1024
 ROUNDS, SPLIT_LEVELS = 3, 2
-_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray, shingle: int):
@@ -413,11 +412,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row. ``kept`` marks the first document of a component."""
     texts = docs.select(id_of(id_col).alias("_id"), text_of(text_col).alias("_text"))
     keyed = texts.withColumn("_h", F.xxhash64("_text"))
-    # whole texts go to Python: fewer at a time than Spark's 10,000 rows
-    with setting(docs.sparkSession, _ARROW_ROWS, "2000"):
-        signed = stored(keyed.mapInArrow(
-            _signatures(shingle, bands * rows),
-            "_id long, _h long, n long, s1 long, s2 long, sig binary"), "signatures")
+    bound_batches(docs.sparkSession)
+    signed = stored(keyed.mapInArrow(
+        _signatures(shingle, bands * rows),
+        "_id long, _h long, n long, s1 long, s2 long, sig binary"), "signatures")
     if not signed.groupBy("_id").count().where("count > 1").isEmpty():
         discard(signed)
         return _numbered(keyed, shingle, bands, rows, percent, miss)

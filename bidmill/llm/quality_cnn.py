@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from bidmill.llm import labelled
 from bidmill.llm import textscan as ts
 from bidmill.llm.store import text_of
+from bidmill.session import bound_batches
 
 PER_CLASS = 1000
 MODULUS, HELD = 4, 2
@@ -193,6 +194,7 @@ def _fit_rows(batches):
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
           modulus: int = MODULUS, remainder: int = HELD, per_class: int = PER_CLASS) -> dict:
     """A model of a few KB: weights, or only a constant without both labels."""
+    bound_batches(docs.sparkSession)
     rows, counts, drawn = labelled.sample(docs, labels, label_col, modulus, remainder, per_class)
     total = sum(counts.values())
     fitted = rows.repartition(1).mapInPandas(_fit_rows, "model binary").collect() \
@@ -220,6 +222,7 @@ def _scores(model: dict):
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """All rows of ``docs`` as struct ``row``, and ``score``."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        text_of().alias("_text"))
     schema = rows.select("row").schema.add("score", "double")

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidmill.llm.store import text_of
+from bidmill.session import bound_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -279,6 +280,7 @@ def _encoding(vocab: dict, check: bool):
 
 def encode(docs: DataFrame, vocab: dict, text_col: str = "text") -> DataFrame:
     """All rows of ``docs`` as struct ``row``, and ``ids`` array<int>."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(_row_struct(docs), text_of(text_col).alias("_text"))
     return rows.mapInArrow(_encoding(vocab, False), rows.select("row").schema.add(
         "ids", T.ArrayType(T.IntegerType())))
@@ -287,6 +289,7 @@ def encode(docs: DataFrame, vocab: dict, text_col: str = "text") -> DataFrame:
 def round_trip(docs: DataFrame, vocab: dict, text_col: str = "text") -> DataFrame:
     """All rows of ``docs`` as struct ``row``, and n_tokens, ids_sha256 (of the
     little-endian 32-bit ids) and ``decoded``, without carrying the ids."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(_row_struct(docs), text_of(text_col).alias("_text"))
     return rows.mapInArrow(_encoding(vocab, True), rows.select("row").schema.add(
         "n_tokens", "integer").add("ids_sha256", "string").add("decoded", "string"))

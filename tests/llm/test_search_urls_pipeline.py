@@ -5,10 +5,12 @@ import random
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bidmill.llm import topk_search, url_templates
+from bidmill.llm import (line_dedup, minhash_dedup, quality_cnn, sentencepiece_viterbi, topk_search,
+                         url_templates)
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -200,3 +202,57 @@ def test_quality_stage_without_labels_against_a_document(spark, tmp_path):
     assert kept("unlabelled", [(i, None, 0) for i in range(6)]) == 6
     assert kept("good", [(i, 1, 0) for i in range(6)]) == 6
     assert kept("bad", [(i, 0, 0) for i in range(6)]) == 0
+
+
+def test_line_stage_cuts_each_text_once(spark, tmp_path):
+    """Its filter on what is left does not run the cut again."""
+    docs = spark.createDataFrame([(i, "a line\nand one more\n" + "x" * i) for i in range(4)],
+                                 "doc_id long, text string")
+    left = corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path))
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    # equal but for the later copies: of those a short last line is left, and of none nothing
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [
+        (0, "a line\nand one more\n"), (1, "x"), (2, "xx"), (3, "xxx")]
+
+
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def own_batches(spark):
+    before = spark.conf.get(_BATCH_BYTES, None)
+    spark.conf.unset(_BATCH_BYTES)
+    yield spark
+    spark.conf.unset(_BATCH_BYTES)
+    if before is not None:
+        spark.conf.set(_BATCH_BYTES, before)
+
+
+def test_texts_go_to_python_a_few_mb_at_a_time(own_batches, monkeypatch):
+    def sizes(model):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("row"), pa.array([float(b.nbytes)] * b.num_rows, pa.float64())],
+                    names=["row", "score"])
+        return run
+
+    monkeypatch.setattr(quality_cnn, "_scores", sizes)
+    docs = own_batches.range(3000).repartition(1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("text"), 1000).alias("text"))
+    largest, n = quality_cnn.score(docs, {}).agg(F.max("score"), F.count("*")).first()
+    assert n == 3000 and largest < 6e6
+
+
+@pytest.mark.parametrize("operator", [
+    lambda d: quality_cnn.score(d, {"constant": 0.5}), line_dedup.remove_repeated_lines,
+    minhash_dedup.near_duplicates,
+    lambda d: sentencepiece_viterbi.encode(d, sentencepiece_viterbi.load())])
+def test_batches_are_bounded_unless_the_session_says_how_much(own_batches, operator):
+    docs = own_batches.createDataFrame([(1, "a few words")], "doc_id long, text string")
+    operator(docs)
+    assert own_batches.conf.get(_BATCH_BYTES) == "4m"
+    own_batches.conf.set(_BATCH_BYTES, "9m")
+    operator(docs)
+    assert own_batches.conf.get(_BATCH_BYTES) == "9m"
