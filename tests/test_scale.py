@@ -177,8 +177,8 @@ def test_published_rows_are_made_once_for_a_candidate_and_day(spark, tmp_path, m
     from bidmill.plans import tables_q as TQ
     from bidmill.sources import sinks
     small, DQ = "/root/testdata/sf0.001", TQ.DQ
-    monkeypatch.setattr(DQ, "ROWS_PER_TASK", 400)
-    monkeypatch.setattr(DQ, "REQUESTS_PER_SHARE", 9)
+    monkeypatch.setattr(DQ, "ROWS_PER_TASK", 4000)
+    monkeypatch.setattr(DQ, "REQUESTS_PER_SHARE", 12)
     ids = [(i, (2, 3, 7)[i % 3], None if i % 7 == 0 else f"2024-01-0{1 + i % 2} 10:00:00.129") for i in range(60)]
     ids += [(100, 2, "2024-01-02 00:00:00")] * 2 + [(101, None, None), (None, 3, None)]
     requests = spark.createDataFrame(ids, "dom_rec_id long, strategy_id long, d string").selectExpr(
