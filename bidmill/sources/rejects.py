@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from bidmill.functions.text import DIMS_TYPE
 from bidmill.operators import pricefile as PF
-from bidmill.session import scratch_path
+from bidmill.session import scratch_path, setting
 
 REJECT_COLUMNS = ("file", "block", "seq", "pos", "text", "reason")
 
@@ -107,7 +107,13 @@ def checked_price_lines(spark: SparkSession, header_path: str, *paths: str) -> D
 def split(checked: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejects) of a checked scan, parsed and stored once."""
     spark, path = checked.sparkSession, scratch_path(checked.sparkSession, "checked")
-    checked.withColumn("bad", F.col("reason").isNotNull()).write.partitionBy("bad").parquet(path)
+    bad = F.col("reason").isNotNull()
+    # a good row is its columns: its line isn't stored a second time. Both kinds
+    # are written side by side, so the rows aren't sorted by kind
+    kept = checked.select(*[F.when(bad, F.col(c)).alias(c) if c in REJECT_COLUMNS else F.col(c)
+                            for c in checked.columns], bad.alias("bad"))
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        kept.write.partitionBy("bad").parquet(path, compression="zstd")
     stored = spark.read.schema(T.StructType([*checked.schema.fields, T.StructField(
         "bad", T.BooleanType())])).parquet(path)
     rejects = stored.where("bad").select(*REJECT_COLUMNS)

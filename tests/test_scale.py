@@ -214,3 +214,38 @@ def test_published_rows_are_made_once_for_a_candidate_and_day(spark, tmp_path, m
                 f"{r.strategy_id}:{r.multiplier}:{r.baseline}") for r in flat.collect()}
     got = [(d, x.split("\t")[0], e) for d, x in lines("output") for e in x.split("\t")[1].split(",")]
     assert sorted(got) == sorted(entries) and len(got) > 20
+
+
+def test_json_and_score_files_are_compressed(spark, tmp_path, monkeypatch):
+    """price_log, and the score file that scan_scores_checked reads."""
+    from bidmill.plans import tables_q as TQ
+    small = "/root/testdata/sf0.001"
+    monkeypatch.setattr(TQ, "scratch_path", lambda spark, name: str(tmp_path / name))
+    rows = TQ.q_price_log(spark, small)
+    assert TQ._export_scores(spark, small) == str(tmp_path / "scores")
+    for name in ("price_log", "scores"):
+        files = list((tmp_path / name).rglob("part-*"))
+        assert files and all(f.name.endswith(".gz") for f in files)
+    scores = spark.read.schema(TQ.SCORES_SCHEMA).option("sep", "\u0001").csv(str(tmp_path / "scores"))
+    assert rows.count() == scores.where("strategy_id is not null").count() > 0
+
+
+def test_the_lines_of_good_rows_are_not_stored_again(spark, tmp_path, monkeypatch):
+    """scan_scores_checked, and the other checked scans: a good row's columns
+    and a reject's line and place are stored, each once."""
+    data = str(tmp_path / "d")
+    spark.createDataFrame([("5,7",), ("6,x",), ("8,",)], "value string").coalesce(1).write.text(data)
+    lines = RJ._lines(spark, data)
+    v = F.split("text", ",")
+    checked = lines.select(*[c for c in RJ.REJECT_COLUMNS if c not in ("pos", "reason")],
+                           F.lit(0).alias("pos"), F.when(v[1] == "x", "no number").alias("reason"),
+                           v[0].cast("int").alias("k"), v[1].try_cast("int").alias("n"))
+    monkeypatch.setattr(RJ, "scratch_path", lambda spark, name: str(tmp_path / name))
+    good, rejects = RJ.split(checked)
+    stored = spark.read.parquet(str(tmp_path / "checked"))
+    assert stored.where("not bad").select(*RJ.REJECT_COLUMNS).distinct().collect() == [
+        (None,) * len(RJ.REJECT_COLUMNS)]
+    assert sorted(map(tuple, good.collect())) == [(5, 7), (8, None)] and good.columns == ["k", "n"]
+    (bad,) = rejects.collect()
+    assert (bad.text, bad.reason, bad.pos, bad.block) == ("6,x", "no number", 0, 0)
+    assert bad.file and bad.seq is not None
