@@ -249,3 +249,58 @@ def test_the_lines_of_good_rows_are_not_stored_again(spark, tmp_path, monkeypatc
     (bad,) = rejects.collect()
     assert (bad.text, bad.reason, bad.pos, bad.block) == ("6,x", "no number", 0, 0)
     assert bad.file and bad.seq is not None
+
+
+def test_results_are_stored_small_and_read_without_a_shuffle(spark, tmp_path):
+    """request_results, dequeue_run: the last result of each request, also of
+    those with several or without an id."""
+    from bidmill.operators import payloads as PL
+    from bidmill.sources import sinks
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, None)],
+                                 "dom_rec_id long, list_data string")
+    stored = sinks.append_with_ids(rows, spark, "r", "dom_rec_result_id", str(tmp_path / "r"))
+    assert all(f.name.endswith(".zstd.parquet") for f in (tmp_path / "r").rglob("part-*"))
+    last = PL.last_results(stored)
+    plan = _plan(last)
+    assert re.search(r"BroadcastHashJoin \[dom_rec_id#\d+L\], \[dom_rec_id#\d+L\], LeftOuter", plan)
+    keys = ["dom_rec_id", "dom_rec_result_id", "list_data"]
+    before = stored.join(PL.result_ids(stored), keys[:2]).select(*keys)
+    assert sorted(map(str, last.select(*keys).collect())) == sorted(map(str, before.collect()))
+    assert last.count() == 3
+
+
+def test_bodies_are_stored_before_they_are_shuffled(spark, monkeypatch):
+    from bidmill.plans import dequeue as DQ
+    from bidmill.sources import fixtures as X
+    names, write = [], DQ.written
+    monkeypatch.setattr(DQ, "written", lambda df, name: names.append(name) or write(df, name))
+    requests = X.request_queue(spark, "/root/testdata/sf0.001").where("status = 'new'")
+    rows = DQ.request_result_rows(spark, "/root/testdata/sf0.001", requests)
+    assert names[-1] == "bodies" and rows.count() > 0
+
+
+def test_size_of_a_compressed_file_is_not_taken_for_its_rows(spark, tmp_path):
+    from bidmill.joins import is_small, planned_bytes, row_width
+    spark.range(200_000).selectExpr("id", "'site' || id || '.example' as name").coalesce(1) \
+        .write.parquet(str(tmp_path / "t"), compression="zstd")
+    df = spark.read.parquet(str(tmp_path / "t"))
+    bound = planned_bytes(df) * 8 + 1
+    assert 200_000 * row_width(df.schema) > bound and not is_small(df, bound)
+    assert is_small(df, 200_000 * row_width(df.schema))
+
+
+def test_a_batch_of_many_units_is_priced_without_large_broadcasts(spark, monkeypatch):
+    """stream_requests: the same payloads when the units are above the bound."""
+    from bidmill.plans import dequeue as DQ
+    from bidmill.operators import pricing as P
+    small, asked = "/root/testdata/sf0.001", []
+    requests = spark.range(40).selectExpr("id as dom_rec_id", "2 + id % 5 as strategy_id",
+                                          "id * 10 as bid_list_id", "'new' as status")
+    t = DQ.static_tables(spark, small)
+    want = sorted(map(tuple, DQ.batch_payloads(requests, t).collect()))
+    monkeypatch.setattr(DQ, "BATCH_BROADCAST", 1)
+    price = P.PRICING["target_ecpm_seed_dampen"]
+    monkeypatch.setitem(P.PRICING, "target_ecpm_seed_dampen",
+                        lambda *a, **k: asked.append(k["small_groups"]) or price(*a, **k))
+    assert sorted(map(tuple, DQ.batch_payloads(requests, t).collect())) == want and want
+    assert asked == [False]
